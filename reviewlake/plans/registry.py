@@ -36,7 +36,7 @@ FROM events
 # Synthetic score for evaluation queries that need no model.
 SCORED_SQL = """
 SELECT d.doc_id AS event_id, l.quality AS label,
-       round(d.n_chars / (d.n_chars + 1000.0), 6) AS score
+       round(CAST(d.n_chars AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + 1000.0), 6) AS score
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """
 

@@ -56,6 +56,19 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, label, score): a model-free score for evaluation operators.
+
+    label = ``quality``; score = ``round(n_chars / (n_chars + 1000), 6)``.
+    """
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    n = F.col("n_chars").cast("double")
+    return d.join(lab, "doc_id", "inner").select(
+        F.col("doc_id").alias("event_id"), F.col("quality").alias("label"),
+        F.round(n / (n + F.lit(1000.0)), 6).alias("score"))
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register every table plus ``reviews`` and ``activity`` as temp views."""
     for name in TABLES:
