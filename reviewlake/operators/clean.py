@@ -103,13 +103,15 @@ def bronze_project(records: DataFrame) -> DataFrame:
 
 
 def parse_json(bronze: DataFrame, json_col: str = "raw_json",
-               keep: tuple[str, ...] = ()) -> DataFrame:
-    """JSON value -> the 9 typed event fields (+ ``_corrupt_record``).
+               keep: tuple[str, ...] = (), schema: T.StructType | None = None) -> DataFrame:
+    """JSON value -> typed fields, flattened (default: the 9 event fields).
 
     PERMISSIVE: a malformed document or a field of the wrong type gives null
     fields and the raw text in ``_corrupt_record``; nothing raises.
     """
-    parsed = F.from_json(F.col(json_col), _PARSE_SCHEMA,
+    s = _PARSE_SCHEMA if schema is None else T.StructType(
+        schema.fields + [T.StructField(CORRUPT_COL, T.StringType())])
+    parsed = F.from_json(F.col(json_col), s,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
     return bronze.select(*keep, parsed.alias("data")).select(*keep, "data.*")
 

@@ -1,4 +1,6 @@
 """Named queries over the test tables: Spark plan + DuckDB oracle per operator."""
 
 from reviewlake.plans.registry import QUERIES, ORACLE  # noqa: F401
-from reviewlake.plans import profile_q, sampling_q, evaluate_q, features_q  # noqa: F401  (registers)
+from reviewlake.plans import (  # noqa: F401  (registers)
+    profile_q, sampling_q, evaluate_q, features_q, ingest_q,
+)
