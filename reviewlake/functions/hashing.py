@@ -1,0 +1,55 @@
+"""Term -> HashingTF slot, identical to MLlib's ``HashingTF``.
+
+MLlib hashes the UTF-8 bytes of a term with standard Murmur3 x86_32 (seed 42)
+and takes a non-negative modulo. SQL ``hash()`` uses Spark's older tail
+handling and agrees only for byte lengths divisible by 4, so this small
+Arrow-batched helper is applied to *distinct terms* only.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_M = 0xFFFFFFFF
+_C1, _C2 = 0xCC9E2D51, 0x1B873593
+
+
+def _rotl(x: int, r: int) -> int:
+    return ((x << r) | (x >> (32 - r))) & _M
+
+
+def _mix_k1(k1: int) -> int:
+    return (_rotl((k1 * _C1) & _M, 15) * _C2) & _M
+
+
+def murmur3_32(data: bytes, seed: int = 42) -> int:
+    """Standard Murmur3 x86_32 of ``data`` as a signed 32-bit int."""
+    h1 = seed & _M
+    n = len(data)
+    aligned = n - n % 4
+    for i in range(0, aligned, 4):
+        h1 ^= _mix_k1(int.from_bytes(data[i:i + 4], "little"))
+        h1 = (_rotl(h1, 13) * 5 + 0xE6546B64) & _M
+    k1 = 0
+    for shift, b in enumerate(data[aligned:]):
+        k1 ^= b << (8 * shift)
+    h1 ^= _mix_k1(k1)
+    h1 ^= n
+    h1 ^= h1 >> 16
+    h1 = (h1 * 0x85EBCA6B) & _M
+    h1 ^= h1 >> 13
+    h1 = (h1 * 0xC2B2AE35) & _M
+    h1 ^= h1 >> 16
+    return h1 - (1 << 32) if h1 & 0x80000000 else h1
+
+
+def hashing_index(term: Column | str, num_features: int) -> Column:
+    """HashingTF vector index of ``term`` (null for null)."""
+    @F.pandas_udf(T.IntegerType())
+    def _index(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else
+                     murmur3_32(t.encode("utf-8")) % num_features).astype("Int32")
+    return _index(F.col(term) if isinstance(term, str) else term)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.functions.exprs import tokens_expr
+from reviewlake.functions.hashing import hashing_index
 from reviewlake.schemas import STOP_WORDS_EN
 
 
@@ -117,14 +118,16 @@ def nb_theta(weights: DataFrame, labels: DataFrame, vocab: DataFrame, doc_col: s
 
 def hashing_tf(tokens: DataFrame, doc_col: str = "event_id", tokens_col: str = "filtered_words",
                num_features: int = 20000) -> DataFrame:
-    """(doc, index, tf): HashingTF as a table.
+    """(doc, index, tf): MLlib HashingTF as a table (same slot for every term).
 
-    SQL ``hash`` is the same Murmur3 (seed 42, UTF-8 bytes) MLlib HashingTF
-    uses, so ``pmod(hash(term), n)`` is the vector index.
+    Tokens are counted per (doc, term) on the JVM; only the distinct terms go
+    through the Murmur3 helper, and the (term, index) map is joined back
+    (AQE picks broadcast or a skew-split shuffle join by its runtime size).
     """
-    return (tokens.select(doc_col, F.explode(tokens_col).alias("term"))
-            .select(doc_col, F.pmod(F.hash("term"), F.lit(num_features)).alias("index"))
-            .groupBy(doc_col, "index").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    tf = term_frequencies(tokens, doc_col, tokens_col)
+    slots = tf.select("term").distinct().withColumn("index", hashing_index("term", num_features))
+    return (tf.join(slots, "term", "inner")
+            .groupBy(doc_col, "index").agg(F.sum("tf").cast("double").alias("tf")))
 
 
 def label_index(label_col: str = "label_text", out_col: str = "label") -> StringIndexer:
