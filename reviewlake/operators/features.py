@@ -47,22 +47,39 @@ def remove_stopwords(df: DataFrame, in_col: str = "words", out_col: str = "filte
     return df.withColumn(out_col, F.filter(F.col(in_col), keep))
 
 
-def term_frequencies(tokens: DataFrame, doc_col: str = "event_id",
-                     tokens_col: str = "filtered_words") -> DataFrame:
-    """(doc, term, tf): occurrences of each term in each document."""
-    return (tokens.select(doc_col, F.explode(tokens_col).alias("term"))
-            .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+def terms(df: DataFrame, doc_col: str = "event_id", text_col: str = "review_text",
+          keep: tuple[str, ...] = (), stop_words: list[str] | None = None) -> DataFrame:
+    """(doc, *keep, term): one row per non-empty, non-stop-word token.
+
+    The exploded form of ``remove_stopwords(tokenize(df))``: ``split`` +
+    ``explode`` + a plain ``NOT IN`` (a hash-set lookup) all stay inside
+    whole-stage codegen, unlike a per-element lambda over the token array.
+    """
+    stop = [w.lower() for w in (stop_words if stop_words is not None else STOP_WORDS_EN)]
+    t = F.col("term")
+    return (df.where(F.col(text_col).isNotNull())
+            .select(doc_col, *keep, F.explode(F.split(F.lower(text_col), r"\s")).alias("term"))
+            .where((t != "") & ~t.isin(stop)))
+
+
+def term_frequencies(terms_df: DataFrame, doc_col: str = "event_id",
+                     keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc, *keep, term, tf): occurrences of each term in each document.
+
+    ``keep`` carries per-document columns (e.g. the label) through the
+    aggregation, so later steps need no join back to the documents.
+    """
+    return terms_df.groupBy(doc_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(tokens: DataFrame, doc_col: str = "event_id", tokens_col: str = "filtered_words",
-               vocab_size: int = 5000, min_df: int = 5) -> DataFrame:
+def vocabulary(tf: DataFrame, vocab_size: int = 5000, min_df: int = 5) -> DataFrame:
     """(term, term_count, doc_freq, rank): CountVectorizer's vocabulary as a table.
 
     Terms in at least ``min_df`` documents, the ``vocab_size`` most frequent
     by total count; equal counts are ordered by term (MLlib leaves them
-    unordered). ``rank`` is the 0-based vector index.
+    unordered). ``rank`` is the 0-based vector index. ``tf`` is the output of
+    ``term_frequencies``: per-term totals are partially aggregated per map task.
     """
-    tf = term_frequencies(tokens, doc_col, tokens_col)
     top = (tf.groupBy("term").agg(F.sum("tf").alias("term_count"),
                                   F.count(F.lit(1)).alias("doc_freq"))
            .where(F.col("doc_freq") >= min_df)
@@ -73,58 +90,55 @@ def vocabulary(tokens: DataFrame, doc_col: str = "event_id", tokens_col: str = "
     return top.withColumn("rank", F.row_number().over(w) - 1)
 
 
-def tfidf(tokens: DataFrame, vocab: DataFrame, doc_col: str = "event_id",
-          tokens_col: str = "filtered_words") -> DataFrame:
-    """(doc, term, tf, idf, weight) over vocabulary terms.
+def tfidf(tf: DataFrame, vocab: DataFrame, docs: DataFrame, doc_col: str = "event_id",
+          keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc, *keep, term, tf, idf, weight) over vocabulary terms.
 
-    idf = ln((m + 1) / (df + 1)) with m the number of documents, as MLlib IDF
-    (minDocFreq 0). The vocabulary side is bounded by ``vocab_size`` and is
+    idf = ln((m + 1) / (df + 1)) with m = number of rows of ``docs`` (every
+    document, also those without a vocabulary term), as MLlib IDF with
+    minDocFreq 0. The vocabulary side is bounded by ``vocab_size`` and is
     broadcast.
     """
-    m = tokens.select(F.count(F.lit(1)).cast("double")).scalar()
+    m = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     v = vocab.select("term", "doc_freq")
     idf = F.log((m + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))
-    return (term_frequencies(tokens, doc_col, tokens_col)
-            .join(F.broadcast(v), "term", "inner")
-            .select(doc_col, "term", "tf", idf.alias("idf"))
+    return (tf.join(F.broadcast(v), "term", "inner")
+            .select(doc_col, *keep, "term", "tf", idf.alias("idf"))
             .withColumn("weight", F.col("tf") * F.col("idf")))
 
 
-def nb_theta(weights: DataFrame, labels: DataFrame, vocab: DataFrame, doc_col: str = "event_id",
-             label_col: str = "label", smoothing: float = 1.0,
-             classes: tuple[int, ...] = (0, 1)) -> DataFrame:
+def nb_theta(weights: DataFrame, vocab: DataFrame, label_col: str = "label",
+             smoothing: float = 1.0, classes: tuple[int, ...] = (0, 1)) -> DataFrame:
     """(label, term, theta): multinomial Naive Bayes log-weights as a table.
 
-    theta = ln((w(label, term) + s) / (W(label) + s * V)) with w the summed
-    feature weight of the term in the label's documents, W its total over the
-    vocabulary, V the vocabulary size. Equal to ``NaiveBayesModel.theta``.
-    Per-term class sums are conditional aggregates (no label x term grid join).
+    ``weights`` is ``tfidf(..., keep=(label_col,))``. theta = ln((w(label,
+    term) + s) / (W(label) + s * V)) with w the summed feature weight of the
+    term in the label's documents, W its total over the vocabulary and V the
+    vocabulary size; equal to ``NaiveBayesModel.theta``. Per-term class sums
+    are conditional aggregates (no label x term grid join); class totals and
+    V are windows over the vocabulary-sized frame (at most ``vocab_size`` rows).
     """
-    per_doc = weights.join(labels.select(doc_col, label_col), doc_col, "inner")
-    sums = per_doc.groupBy("term").agg(*[
+    sums = weights.groupBy("term").agg(*[
         F.sum(F.when(F.col(label_col) == c, F.col("weight"))).alias(f"w{c}") for c in classes])
     full = F.broadcast(vocab.select("term")).join(sums, "term", "left").fillna(
         0.0, subset=[f"w{c}" for c in classes])
-    V = vocab.select(F.count(F.lit(1)).cast("double")).scalar()
-    totals = {c: full.select(F.sum(f"w{c}")).scalar() for c in classes}
-    args = ", ".join(
-        f"{c}, `t{c}`" for c in classes)
+    whole = Window.partitionBy()
+    V = F.count(F.lit(1)).over(whole).cast("double")
     with_theta = full.select("term", *[
-        F.log((F.col(f"w{c}") + smoothing) / (totals[c] + F.lit(smoothing) * V)).alias(f"t{c}")
-        for c in classes])
-    return with_theta.select("term", F.expr(f"stack({len(classes)}, {args}) AS (`label`, `theta`)")) \
-        .select("label", "term", "theta")
+        F.log((F.col(f"w{c}") + smoothing) / (F.sum(f"w{c}").over(whole) + F.lit(smoothing) * V))
+        .alias(f"t{c}") for c in classes])
+    args = ", ".join(f"{c}, `t{c}`" for c in classes)
+    return (with_theta.select("term", F.expr(f"stack({len(classes)}, {args}) AS (`{label_col}`, `theta`)"))
+            .select(label_col, "term", "theta"))
 
 
-def hashing_tf(tokens: DataFrame, doc_col: str = "event_id", tokens_col: str = "filtered_words",
-               num_features: int = 20000) -> DataFrame:
+def hashing_tf(tf: DataFrame, doc_col: str = "event_id", num_features: int = 20000) -> DataFrame:
     """(doc, index, tf): MLlib HashingTF as a table (same slot for every term).
 
-    Tokens are counted per (doc, term) on the JVM; only the distinct terms go
-    through the Murmur3 helper, and the (term, index) map is joined back
-    (AQE picks broadcast or a skew-split shuffle join by its runtime size).
+    Only the distinct terms go through the Murmur3 helper; the (term, index)
+    map is joined back (AQE picks broadcast or a skew-split shuffle join by
+    its runtime size).
     """
-    tf = term_frequencies(tokens, doc_col, tokens_col)
     slots = tf.select("term").distinct().withColumn("index", hashing_index("term", num_features))
     return (tf.join(slots, "term", "inner")
             .groupBy(doc_col, "index").agg(F.sum("tf").cast("double").alias("tf")))

@@ -45,10 +45,18 @@ def _sql(body: str) -> str:
 
 
 def corpus(spark, sf):
-    """Tokenised, stop-word-filtered review corpus with the 0/1 label."""
+    """The review model frame with the 0/1 label (every document, text not null)."""
     mf = C.model_frame(reviews(spark, sf))
-    toks = X.remove_stopwords(X.tokenize(mf))
-    return toks.withColumn("label", F.when(F.col("label_text") == "positive", 1).otherwise(0))
+    return mf.withColumn("label", F.when(F.col("label_text") == "positive", 1).otherwise(0))
+
+
+def tf_frame(spark, sf):
+    """(event_id, label, term, tf) over the whole corpus."""
+    return X.term_frequencies(X.terms(corpus(spark, sf), keep=("label",)), keep=("label",))
+
+
+def vocab_frame(spark, sf):
+    return X.vocabulary(tf_frame(spark, sf), vocab_size=VOCAB_SIZE, min_df=MIN_DF)
 
 
 @register("tokenize", _sql("""
@@ -61,28 +69,27 @@ def q_tokenize(spark, sf):
 @register("remove_stopwords", _sql("""
 SELECT event_id, generate_subscripts(fw, 1) - 1 AS pos, unnest(fw) AS token FROM filt"""))
 def q_remove_stopwords(spark, sf):
-    return corpus(spark, sf).select("event_id", F.posexplode("filtered_words").alias("pos", "token"))
+    toks = X.remove_stopwords(X.tokenize(C.model_frame(reviews(spark, sf))))
+    return toks.select("event_id", F.posexplode("filtered_words").alias("pos", "token"))
 
 
 @register("vocabulary", _sql("SELECT term, term_count, doc_freq, rank FROM vocab"))
 def q_vocabulary(spark, sf):
-    return X.vocabulary(corpus(spark, sf), vocab_size=VOCAB_SIZE, min_df=MIN_DF)
+    return vocab_frame(spark, sf)
 
 
 @register("idf", _sql("""
 SELECT term, ln((m.m + 1.0) / (doc_freq + 1.0)) AS idf FROM vocab, m"""))
 def q_idf(spark, sf):
-    toks = corpus(spark, sf)
-    v = X.vocabulary(toks, vocab_size=VOCAB_SIZE, min_df=MIN_DF)
-    m = toks.select(F.count(F.lit(1)).cast("double")).scalar()
-    return v.select("term", F.log((m + 1.0) / (F.col("doc_freq") + 1.0)).alias("idf"))
+    m = corpus(spark, sf).select(F.count(F.lit(1)).cast("double")).scalar()
+    return vocab_frame(spark, sf).select(
+        "term", F.log((m + 1.0) / (F.col("doc_freq") + 1.0)).alias("idf"))
 
 
 @register("tfidf", _sql("SELECT event_id, term, tf, weight FROM tfidf"))
 def q_tfidf(spark, sf):
-    toks = corpus(spark, sf)
-    v = X.vocabulary(toks, vocab_size=VOCAB_SIZE, min_df=MIN_DF)
-    return X.tfidf(toks, v).select("event_id", "term", "tf", "weight")
+    w = X.tfidf(tf_frame(spark, sf), vocab_frame(spark, sf), corpus(spark, sf))
+    return w.select("event_id", "term", "tf", "weight")
 
 
 @register("nb_theta", _sql("""
@@ -97,12 +104,11 @@ UNION ALL
 SELECT 1, term, ln((w1 + 1.0) / (t1 + 1.0 * V)) FROM full_w, tot""").replace(
     "\n, w AS", ", w AS", 1))
 def q_nb_theta(spark, sf):
-    toks = corpus(spark, sf)
-    v = X.vocabulary(toks, vocab_size=VOCAB_SIZE, min_df=MIN_DF)
-    return X.nb_theta(X.tfidf(toks, v), toks.select("event_id", "label"), v)
+    w = X.tfidf(tf_frame(spark, sf), vocab_frame(spark, sf), corpus(spark, sf), keep=("label",))
+    return X.nb_theta(w, vocab_frame(spark, sf))
 
 
 @register("hashing_tf")
 def q_hashing_tf(spark, sf):
     """(doc, index, tf) with 20,000 hashed slots; rows-only (no Murmur3 in the oracle)."""
-    return X.hashing_tf(corpus(spark, sf), num_features=20000)
+    return X.hashing_tf(tf_frame(spark, sf), num_features=20000)

@@ -137,9 +137,8 @@ def test_ties(spark):
     df = spark.createDataFrame(rows, "app_id int, app_name string, sentiment string, review_votes int")
     top = P.top_apps(df, 20).collect()
     assert [r.app_id for r in top] == list(range(20))  # equal counts -> by app id
-    toks = spark.createDataFrame([(1, ["b", "a", "c"]), (2, ["c", "a", "b"])],
-                                 "event_id long, filtered_words array<string>")
-    v = X.vocabulary(toks, vocab_size=2, min_df=1).orderBy("rank").collect()
+    docs = spark.createDataFrame([(1, "b a c"), (2, "c a b")], "event_id long, review_text string")
+    v = X.vocabulary(X.term_frequencies(X.terms(docs)), vocab_size=2, min_df=1).orderBy("rank").collect()
     assert [r.term for r in v] == ["a", "b"]
     sc = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9)], "label int, score double")
     pts = V.roc_points(sc, with_origin=False).collect()

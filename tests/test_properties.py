@@ -116,17 +116,30 @@ def test_evaluate_equals_mllib_multiclass(spark):
         assert abs(ours[name] - want) < 1e-12, name
 
 
+def _small_corpus(spark):
+    c = corpus(spark, SF_SMALL)
+    return c, X.term_frequencies(X.terms(c, keep=("label",)), keep=("label",))
+
+
+def test_terms_equal_array_pipeline(spark):
+    c, _ = _small_corpus(spark)
+    arr = X.remove_stopwords(X.tokenize(c)).select("event_id", F.explode("filtered_words").alias("term"))
+    flat = X.terms(c).select("event_id", "term")
+    assert arr.exceptAll(flat).count() == 0 and flat.exceptAll(arr).count() == 0
+
+
 def test_relational_nb_theta_equals_mllib(spark):
-    toks = corpus(spark, SF_SMALL)
-    vocab = X.vocabulary(toks, vocab_size=5000, min_df=2)
+    c, tf = _small_corpus(spark)
+    vocab = X.vocabulary(tf, vocab_size=5000, min_df=2)
     rel = {(r.label, r.term): r.theta for r in X.nb_theta(
-        X.tfidf(toks, vocab), toks.select("event_id", "label"), vocab).collect()}
+        X.tfidf(tf, vocab, c, keep=("label",)), vocab).collect()}
     # MLlib on the same vocabulary order
     terms = [r.term for r in vocab.orderBy("rank").collect()]
     from pyspark.ml.feature import CountVectorizerModel
+    toks = X.remove_stopwords(X.tokenize(c))
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol="filtered_words", outputCol="tf")
-    tf = cv.transform(toks)
-    feats = IDF(inputCol="tf", outputCol="features").fit(tf).transform(tf) \
+    tfv = cv.transform(toks)
+    feats = IDF(inputCol="tf", outputCol="features").fit(tfv).transform(tfv) \
         .withColumn("label", F.col("label").cast("double"))
     theta = NaiveBayes(smoothing=1.0).fit(feats).theta.toArray()
     for (label, term), v in rel.items():
@@ -134,8 +147,9 @@ def test_relational_nb_theta_equals_mllib(spark):
 
 
 def test_relational_hashing_tf_equals_mllib(spark):
-    toks = corpus(spark, SF_SMALL)
-    rel = {(r.event_id, r["index"]): r.tf for r in X.hashing_tf(toks, num_features=1000).collect()}
+    c, tf = _small_corpus(spark)
+    rel = {(r.event_id, r["index"]): r.tf for r in X.hashing_tf(tf, num_features=1000).collect()}
+    toks = X.remove_stopwords(X.tokenize(c))
     h = HashingTF(inputCol="filtered_words", outputCol="v", numFeatures=1000).transform(toks)
     ml = {}
     for r in h.select("event_id", "v").collect():
@@ -145,8 +159,9 @@ def test_relational_hashing_tf_equals_mllib(spark):
 
 
 def test_vocabulary_matches_countvectorizer_counts(spark):
-    toks = corpus(spark, SF_SMALL)
-    rel = X.vocabulary(toks, vocab_size=50, min_df=2).collect()
+    c, tf = _small_corpus(spark)
+    rel = X.vocabulary(tf, vocab_size=50, min_df=2).collect()
+    toks = X.remove_stopwords(X.tokenize(c))
     model = CountVectorizer(inputCol="filtered_words", outputCol="v", vocabSize=50, minDF=2.0).fit(toks)
     # same term set except possibly at a tie on the last count
     last = rel[-1].term_count
