@@ -137,9 +137,9 @@ def test_ties(spark):
     df = spark.createDataFrame(rows, "app_id int, app_name string, sentiment string, review_votes int")
     top = P.top_apps(df, 20).collect()
     assert [r.app_id for r in top] == list(range(20))  # equal counts -> by app id
-    docs = spark.createDataFrame([(1, "b a c"), (2, "c a b")], "event_id long, review_text string")
+    docs = spark.createDataFrame([(1, "yy xx zz"), (2, "zz xx yy")], "event_id long, review_text string")
     v = X.vocabulary(X.term_frequencies(X.terms(docs)), vocab_size=2, min_df=1).orderBy("rank").collect()
-    assert [r.term for r in v] == ["a", "b"]
+    assert [r.term for r in v] == ["xx", "yy"]
     sc = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9)], "label int, score double")
     pts = V.roc_points(sc, with_origin=False).collect()
     assert [(r.score, r.pos, r.neg, r.tp, r.fp) for r in pts] == [(0.9, 1, 0, 1, 0), (0.5, 1, 1, 2, 1)]
