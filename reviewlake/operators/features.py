@@ -169,3 +169,43 @@ def text_pipeline(classifier, text_col: str = "review_text", vocab_size: int = 5
     """The five feature stages plus ``classifier`` as one Pipeline."""
     return Pipeline(stages=feature_stages(text_col, vocab_size, min_df, hashing_features)
                     + [classifier])
+
+
+def numeric_features(df: DataFrame, train: DataFrame, app_col: str = "app_id",
+                     text_col: str = "review_text", class_col: str = "sentiment",
+                     votes_col: str = "review_votes", key: str = "event_id") -> DataFrame:
+    """(key, text length, word count, votes, app review count, app positive ratio).
+
+    App statistics come from ``train`` only (computing them on all rows would
+    leak test labels into the features); apps unseen in training get nulls.
+    The per-app frame has one row per app and is joined by AQE's choice.
+    """
+    apps = train.groupBy(app_col).agg(
+        F.count(F.lit(1)).alias("app_review_count"),
+        F.avg(F.when(F.col(class_col) == "positive", 1.0).otherwise(0.0)).alias("app_positive_ratio"))
+    words = F.size(tokens_expr(text_col))
+    return (df.select(key, app_col,
+                      F.length(text_col).alias("review_text_length"),
+                      F.when(F.col(text_col).isNull(), None).otherwise(words).alias("review_text_word_count"),
+                      F.col(votes_col).alias("review_votes"))
+            .join(apps, app_col, "left")
+            .select(key, "review_text_length", "review_text_word_count", "review_votes",
+                    "app_review_count", "app_positive_ratio"))
+
+
+def class_weights(df: DataFrame, label_col: str = "label_text") -> DataFrame:
+    """(label, weight): total / (classes * class count), the balanced loss weight."""
+    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy()  # one row per class
+    return counts.select(label_col, (F.sum("n").over(whole) /
+                                     (F.count(F.lit(1)).over(whole) * F.col("n"))).alias("weight"))
+
+
+def with_class_weights(df: DataFrame, label_col: str = "label_text",
+                       out_col: str = "weight") -> DataFrame:
+    """Adds the class weight column (``weightCol`` for MLlib) instead of undersampling.
+
+    The weight frame has one row per class, so it is broadcast.
+    """
+    w = class_weights(df, label_col).withColumnRenamed("weight", out_col)
+    return df.join(F.broadcast(w), label_col, "left")

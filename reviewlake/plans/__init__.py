@@ -2,5 +2,5 @@
 
 from reviewlake.plans.registry import QUERIES, ORACLE  # noqa: F401
 from reviewlake.plans import (  # noqa: F401  (registers)
-    profile_q, sampling_q, evaluate_q, features_q, ingest_q, models_q,
+    profile_q, sampling_q, evaluate_q, features_q, ingest_q, models_q, extra_q,
 )

@@ -80,3 +80,15 @@ STOP_WORDS_EN = [
     "shouldn't", "mustn't", "can't", "couldn't", 'cannot', 'could', "here's", "how's",
     "let's", 'ought', "that's", "there's", "what's", "when's", "where's", "who's", "why's",
     'would',]
+
+# Display names used by the reports.
+SCORE_LABELS = {1: "Positive (1)", -1: "Negative (-1)"}
+METRIC_LABELS = {
+    "area_under_roc": "AUC-ROC", "f1_score": "F1-Score", "accuracy": "Accuracy",
+    "weighted_recall": "Recall", "weighted_precision": "Precision",
+}
+MODEL_SHORT_NAMES = {
+    "Logistic Regression Existing": "LR", "Decision Tree Classifier": "DT",
+    "Random Forest Classifier": "RF", "Gradient Boosted Trees Classifier": "GBT",
+    "Naive Bayes": "NB",
+}
