@@ -135,24 +135,27 @@ def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "sc
     merged = F.sort_array(F.array_union(bounds, F.array(F.col("score"))))
     with_b = agg.withColumn("__b", F.array_position(merged, F.col("score")) - 1)
     tot = with_b.groupBy("__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"))
+    # offsets and class totals over the bucket totals (at most `buckets` rows)
     higher = Window.orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy()
     off = tot.select("__b", (F.sum("__bp").over(higher) - F.col("__bp")).alias("__op"),
-                     (F.sum("__bn").over(higher) - F.col("__bn")).alias("__on"))
+                     (F.sum("__bn").over(higher) - F.col("__bn")).alias("__on"),
+                     F.sum("__bp").over(whole).alias("__P"), F.sum("__bn").over(whole).alias("__N"))
     inside = (Window.partitionBy("__b").orderBy(F.desc("score"))
               .rowsBetween(Window.unboundedPreceding, 0))
-    P = agg.select(F.sum("pos")).scalar()
-    N = agg.select(F.sum("neg")).scalar()
     pts = (with_b.join(F.broadcast(off), "__b", "inner")
            .select("score", "pos", "neg",
                    (F.col("__op") + F.sum("pos").over(inside)).alias("tp"),
-                   (F.col("__on") + F.sum("neg").over(inside)).alias("fp")))
+                   (F.col("__on") + F.sum("neg").over(inside)).alias("fp"), "__P", "__N"))
     if with_origin:
-        origin = agg.limit(1).select(F.lit(None).cast("double").alias("score"),
-                                     F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("neg"),
-                                     F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"))
+        origin = off.limit(1).select(
+            F.lit(None).cast("double").alias("score"), F.lit(0).cast("long").alias("pos"),
+            F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("tp"),
+            F.lit(0).cast("long").alias("fp"), "__P", "__N")
         pts = pts.unionByName(origin)
-    return (pts.withColumn("tpr", F.try_divide(F.col("tp").cast("double"), P.cast("double")))
-            .withColumn("fpr", F.try_divide(F.col("fp").cast("double"), N.cast("double")))
+    return (pts.withColumn("tpr", F.try_divide(F.col("tp").cast("double"), F.col("__P").cast("double")))
+            .withColumn("fpr", F.try_divide(F.col("fp").cast("double"), F.col("__N").cast("double")))
+            .drop("__P", "__N")
             .orderBy(F.desc_nulls_first("score")))
 
 

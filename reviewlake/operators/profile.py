@@ -14,6 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+LENGTH_COL = "review_text_length"
+
+
+def _length(df: DataFrame, text_col: str) -> Column:
+    """Text length: a precomputed ``review_text_length`` column if present."""
+    return F.col(LENGTH_COL) if LENGTH_COL in df.columns else F.length(text_col)
+
+
 def _stack(cols: list[tuple[str, Column]], name_col: str, value_col: str) -> list[Column]:
     """``stack`` expression turning one wide row into (name, value) rows."""
     args = ", ".join(f"'{n}', `{n}`" for n, _ in cols)
@@ -128,7 +136,7 @@ def hourly_trend(df: DataFrame, ts_col: str = "event_time") -> DataFrame:
 def text_length(df: DataFrame, text_col: str = "review_text",
                 out_col: str = "review_text_length") -> DataFrame:
     """Adds the character (code point) length of the text; null stays null."""
-    return df.withColumn(out_col, F.length(text_col))
+    return df.withColumn(out_col, _length(df, text_col))
 
 
 def text_length_summary(df: DataFrame, class_col: str = "sentiment",
@@ -136,14 +144,14 @@ def text_length_summary(df: DataFrame, class_col: str = "sentiment",
     """(sentiment, review_count, avg_review_text_length)."""
     return (df.groupBy(class_col).agg(
         F.count(F.lit(1)).alias("review_count"),
-        F.avg(F.length(text_col)).alias("avg_review_text_length"))
+        F.avg(_length(df, text_col)).alias("avg_review_text_length"))
         .orderBy(class_col))
 
 
 def length_gap(df: DataFrame, class_col: str = "sentiment",
                text_col: str = "review_text") -> DataFrame:
     """One row: mean length of negative and positive texts and their difference."""
-    ln = F.length(text_col)
+    ln = _length(df, text_col)
     neg = F.avg(F.when(F.col(class_col) == "negative", ln))
     pos = F.avg(F.when(F.col(class_col) == "positive", ln))
     return df.agg(neg.alias("negative_avg_length"), pos.alias("positive_avg_length"),
@@ -159,7 +167,7 @@ def length_stats(df: DataFrame, class_col: str = "sentiment", text_col: str = "r
     the number of *distinct lengths*, not rows; ``exact=False`` switches to
     the mergeable ``percentile_approx`` sketch for unbounded domains.
     """
-    ln = F.length(text_col)
+    ln = _length(df, text_col)
     if exact:
         q = F.percentile(ln, F.array(F.lit(0.5), F.lit(0.75)))
     else:
@@ -176,7 +184,7 @@ def length_quantiles(df: DataFrame, text_col: str = "review_text",
                      probs: tuple[float, ...] = (0.25, 0.5, 0.75), exact: bool = True,
                      accuracy: int = 100000) -> DataFrame:
     """One row of length quantiles over all rows (``p25``, ``p50``, ``p75``)."""
-    ln = F.length(text_col)
+    ln = _length(df, text_col)
     if exact:
         q = F.percentile(ln, F.array(*[F.lit(p) for p in probs]))
     else:
@@ -193,7 +201,7 @@ def length_histogram(df: DataFrame, bins: int = 60, class_col: str = "sentiment"
     min/max are scalar subqueries (one tiny job), so the histogram itself is a
     single grouped aggregation with no join.
     """
-    ln = F.length(text_col)
+    ln = _length(df, text_col)
     lengths = df.where(ln.isNotNull())
     lo = lengths.select(F.min(ln).cast("double")).scalar()
     hi = lengths.select(F.max(ln).cast("double")).scalar()
@@ -239,7 +247,7 @@ def length_votes_trend(df: DataFrame, points: int = 100, text_col: str = "review
     rows, no driver sample); the fitted points are generated from the one
     result row with ``sequence`` + ``explode``.
     """
-    x = F.length(text_col).cast("double")
+    x = _length(df, text_col).cast("double")
     y = F.col(votes_col).cast("double")
     fit = (votes_filter(df, votes_col).where(x.isNotNull())
            .agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),

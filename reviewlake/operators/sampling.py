@@ -130,14 +130,51 @@ def sample_n(df: DataFrame, n: int, key: str = "event_id", salt: str = "") -> Da
     return hash_top_n(df, n, [key], [], salt)
 
 
+def _is_wide(df: DataFrame, key: str) -> bool:
+    return df.schema[key].dataType.simpleString() in ("string", "binary")
+
+
+def _shared_hashes(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """8-byte hashes of ``key`` present on both sides (only hashes are shuffled)."""
+    ha = a.select(F.xxhash64(key).alias("__kh")).distinct()
+    hb = b.select(F.xxhash64(key).alias("__kh")).distinct()
+    return ha.join(hb, "__kh", "left_semi")
+
+
 def leakage_check(train: DataFrame, test: DataFrame, key: str = "event_id") -> DataFrame:
-    """Test rows whose ``key`` also occurs in train (left semi join); expected empty."""
-    return test.join(train.select(key), key, "left_semi")
+    """Test rows whose ``key`` also occurs in train (left semi join); expected empty.
+
+    For a wide key (e.g. the review text) the sides are first matched on an
+    8-byte hash; only rows whose hash occurs on both sides take part in the
+    exact comparison, so non-matching texts are never shuffled when the
+    shared-hash set is small (AQE broadcasts it by runtime size; otherwise it
+    falls back to a shuffled join, still exact).
+    """
+    if not _is_wide(test, key):
+        return test.join(train.select(key), key, "left_semi")
+    shared = _shared_hashes(test, train, key)
+    cand = test.withColumn("__kh", F.xxhash64(key)).join(shared, "__kh", "left_semi")
+    cand_train = (train.select(key, F.xxhash64(key).alias("__kh"))
+                  .join(shared, "__kh", "left_semi"))
+    return cand.join(cand_train, ["__kh", key], "left_semi").drop("__kh")
 
 
 def exclude_training(scored: DataFrame, train: DataFrame, key: str = "event_id") -> DataFrame:
-    """Rows of ``scored`` whose ``key`` is not in the training set (left anti join)."""
-    return scored.join(train.select(key), key, "left_anti")
+    """Rows of ``scored`` whose ``key`` is not in the training set (left anti join).
+
+    Wide keys use the same hash prefilter as ``leakage_check``: rows whose
+    hash never occurs in train are kept without any exact comparison.
+    """
+    if not _is_wide(scored, key):
+        return scored.join(train.select(key), key, "left_anti")
+    shared = _shared_hashes(scored, train, key)
+    hashed = scored.withColumn("__kh", F.xxhash64(key))
+    clear = hashed.join(shared, "__kh", "left_anti")
+    cand = hashed.join(shared, "__kh", "left_semi")
+    cand_train = (train.select(key, F.xxhash64(key).alias("__kh"))
+                  .join(shared, "__kh", "left_semi"))
+    kept = cand.join(cand_train, ["__kh", key], "left_anti")
+    return clear.unionByName(kept).drop("__kh")
 
 
 def partition_by_key(df: DataFrame, n: int | None = None, key: str = "app_id") -> DataFrame:

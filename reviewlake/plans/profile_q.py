@@ -89,14 +89,14 @@ def q_hourly_trend(spark, sf):
 @register("text_length", with_views(
     "SELECT event_id, length(review_text) AS review_text_length FROM reviews", "reviews"))
 def q_text_length(spark, sf):
-    return P.text_length(reviews(spark, sf)).select("event_id", "review_text_length")
+    return P.text_length(reviews(spark, sf, text="length")).select("event_id", "review_text_length")
 
 
 @register("text_length_summary", with_views("""
 SELECT sentiment, count(*) AS review_count, avg(length(review_text)) AS avg_review_text_length
 FROM reviews GROUP BY sentiment""", "reviews"))
 def q_text_length_summary(spark, sf):
-    return P.text_length_summary(reviews(spark, sf))
+    return P.text_length_summary(reviews(spark, sf, text="length"))
 
 
 @register("length_gap", with_views("""
@@ -106,7 +106,7 @@ SELECT avg(length(review_text)) FILTER (WHERE sentiment = 'negative') AS negativ
      - avg(length(review_text)) FILTER (WHERE sentiment = 'positive') AS length_gap
 FROM reviews""", "reviews"))
 def q_length_gap(spark, sf):
-    return P.length_gap(reviews(spark, sf))
+    return P.length_gap(reviews(spark, sf, text="length"))
 
 
 @register("length_stats", with_views("""
@@ -116,7 +116,7 @@ SELECT sentiment, count(length(review_text)) AS n, avg(length(review_text)) AS m
        quantile_cont(length(review_text), 0.75) AS p75_length
 FROM reviews GROUP BY sentiment""", "reviews"))
 def q_length_stats(spark, sf):
-    return P.length_stats(reviews(spark, sf))
+    return P.length_stats(reviews(spark, sf, text="length"))
 
 
 @register("length_quantiles", with_views("""
@@ -125,7 +125,7 @@ SELECT quantile_cont(length(review_text), 0.25) AS p25,
        quantile_cont(length(review_text), 0.75) AS p75
 FROM reviews""", "reviews"))
 def q_length_quantiles(spark, sf):
-    return P.length_quantiles(reviews(spark, sf))
+    return P.length_quantiles(reviews(spark, sf, text="length"))
 
 
 @register("length_histogram", with_views("""
@@ -139,7 +139,7 @@ FROM (SELECT r.sentiment, w.lo, w.width,
       FROM reviews r, w WHERE r.review_text IS NOT NULL) x
 GROUP BY sentiment, bin, lo, width""", "reviews").replace("\n, b AS", ", b AS", 1))
 def q_length_histogram(spark, sf):
-    return P.length_histogram(reviews(spark, sf), 60)
+    return P.length_histogram(reviews(spark, sf, text="length"), 60)
 
 
 @register("app_sentiment_share", with_views("""
@@ -171,7 +171,7 @@ SELECT i, slope, intercept, x_min + i * ((x_max - x_min) / 99.0) AS x,
        intercept + slope * (x_min + i * ((x_max - x_min) / 99.0)) AS y_fit
 FROM f, range(0, 100) r(i) WHERE n > 0""", "reviews").replace("\n, f AS", ", f AS", 1))
 def q_length_votes_trend(spark, sf):
-    return P.length_votes_trend(reviews(spark, sf), 100)
+    return P.length_votes_trend(reviews(spark, sf, text="length"), 100)
 
 
 @register("class_distribution", with_views(

@@ -19,14 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, text: str = "text") -> DataFrame:
     """Silver-shaped review events over ``documents`` joined with ``labels``.
 
     Inner equi-join on ``doc_id``; the strategy (broadcast when ``labels`` is
-    small by runtime statistics, else sort-merge) is left to AQE. Columns not
-    used downstream (notably ``text``) are pruned out of the scan by Catalyst.
+    small by runtime statistics, else sort-merge) is left to AQE. Unused
+    columns are pruned out of the scan by Catalyst.
+
+    ``text="length"`` replaces ``review_text`` by ``review_text_length``
+    computed on the documents side *before* the join: length-only reports
+    then shuffle an int per row instead of the whole text (Catalyst prunes
+    columns through a join but does not push expressions below it).
     """
-    d = table(spark, sf_dir, "documents").alias("d")
+    d = table(spark, sf_dir, "documents")
+    if text == "length":
+        d = d.select("doc_id", "source", F.length("text").alias("review_text_length"))
+        text_cols = [F.col("d.review_text_length")]
+    else:
+        text_cols = [F.col("d.text").alias("review_text")]
+    d = d.alias("d")
     lab = table(spark, sf_dir, "labels").alias("l")
     positive = F.col("l.quality") == 1
     return (
@@ -36,7 +47,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("review").alias("event_type"),
             F.substring("d.source", 4, 1 << 20).cast("int").alias("app_id"),
             F.col("d.source").alias("app_name"),
-            F.col("d.text").alias("review_text"),
+            *text_cols,
             F.when(positive, 1).otherwise(-1).alias("review_score"),
             F.col("l.toxic").alias("review_votes"),
             F.when(positive, "positive").otherwise("negative").alias("sentiment"),

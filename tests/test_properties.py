@@ -199,3 +199,14 @@ def test_sampling_has_no_unpartitioned_window(spark):
     rv = reviews(spark, SF_MID)
     for df in (S.balanced_sample(C.model_frame(rv), 30), S.per_group_sample(rv, 3, "app_id")):
         assert _unpartitioned_windows(df) == []
+
+
+def test_hash_prefiltered_joins_equal_plain_joins(spark):
+    rows_a = [(1, "x"), (2, "y"), (3, None), (4, "x"), (5, "zz")]
+    rows_b = [(10, "x"), (11, None), (12, "q"), (13, "x")]
+    a = spark.createDataFrame(rows_a, "event_id long, review_text string")
+    b = spark.createDataFrame(rows_b, "event_id long, review_text string")
+    semi = a.join(b.select("review_text"), "review_text", "left_semi")
+    anti = a.join(b.select("review_text"), "review_text", "left_anti")
+    assert _ids(S.leakage_check(b, a, "review_text")) == _ids(semi) == [1, 4]
+    assert _ids(S.exclude_training(a, b, "review_text")) == _ids(anti) == [2, 3, 5]
