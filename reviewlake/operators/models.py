@@ -164,6 +164,20 @@ def feature_importance(spark: SparkSession, model: PipelineModel, model_name: st
                        F.col("value").alias("importance"))
 
 
+def fit_partitions(df: DataFrame, rows_per_partition: int = 1000) -> DataFrame:
+    """Coalesce a bounded training frame to a size-derived partition count.
+
+    Iterative MLlib fits run many small jobs; on a sample of a few thousand
+    rows, per-task overhead dominates, so use at most one partition per core
+    and at least ``rows_per_partition`` rows per partition (no shuffle).
+    """
+    import math
+    n = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    k = max(1, min(df.rdd.getNumPartitions(), cores, math.ceil(n / rows_per_partition)))
+    return df.coalesce(k)
+
+
 def compare_models(train: DataFrame, test: DataFrame, kinds: tuple[str, ...] = ("lr", "dt", "rf", "gbt", "nb"),
                    score_col: str = "probability", buckets: int = 64):
     """Fit every model on the same split, score the same test rows, evaluate.
@@ -179,7 +193,8 @@ def compare_models(train: DataFrame, test: DataFrame, kinds: tuple[str, ...] = (
         hashing = kind == "lr"
         if hashing not in feats:
             fm = fit_features(train, hashing=hashing)
-            feats[hashing] = (fm, fm.transform(train).persist(StorageLevel.MEMORY_AND_DISK))
+            tf = fit_partitions(fm.transform(train)).persist(StorageLevel.MEMORY_AND_DISK)
+            feats[hashing] = (fm, tf)
         fm, tf = feats[hashing]
         model = fit_classifier(fm, train, kind, tf)
         pred = score(model, test, score_col).persist(StorageLevel.MEMORY_AND_DISK)

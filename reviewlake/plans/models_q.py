@@ -31,8 +31,8 @@ def split(spark, sf):
     key = (id(spark), sf, "split")
     if key not in _CACHE:
         mf = C.model_frame(reviews(spark, sf))
-        s = S.hash_split(S.balanced_sample(mf, SAMPLE_PER_CLASS), "event_id", 0.8)
-        _CACHE[key] = (S.train_part(s).cache(), S.test_part(s).cache())
+        s = S.hash_split(S.balanced_sample(mf, SAMPLE_PER_CLASS), "event_id", 0.8).cache()
+        _CACHE[key] = (S.train_part(s), S.test_part(s))
     return _CACHE[key]
 
 
