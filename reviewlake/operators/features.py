@@ -209,3 +209,13 @@ def with_class_weights(df: DataFrame, label_col: str = "label_text",
     """
     w = class_weights(df, label_col).withColumnRenamed("weight", out_col)
     return df.join(F.broadcast(w), label_col, "left")
+
+
+def term_lookup(tf: DataFrame, vocab: DataFrame, doc_col: str = "event_id") -> DataFrame:
+    """(doc, index, tf): term -> vector index through the vocabulary.
+
+    The relational CountVectorizer output; the vocabulary side is bounded by
+    ``vocab_size`` and broadcast.
+    """
+    v = F.broadcast(vocab.select("term", F.col("rank").alias("index")))
+    return tf.join(v, "term", "inner").select(doc_col, "index", "tf")

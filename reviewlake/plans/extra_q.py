@@ -102,3 +102,49 @@ def q_silver_stream(spark, sf):
     bronze = spark.readStream.schema(spark.read.parquet(f"{out}/bronze").schema).parquet(f"{out}/bronze")
     silver_stream(bronze, f"{out}/silver", f"{out}/rejects", f"{out}/_s")
     return spark.read.parquet(f"{out}/silver").select(*_EVENT_COLS)
+
+
+@register("label_grid", """
+WITH s AS (SELECT CASE WHEN l.quality = 1 THEN 'positive' ELSE 'negative' END AS label_text,
+                  CASE WHEN CAST(d.n_chars AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + 1000.0) >= 0.99
+                       THEN 'positive' ELSE 'negative' END AS prediction_text
+           FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+SELECT g.label_text, g.prediction_text, count(s.label_text) AS count
+FROM (SELECT * FROM (VALUES ('negative'), ('positive')) a(label_text),
+                    (VALUES ('negative'), ('positive')) b(prediction_text)) g
+LEFT JOIN s ON s.label_text = g.label_text AND s.prediction_text = g.prediction_text
+GROUP BY 1, 2""")
+def q_label_grid(spark, sf):
+    """Confusion grid at a threshold that leaves cells empty: zeros are rows, not gaps."""
+    from reviewlake.operators import evaluate as V
+    n = table(spark, sf, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    x = F.col("n_chars").cast("double")
+    s = n.join(lab, "doc_id").select(
+        F.col("quality").alias("label"), (x / (x + F.lit(1000.0))).alias("score"))
+    return V.confusion_matrix(V.with_prediction_text(s, "score", 0.99))
+
+
+@register("scan_table", with_views(_BUILT_SQL, "reviews"))
+def q_scan_table(spark, sf):
+    """Silver written twice as snapshots; the reader sees only the newest version."""
+    from reviewlake.sinks.stream import event_records
+    from reviewlake.sinks.tables import write_silver
+    from reviewlake.sources.tables import scan_table
+    out = scratch_dir(spark, "snap")
+    built = _built(spark, sf).where(F.col("reject_reason").isNull()).drop("reject_reason")
+    tagged = C.tag_events(C.bronze_project(event_records(built)))
+    # an older version with stale values: reading it (or both) would fail the oracle
+    write_silver(tagged.withColumn("app_name", F.lit("stale")), f"{out}/silver")
+    write_silver(tagged, f"{out}/silver")
+    return scan_table(spark, f"{out}/silver").where(F.col("status") == "valid").select(*_EVENT_COLS)
+
+
+@register("write_report", with_views("""
+SELECT sentiment, CAST(count(*) AS VARCHAR) AS count FROM reviews GROUP BY sentiment""", "reviews"))
+def q_write_report(spark, sf):
+    """A report written as one CSV file and read back (values come back as strings)."""
+    from reviewlake.sinks.tables import write_report
+    path = f"{scratch_dir(spark, 'report')}/sentiment_distribution"
+    write_report(P.sentiment_distribution(reviews(spark, sf)), path)
+    return spark.read.option("header", True).csv(path)

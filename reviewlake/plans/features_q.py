@@ -112,3 +112,10 @@ def q_nb_theta(spark, sf):
 def q_hashing_tf(spark, sf):
     """(doc, index, tf) with 20,000 hashed slots; rows-only (no Murmur3 in the oracle)."""
     return X.hashing_tf(tf_frame(spark, sf), num_features=20000)
+
+
+@register("term_lookup", _sql("""
+SELECT tf.event_id, vocab.rank AS "index", tf.tf FROM tf JOIN vocab ON tf.term = vocab.term"""))
+def q_term_lookup(spark, sf):
+    """Document-term counts indexed by vocabulary rank (relational CountVectorizer)."""
+    return X.term_lookup(tf_frame(spark, sf), vocab_frame(spark, sf))
