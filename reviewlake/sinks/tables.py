@@ -17,23 +17,29 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _versions(spark: SparkSession, root: str, committed: bool = True) -> list[int]:
+    fs, p, jvm = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith("v=")):
+            continue
+        if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")) or any(
+                fs.exists(jvm.org.apache.hadoop.fs.Path(c.getPath(), "_SUCCESS"))
+                for c in fs.listStatus(st.getPath()) if c.isDirectory()):
+            out.append(int(name[2:]))
+    return out
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> str:
     """Newest committed version directory (``v=<n>`` holding ``_SUCCESS``) under ``root``.
 
     A plain directory without versions is returned as is. Readers never glob
     data files, so files of superseded versions are never read.
     """
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
-        return root
-    versions = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")) or any(
-                    fs.exists(jvm.org.apache.hadoop.fs.Path(c.getPath(), "_SUCCESS"))
-                    for c in fs.listStatus(st.getPath()) if c.isDirectory()):
-                versions.append(int(name[2:]))
+    versions = _versions(spark, root)
     return f"{root.rstrip('/')}/v={max(versions)}" if versions else root
 
 
@@ -54,7 +60,9 @@ def write_silver(tagged: DataFrame, root: str, fmt: str = "parquet",
     if fmt == "delta":
         out.write.format("delta").mode("overwrite").partitionBy("status").save(root)
         return root
-    target = f"{root.rstrip('/')}/v={int(time.time() * 1000)}"
+    spark = tagged.sparkSession
+    version = max([int(time.time() * 1000)] + [v + 1 for v in _versions(spark, root, False)])
+    target = f"{root.rstrip('/')}/v={version}"
     out.write.mode("errorifexists").partitionBy("status").format(fmt).save(target)
     return target
 
