@@ -51,14 +51,14 @@ def with_views(sql: str, *views: str) -> str:
 def register(name: str, sql: str | None = None, round_digits: int | None = 6):
     """Register a query; its result doubles are rounded for cross-engine hashing."""
     def deco(fn: QueryFn) -> QueryFn:
-        if round_digits is None:
-            QUERIES[name] = fn
-        else:
-            def wrapped(spark: SparkSession, sf_dir: str, _fn=fn) -> DataFrame:
-                return round_doubles(_fn(spark, sf_dir), round_digits)
-            wrapped.__name__ = fn.__name__
-            wrapped.__doc__ = fn.__doc__
-            QUERIES[name] = wrapped
+        def wrapped(spark: SparkSession, sf_dir: str, _fn=fn) -> DataFrame:
+            # the library's contract: UTC sessions (hour buckets, ISO offsets)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            df = _fn(spark, sf_dir)
+            return df if round_digits is None else round_doubles(df, round_digits)
+        wrapped.__name__ = fn.__name__
+        wrapped.__doc__ = fn.__doc__
+        QUERIES[name] = wrapped
         if sql is not None:
             ORACLE[name] = sql
         return fn
