@@ -87,7 +87,7 @@ def vocabulary(tf: DataFrame, vocab_size: int = 5000, min_df: int = 5) -> DataFr
            .limit(vocab_size))
     # the window runs over at most vocab_size rows
     w = Window.orderBy(F.desc("term_count"), F.asc("term"))
-    return top.withColumn("rank", F.row_number().over(w) - 1)
+    return top.withColumn("rank", (F.row_number().over(w) - 1).cast("long"))
 
 
 def tfidf(tf: DataFrame, vocab: DataFrame, docs: DataFrame, doc_col: str = "event_id",
@@ -185,8 +185,9 @@ def numeric_features(df: DataFrame, train: DataFrame, app_col: str = "app_id",
         F.avg(F.when(F.col(class_col) == "positive", 1.0).otherwise(0.0)).alias("app_positive_ratio"))
     words = F.size(tokens_expr(text_col))
     return (df.select(key, app_col,
-                      F.length(text_col).alias("review_text_length"),
-                      F.when(F.col(text_col).isNull(), None).otherwise(words).alias("review_text_word_count"),
+                      F.length(text_col).cast("long").alias("review_text_length"),
+                      F.when(F.col(text_col).isNull(), None).otherwise(words).cast("long")
+                      .alias("review_text_word_count"),
                       F.col(votes_col).alias("review_votes"))
             .join(apps, app_col, "left")
             .select(key, "review_text_length", "review_text_word_count", "review_votes",

@@ -256,7 +256,8 @@ def length_votes_trend(df: DataFrame, points: int = 100, text_col: str = "review
                   (F.col("x_max") - F.col("x_min")) / F.lit(max(points - 1, 1))).otherwise(0.0)
     return (fit.where(F.col("n") > 0)
             .select("slope", "intercept", "x_min", step.alias("step"),
-                    F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long")))
+                    .alias("i"))
             .select("i", "slope", "intercept",
                     (F.col("x_min") + F.col("i") * F.col("step")).alias("x"))
             .withColumn("y_fit", F.col("intercept") + F.col("slope") * F.col("x"))

@@ -33,7 +33,7 @@ def rank_models(comparison: DataFrame, metric: str = "f1_score",
     dashboard's; the choice is explicit.
     """
     w = Window.orderBy(F.desc_nulls_last(metric), F.asc(name_col))
-    return (comparison.withColumn("rank", F.row_number().over(w))
+    return (comparison.withColumn("rank", F.row_number().over(w).cast("long"))
             .withColumn("is_best", F.col("rank") == 1)
             .orderBy("rank"))
 

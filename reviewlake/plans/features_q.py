@@ -63,14 +63,16 @@ def vocab_frame(spark, sf):
 SELECT event_id, generate_subscripts(words, 1) - 1 AS pos, unnest(words) AS token FROM tok"""))
 def q_tokenize(spark, sf):
     t = X.tokenize(C.model_frame(reviews(spark, sf)))
-    return t.select("event_id", F.posexplode("words").alias("pos", "token"))
+    return t.select("event_id", F.posexplode("words").alias("pos", "token")).withColumn(
+        "pos", F.col("pos").cast("long"))
 
 
 @register("remove_stopwords", _sql("""
 SELECT event_id, generate_subscripts(fw, 1) - 1 AS pos, unnest(fw) AS token FROM filt"""))
 def q_remove_stopwords(spark, sf):
     toks = X.remove_stopwords(X.tokenize(C.model_frame(reviews(spark, sf))))
-    return toks.select("event_id", F.posexplode("filtered_words").alias("pos", "token"))
+    return toks.select("event_id", F.posexplode("filtered_words").alias("pos", "token")).withColumn(
+        "pos", F.col("pos").cast("long"))
 
 
 @register("vocabulary", _sql("SELECT term, term_count, doc_freq, rank FROM vocab"))

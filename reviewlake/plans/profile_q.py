@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from reviewlake.operators import profile as P
 from reviewlake.operators.clean import model_frame
 from reviewlake.plans.registry import register, with_views
@@ -89,7 +91,8 @@ def q_hourly_trend(spark, sf):
 @register("text_length", with_views(
     "SELECT event_id, length(review_text) AS review_text_length FROM reviews", "reviews"))
 def q_text_length(spark, sf):
-    return P.text_length(reviews(spark, sf, text="length")).select("event_id", "review_text_length")
+    return P.text_length(reviews(spark, sf, text="length")).select(
+        "event_id", F.col("review_text_length").cast("long").alias("review_text_length"))
 
 
 @register("text_length_summary", with_views("""
