@@ -5,10 +5,10 @@
 * Weighted precision/recall/F1 follow MLlib's ``MulticlassMetrics``.
 * ROC needs a running sum in score order. A global ordered window would pull
   every distinct score into one task, so ``roc_points`` cuts the distinct
-  scores into ``buckets`` score ranges (approximate quantiles as boundaries,
-  computed in-plan as a scalar subquery), runs the window inside each range
-  and adds the exact totals of the higher ranges (a ``buckets``-row frame,
-  broadcast by construction).
+  scores into score ranges (approximate quantiles as boundaries, as many
+  ranges as needed to keep each under ``max_bucket_rows`` distinct scores),
+  runs the window inside each range and adds the exact totals of the higher
+  ranges (one row per range, broadcast by construction).
 """
 
 from __future__ import annotations
@@ -111,14 +111,31 @@ def classification_metrics(pred: DataFrame, label_col: str = "label",
         _div0(F.sum(F.col("actual") * recall), total).alias("weighted_recall"))
 
 
+def _bucket_of(score: Column, bounds: list[float]) -> Column:
+    """Number of ``bounds`` (sorted, distinct) below ``score``: a balanced
+    CASE WHEN search tree, log2(len(bounds)) comparisons per row, codegen'd."""
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(score > F.lit(bounds[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
+    return build(0, len(bounds))
+
+
 def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "score",
-               buckets: int = 64, bins: int | None = None,
-               with_origin: bool = True) -> DataFrame:
+               buckets: int = 64, bins: int | None = None, with_origin: bool = True,
+               max_bucket_rows: int = 1_000_000, grid: int = 1024) -> DataFrame:
     """ROC curve: (score, pos, neg, tp, fp, tpr, fpr) per distinct score, descending.
 
     ``tp``/``fp`` count rows with score >= this score. ``bins`` first rounds
     scores down to ``bins`` equal-width steps of [0, 1]. The origin point
     (score null, 0, 0) is added unless ``with_origin=False``.
+
+    Score ranges: one small action returns the number of distinct scores and
+    a ``grid`` of approximate quantiles; the number of ranges is at least
+    ``buckets`` and large enough for ``max_bucket_rows`` distinct scores per
+    range (up to ``grid``), so the ordered window inside a range stays
+    bounded as the data grows. The result does not depend on the ranges.
     """
     s = F.col(score_col).cast("double")
     if bins:
@@ -127,15 +144,16 @@ def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "sc
     agg = (scored.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
            .groupBy(s.alias("score"))
            .agg(F.count(F.when(y, 1)).alias("pos"), F.count(F.when(~y, 1)).alias("neg")))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = agg.select(F.percentile_approx("score", probs, 10000)).scalar() if probs \
-        else F.array().cast("array<double>")
-    # bucket = number of distinct bounds below the score (monotone in score);
-    # plain array functions, since a scalar subquery may not sit in a lambda
-    merged = F.sort_array(F.array_union(bounds, F.array(F.col("score"))))
-    with_b = agg.withColumn("__b", F.array_position(merged, F.col("score")) - 1)
+    probs = [i / grid for i in range(1, grid)]
+    stats = agg.select(F.count(F.lit(1)).alias("n"),
+                       F.percentile_approx("score", probs, max(10 * grid, 10000)).alias("q")).first()
+    n_scores, qs = stats["n"], stats["q"] or []
+    k = min(grid, max(buckets, -(-n_scores // max_bucket_rows)))
+    step = grid / k
+    bounds = sorted({qs[int(round(j * step)) - 1] for j in range(1, k)} if qs else set())
+    with_b = agg.withColumn("__b", _bucket_of(F.col("score"), bounds))
     tot = with_b.groupBy("__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"))
-    # offsets and class totals over the bucket totals (at most `buckets` rows)
+    # offsets and class totals over the bucket totals (one row per range)
     higher = Window.orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy()
     off = tot.select("__b", (F.sum("__bp").over(higher) - F.col("__bp")).alias("__op"),
