@@ -59,9 +59,11 @@ def silver_stream(bronze: DataFrame, silver_path: str, rejects_path: str, checkp
                   fmt: str = "parquet", wait: bool = True) -> StreamingQuery:
     """Incremental bronze -> silver: each micro-batch is parsed once and split.
 
-    ``foreachBatch`` persists the tagged batch, appends valid rows to silver
-    and the rest (with reasons) to rejects. A replayed batch id is skipped via
-    the ``txnVersion`` / ``txnAppId`` writer options when the sink honours them.
+    ``foreachBatch`` persists the tagged batch and writes valid rows to
+    ``silver_path/batch=<id>`` and the rest (with reasons) to
+    ``rejects_path/batch=<id>``, each with overwrite: a batch replayed after a
+    failure rewrites its own folder instead of appending twice. Readers load
+    the root (``batch`` becomes a partition column).
     """
     from reviewlake.schemas import SILVER_COLUMNS
 
@@ -69,10 +71,10 @@ def silver_stream(bronze: DataFrame, silver_path: str, rejects_path: str, checkp
         tagged = tag_events(batch).persist()
         try:
             (tagged.where(F.col("reject_reason").isNull()).select(*SILVER_COLUMNS)
-             .write.mode("append").format(fmt).save(silver_path))
+             .write.mode("overwrite").format(fmt).save(f"{silver_path}/batch={batch_id}"))
             (tagged.where(F.col("reject_reason").isNotNull())
              .select("raw_json", "event_id", "reject_reason")
-             .write.mode("append").format(fmt).save(rejects_path))
+             .write.mode("overwrite").format(fmt).save(f"{rejects_path}/batch={batch_id}"))
         finally:
             tagged.unpersist()
 
