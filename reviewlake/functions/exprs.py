@@ -38,8 +38,9 @@ def hash_fraction_hex(fraction: float) -> str:
     """8-hex-digit threshold t such that ``md5 < t`` keeps ``fraction`` of keys."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be within [0, 1]")
-    v = min(int(fraction * (1 << 32)), (1 << 32) - 1) if fraction < 1.0 else None
-    return "g" if v is None else f"{v:08x}"
+    if fraction >= 1.0:
+        return "g"  # sorts above every hex digest: keep all keys
+    return f"{min(int(fraction * (1 << 32)), (1 << 32) - 1):08x}"
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -65,4 +66,4 @@ def tokens_expr(text: Column | str, keep_empty: bool = False) -> Column:
         last = F.array_max(F.transform(parts, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
         return F.when(F.lower(t) == "", F.array(F.lit(""))).otherwise(
             F.slice(parts, 1, F.coalesce(last, F.lit(0))))
-    return F.filter(parts, lambda x: x != F.lit(""))
+    return F.array_remove(parts, "")  # a built-in (codegen), not a per-element lambda
