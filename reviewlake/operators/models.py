@@ -178,30 +178,48 @@ def fit_partitions(df: DataFrame, rows_per_partition: int = 1000) -> DataFrame:
     return df.coalesce(k)
 
 
-def compare_models(train: DataFrame, test: DataFrame, kinds: tuple[str, ...] = ("lr", "dt", "rf", "gbt", "nb"),
-                   score_col: str = "probability", buckets: int = 64):
+def compare_models(train: DataFrame, test: DataFrame,
+                   kinds: tuple[str, ...] = ("lr", "dt", "rf", "gbt", "nb"),
+                   score_col: str = "probability", buckets: int = 64, parallel: bool = True):
     """Fit every model on the same split, score the same test rows, evaluate.
 
     Returns ``(comparison, models, predictions)``: the comparison has one row
     per model (model_name + the five metrics). Feature stages are fitted once
     per feature kind; each model's predictions are persisted and evaluated
     from that one table.
+
+    ``parallel=True`` submits the independent fits from driver threads, so
+    their (small, overhead-bound) jobs share the executors instead of
+    queueing one model after another; results do not depend on it.
     """
-    feats = {}
-    models, preds, rows = {}, {}, []
-    for kind in kinds:
-        hashing = kind == "lr"
-        if hashing not in feats:
-            fm = fit_features(train, hashing=hashing)
-            tf = fit_partitions(fm.transform(train)).persist(StorageLevel.MEMORY_AND_DISK)
-            feats[hashing] = (fm, tf)
-        fm, tf = feats[hashing]
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(fn, items):
+        items = list(items)
+        if not parallel or len(items) < 2:
+            return [fn(x) for x in items]
+        with ThreadPoolExecutor(max_workers=len(items)) as pool:
+            return list(pool.map(fn, items))
+
+    def featurise(hashing: bool):
+        fm = fit_features(train, hashing=hashing)
+        tf = fit_partitions(fm.transform(train)).persist(StorageLevel.MEMORY_AND_DISK)
+        tf.count()
+        return hashing, (fm, tf)
+
+    feats = dict(run(featurise, sorted({k == "lr" for k in kinds})))
+
+    def fit_and_score(kind: str):
+        fm, tf = feats[kind == "lr"]
         model = fit_classifier(fm, train, kind, tf)
         pred = score(model, test, score_col).persist(StorageLevel.MEMORY_AND_DISK)
-        name = MODEL_NAMES[kind]
+        auc = V.auc(pred, "label", "score", buckets).scalar()  # runs the ranges action
+        return kind, model, pred, auc
+
+    models, preds, rows = {}, {}, []
+    for kind, model, pred, auc in run(fit_and_score, kinds):
         m = V.classification_metrics(pred, "label", "prediction")
-        a = V.auc(pred, "label", "score", buckets).scalar()
-        rows.append(m.select(F.lit(name).alias("model_name"), "*", a.alias("area_under_roc")))
+        rows.append(m.select(F.lit(MODEL_NAMES[kind]).alias("model_name"), "*",
+                             auc.alias("area_under_roc")))
         models[kind], preds[kind] = model, pred
     return concat_results(rows), models, preds
-
