@@ -166,10 +166,12 @@ def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "sc
                    (F.col("__op") + F.sum("pos").over(inside)).alias("tp"),
                    (F.col("__on") + F.sum("neg").over(inside)).alias("fp"), "__P", "__N"))
     if with_origin:
-        origin = off.limit(1).select(
-            F.lit(None).cast("double").alias("score"), F.lit(0).cast("long").alias("pos"),
-            F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("tp"),
-            F.lit(0).cast("long").alias("fp"), "__P", "__N")
+        # the (0, 0) point: one row carrying the class totals (none for empty input)
+        origin = (off.agg(F.max("__P").alias("__P"), F.max("__N").alias("__N"))
+                  .where(F.col("__P").isNotNull())
+                  .select(F.lit(None).cast("double").alias("score"), F.lit(0).cast("long").alias("pos"),
+                          F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("tp"),
+                          F.lit(0).cast("long").alias("fp"), "__P", "__N"))
         pts = pts.unionByName(origin)
     return (pts.withColumn("tpr", F.try_divide(F.col("tp").cast("double"), F.col("__P").cast("double")))
             .withColumn("fpr", F.try_divide(F.col("fp").cast("double"), F.col("__N").cast("double")))
