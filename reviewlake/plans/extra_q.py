@@ -148,3 +148,18 @@ def q_write_report(spark, sf):
     path = f"{scratch_dir(spark, 'report')}/sentiment_distribution"
     write_report(P.sentiment_distribution(reviews(spark, sf)), path)
     return spark.read.option("header", True).csv(path)
+
+
+@register("stream_source", with_views("""
+SELECT CAST(app_id AS VARCHAR) AS key, 'reviews' AS topic, event_id AS "offset" FROM reviews""",
+    "reviews"))
+def q_stream_source(spark, sf):
+    """Review events published as record files, consumed as a bounded-rate stream."""
+    out = scratch_dir(spark, "source")
+    built = _built(spark, sf).where(F.col("reject_reason").isNull()).drop("reject_reason")
+    publish_events(built, f"{out}/topic", fmt="json", topic="reviews")
+    src = stream_source(spark, f"{out}/topic", fmt="json", max_files_per_trigger=2)
+    q = (src.writeStream.format("parquet").option("checkpointLocation", f"{out}/_ckpt")
+         .trigger(availableNow=True).start(f"{out}/records"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/records").select("key", "topic", "offset")

@@ -182,3 +182,20 @@ def q_track_run(spark, sf):
                   {"model": kind}, start)
     return spark.read.parquet(runs).select("run_name", F.size("params").alias("n_params"),
                                            F.size("metrics").alias("n_metrics"))
+
+
+@register("save_model")
+def q_save_model(spark, sf):
+    """The fitted NB pipeline saved; its stage metadata read back (one row per stage)."""
+    _, models, _ = comparison(spark, sf)
+    path = save_model(models["nb"], f"{scratch_dir(spark, 'model')}/nb")
+    return spark.read.json(f"{path}/stages/*/metadata").select("class", "uid")
+
+
+@register("load_model")
+def q_load_model(spark, sf):
+    """A saved pipeline loaded back and applied to the test split."""
+    _, models, _ = comparison(spark, sf)
+    path = save_model(models["dt"], f"{scratch_dir(spark, 'model')}/dt")
+    _, test = split(spark, sf)
+    return _pred_cols(M.score(load_model(path), test))
