@@ -198,13 +198,14 @@ def length_histogram(df: DataFrame, bins: int = 60, class_col: str = "sentiment"
     """(sentiment, bin, bin_start, bin_end, count): equal-width bins of text length.
 
     Bin edges span [min, max] over all classes; the max falls in the last bin.
-    min/max are scalar subqueries (one tiny job), so the histogram itself is a
-    single grouped aggregation with no join.
+    min/max come from one scalar subquery (one small job), so the histogram
+    itself is a single grouped aggregation with no join.
     """
     ln = _length(df, text_col)
     lengths = df.where(ln.isNotNull())
-    lo = lengths.select(F.min(ln).cast("double")).scalar()
-    hi = lengths.select(F.max(ln).cast("double")).scalar()
+    bounds = lengths.select(F.struct(F.min(ln).cast("double").alias("lo"),
+                                     F.max(ln).cast("double").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = F.greatest((hi - lo) / F.lit(float(bins)), F.lit(1e-12))
     b = F.least(F.floor((ln - lo) / width), F.lit(bins - 1)).cast("int")
     return (lengths.groupBy(class_col, b.alias("bin"))
