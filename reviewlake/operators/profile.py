@@ -276,3 +276,31 @@ def class_balance_comparison(real: DataFrame, balanced: DataFrame,
     a = class_distribution(real, label_col).withColumn("source", F.lit("real"))
     b = class_distribution(balanced, label_col).withColumn("source", F.lit("balanced"))
     return a.unionByName(b).select("source", label_col, "count")
+
+
+def profile(df: DataFrame, app_col: str = "app_id", class_col: str = "sentiment",
+            text_col: str = "review_text", classes: tuple[str, ...] = ("negative", "positive")
+            ) -> DataFrame:
+    """(metric, value): the profiling job's scalar reports from ONE scan.
+
+    Total rows, distinct apps and classes, null and blank counts of every
+    column, rows and mean text length per class: one aggregation (the two
+    distinct counts share Catalyst's Expand), instead of one action per report.
+    """
+    text = _length(df, text_col)
+    cls = F.col(class_col)
+    aggs = [F.count(F.lit(1)).cast("double").alias("total_rows"),
+            F.countDistinct(app_col).cast("double").alias("unique_apps"),
+            F.countDistinct(class_col).cast("double").alias("unique_sentiments")]
+    for f in df.schema.fields:
+        aggs.append(F.count(F.when(F.col(f.name).isNull(), 1)).cast("double").alias(f"null_{f.name}"))
+        if f.dataType.simpleString() == "string":
+            aggs.append(F.count(F.when(F.trim(F.col(f.name)) == "", 1)).cast("double")
+                        .alias(f"blank_{f.name}"))
+    for c in classes:
+        aggs.append(F.count(F.when(cls == c, 1)).cast("double").alias(f"rows_{c}"))
+        aggs.append(F.avg(F.when(cls == c, text)).alias(f"avg_length_{c}"))
+    wide = df.agg(*aggs)
+    names = wide.columns
+    args = ", ".join(f"'{n}', `{n}`" for n in names)
+    return wide.select(F.expr(f"stack({len(names)}, {args}) AS (`metric`, `value`)"))

@@ -184,3 +184,26 @@ def q_length_votes_trend(spark, sf):
 def q_class_distribution(spark, sf):
     return P.class_distribution(model_frame(reviews(spark, sf)))
 
+
+
+def _profile_sql() -> str:
+    parts = ["SELECT 'total_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM reviews",
+             "SELECT 'unique_apps', CAST(count(DISTINCT app_id) AS DOUBLE) FROM reviews",
+             "SELECT 'unique_sentiments', CAST(count(DISTINCT sentiment) AS DOUBLE) FROM reviews"]
+    for c in _REVIEW_COLS:
+        parts.append(f"SELECT 'null_{c}', CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) FROM reviews")
+        if c in _REVIEW_STRINGS:
+            parts.append(f"SELECT 'blank_{c}', CAST(count(*) FILTER (WHERE trim({c}) = '') AS DOUBLE) "
+                         "FROM reviews")
+    for k in ("negative", "positive"):
+        parts.append(f"SELECT 'rows_{k}', CAST(count(*) FILTER (WHERE sentiment = '{k}') AS DOUBLE) "
+                     "FROM reviews")
+        parts.append(f"SELECT 'avg_length_{k}', avg(length(review_text)) FILTER "
+                     f"(WHERE sentiment = '{k}') FROM reviews")
+    return with_views("\nUNION ALL\n".join(parts), "reviews")
+
+
+@register("profile", _profile_sql())
+def q_profile(spark, sf):
+    """Every scalar profiling report in one scan of the review table."""
+    return P.profile(reviews(spark, sf))
