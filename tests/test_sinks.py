@@ -82,3 +82,31 @@ def test_silver_stream_batches_are_idempotent(spark, tmpdir_fresh):
                       f"{tmpdir_fresh}/rejects", f"{tmpdir_fresh}/ckpt")
     assert spark.read.parquet(f"{tmpdir_fresh}/silver").count() == 4
     assert spark.read.parquet(f"{tmpdir_fresh}/rejects").count() == 1
+
+
+def test_hourly_trend_stream_drops_rows_behind_the_watermark(spark, tmpdir_fresh):
+    from reviewlake.streaming.pipeline import hourly_trend_stream
+    src = f"{tmpdir_fresh}/src"
+    t = dt.datetime
+    first = [(t(2024, 1, 1, 10, 5),), (t(2024, 1, 1, 11, 10),), (t(2024, 1, 1, 13, 30),)]
+    # after batch 1 the watermark is 13:30 - 1h = 12:30: hour 10 is closed, so
+    # the 10:40 row is late (dropped); 12:45 is still on time
+    second = [(t(2024, 1, 1, 10, 40),), (t(2024, 1, 1, 12, 45),), (t(2024, 1, 1, 15, 0),)]
+    schema = "event_time timestamp"
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{src}/a")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{src}/*")
+    out, ck = f"{tmpdir_fresh}/out", f"{tmpdir_fresh}/ck"
+
+    def run():
+        q = (hourly_trend_stream(stream, "event_time", "1 hour").writeStream.format("parquet")
+             .option("checkpointLocation", ck).outputMode("append")
+             .trigger(availableNow=True).start(out))
+        q.awaitTermination()
+
+    run()
+    spark.createDataFrame(second, schema).coalesce(1).write.parquet(f"{src}/b")
+    run()
+    got = {r.hour.hour: r["count"] for r in spark.read.parquet(out).orderBy("hour").collect()}
+    # final watermark 15:00 - 1h = 14:00: windows ending by then (10..13) are
+    # emitted, hour 15 stays open in state; hour 10 kept its single on-time row
+    assert got == {10: 1, 11: 1, 12: 1, 13: 1}
