@@ -39,14 +39,19 @@ MODEL_NAMES = {
 }
 
 
-def classifier(kind: str):
-    """A fresh estimator of one kind, reading the ``features``/``label`` columns."""
+def classifier(kind: str, weight_col: str | None = None):
+    """A fresh estimator of one kind, reading the ``features``/``label`` columns.
+
+    ``weight_col`` (e.g. from ``features.with_class_weights``) weights the
+    loss per row instead of undersampling the majority class.
+    """
     cls, params = {
         "lr": (LogisticRegression, LR_PARAMS), "dt": (DecisionTreeClassifier, DT_PARAMS),
         "rf": (RandomForestClassifier, RF_PARAMS), "gbt": (GBTClassifier, GBT_PARAMS),
         "nb": (NaiveBayes, NB_PARAMS),
     }[kind]
-    return cls(featuresCol="features", labelCol="label", **params)
+    extra = {"weightCol": weight_col} if weight_col else {}
+    return cls(featuresCol="features", labelCol="label", **params, **extra)
 
 
 def fit_features(train: DataFrame, hashing: bool = False, vocab_size: int = VOCAB_SIZE,
@@ -59,10 +64,11 @@ def fit_features(train: DataFrame, hashing: bool = False, vocab_size: int = VOCA
 
 
 def fit_classifier(features: PipelineModel, train: DataFrame, kind: str,
-                   train_features: DataFrame | None = None) -> PipelineModel:
+                   train_features: DataFrame | None = None,
+                   weight_col: str | None = None) -> PipelineModel:
     """Fit one classifier on shared features; return the full pipeline model."""
     feats = train_features if train_features is not None else features.transform(train)
-    clf = classifier(kind).fit(feats)
+    clf = classifier(kind, weight_col).fit(feats)
     return PipelineModel(stages=list(features.stages) + [clf])
 
 

@@ -199,3 +199,16 @@ def q_load_model(spark, sf):
     path = save_model(models["dt"], f"{scratch_dir(spark, 'model')}/dt")
     _, test = split(spark, sf)
     return _pred_cols(M.score(load_model(path), test))
+
+
+@register("train_lr_weighted")
+def q_train_lr_weighted(spark, sf):
+    """E2: logistic regression on the whole (unbalanced) training split, with
+    per-class loss weights instead of undersampling; test-split predictions."""
+    from reviewlake.operators.features import with_class_weights
+    mf = C.model_frame(reviews(spark, sf))
+    s = S.hash_split(mf, "event_id", 0.8)
+    train = with_class_weights(S.train_part(s))
+    fm = M.fit_features(train, hashing=True)
+    model = M.fit_classifier(fm, train, "lr", weight_col="weight")
+    return _pred_cols(M.score(model, S.test_part(s)))
