@@ -144,13 +144,18 @@ def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "sc
     agg = (scored.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
            .groupBy(s.alias("score"))
            .agg(F.count(F.when(y, 1)).alias("pos"), F.count(F.when(~y, 1)).alias("neg")))
-    probs = [i / grid for i in range(1, grid)]
-    stats = agg.select(F.count(F.lit(1)).alias("n"),
-                       F.percentile_approx("score", probs, max(10 * grid, 10000)).alias("q")).first()
-    n_scores, qs = stats["n"], stats["q"] or []
-    k = min(grid, max(buckets, -(-n_scores // max_bucket_rows)))
-    step = grid / k
-    bounds = sorted({qs[int(round(j * step)) - 1] for j in range(1, k)} if qs else set())
+    if bins:
+        # at most `bins` distinct scores: equal-width ranges, no quantile pass
+        k = max(1, min(buckets, bins))
+        bounds = sorted({(j * bins // k) / float(bins) - 0.5 / bins for j in range(1, k)})
+    else:
+        probs = [i / grid for i in range(1, grid)]
+        stats = agg.select(F.count(F.lit(1)).alias("n"),
+                           F.percentile_approx("score", probs, max(10 * grid, 10000)).alias("q")).first()
+        n_scores, qs = stats["n"], stats["q"] or []
+        k = min(grid, max(buckets, -(-n_scores // max_bucket_rows)))
+        step = grid / k
+        bounds = sorted({qs[int(round(j * step)) - 1] for j in range(1, k)} if qs else set())
     with_b = agg.withColumn("__b", _bucket_of(F.col("score"), bounds))
     tot = with_b.groupBy("__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"))
     # offsets and class totals over the bucket totals (one row per range)

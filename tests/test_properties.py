@@ -103,6 +103,9 @@ def test_roc_bucketing_does_not_change_result(spark):
     b = V.roc_points(s, buckets=37).orderBy("score").collect()
     c = V.roc_points(s, buckets=2, max_bucket_rows=10).orderBy("score").collect()  # ~257 ranges
     assert a == b == c
+    d = V.roc_points(s, buckets=1, bins=50).orderBy("score").collect()
+    e = V.roc_points(s, buckets=16, bins=50).orderBy("score").collect()
+    assert d == e and len(d) <= 51
 
 
 def test_evaluate_equals_mllib_multiclass(spark):
