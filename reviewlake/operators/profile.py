@@ -158,25 +158,54 @@ def length_gap(df: DataFrame, class_col: str = "sentiment",
                   (neg - pos).alias("length_gap"))
 
 
+def exact_percentiles(df: DataFrame, value: Column, probs: tuple[float, ...],
+                      group: tuple[str, ...] = (), prefix: str = "p") -> DataFrame:
+    """Exact percentiles with linear interpolation (pandas / ``percentile`` rule).
+
+    Built from a (group, value) -> count histogram, which is a distributed
+    partial/final aggregation, then a running count per group over the
+    *distinct* values. Spark's ``percentile`` instead merges every map task's
+    value map inside one task per group, a hot spot when one group holds most
+    rows. Output columns: ``{prefix}0, {prefix}1, ...`` in ``probs`` order.
+    """
+    g = list(group)
+    h = (df.where(value.isNotNull()).groupBy(*g, value.alias("__v"))
+         .agg(F.count(F.lit(1)).alias("__c")))
+    run = Window.partitionBy(*g).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    h = (h.withColumn("__cum", F.sum("__c").over(run))
+         .withColumn("__n", F.sum("__c").over(Window.partitionBy(*g))))
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("__n") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        v_lo = F.min(F.when(F.col("__cum") > lo, F.col("__v"))).cast("double")
+        v_hi = F.min(F.when(F.col("__cum") > hi, F.col("__v"))).cast("double")
+        frac = F.max(pos - lo)
+        aggs.append((v_lo + (v_hi - v_lo) * frac).alias(f"{prefix}{i}"))
+    return h.groupBy(*g).agg(*aggs)
+
+
 def length_stats(df: DataFrame, class_col: str = "sentiment", text_col: str = "review_text",
                  exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """Per class: mean, sample std, median and P75 of text length.
 
-    Exact percentiles interpolate linearly (as pandas does). Spark's exact
-    ``percentile`` keeps a value->count map per group, i.e. memory grows with
-    the number of *distinct lengths*, not rows; ``exact=False`` switches to
-    the mergeable ``percentile_approx`` sketch for unbounded domains.
+    Exact percentiles interpolate linearly (as pandas does) and come from
+    ``exact_percentiles`` (distributed length histogram); ``exact=False``
+    uses the mergeable ``percentile_approx`` sketch instead.
     """
     ln = _length(df, text_col)
+    moments = df.groupBy(class_col).agg(F.count(ln).alias("n"), F.avg(ln).alias("mean_length"),
+                                        F.stddev_samp(ln).alias("std_length"))
     if exact:
-        q = F.percentile(ln, F.array(F.lit(0.5), F.lit(0.75)))
+        q = exact_percentiles(df, ln, (0.5, 0.75), (class_col,), "q")
     else:
-        q = F.percentile_approx(ln, [0.5, 0.75], accuracy).cast("array<double>")
-    return (df.groupBy(class_col)
-            .agg(F.count(ln).alias("n"), F.avg(ln).alias("mean_length"),
-                 F.stddev_samp(ln).alias("std_length"), q.alias("_q"))
+        q = (df.groupBy(class_col)
+             .agg(F.percentile_approx(ln, [0.5, 0.75], accuracy).cast("array<double>").alias("_q"))
+             .select(class_col, F.col("_q")[0].alias("q0"), F.col("_q")[1].alias("q1")))
+    # both sides have one row per class
+    return (moments.join(q, class_col, "left")
             .select(class_col, "n", "mean_length", "std_length",
-                    F.col("_q")[0].alias("median_length"), F.col("_q")[1].alias("p75_length"))
+                    F.col("q0").alias("median_length"), F.col("q1").alias("p75_length"))
             .orderBy(class_col))
 
 
@@ -185,12 +214,12 @@ def length_quantiles(df: DataFrame, text_col: str = "review_text",
                      accuracy: int = 100000) -> DataFrame:
     """One row of length quantiles over all rows (``p25``, ``p50``, ``p75``)."""
     ln = _length(df, text_col)
+    names = [f"p{round(p * 100)}" for p in probs]
     if exact:
-        q = F.percentile(ln, F.array(*[F.lit(p) for p in probs]))
-    else:
-        q = F.percentile_approx(ln, list(probs), accuracy).cast("array<double>")
-    row = df.agg(q.alias("_q"))
-    return row.select([F.col("_q")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(probs)])
+        q = exact_percentiles(df, ln, probs, (), "q")
+        return q.select([F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
+    row = df.agg(F.percentile_approx(ln, list(probs), accuracy).cast("array<double>").alias("_q"))
+    return row.select([F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
 def length_histogram(df: DataFrame, bins: int = 60, class_col: str = "sentiment",

@@ -214,3 +214,19 @@ def test_hash_prefiltered_joins_equal_plain_joins(spark):
     anti = a.join(b.select("review_text"), "review_text", "left_anti")
     assert _ids(S.leakage_check(b, a, "review_text")) == _ids(semi) == [1, 4]
     assert _ids(S.exclude_training(a, b, "review_text")) == _ids(anti) == [2, 3, 5]
+
+
+def test_exact_percentiles_equal_spark_percentile(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [("hot", rnd.randint(0, 50)) for _ in range(3000)] + \
+           [("cold", rnd.randint(0, 1000)) for _ in range(37)] + [("one", 5)]
+    df = spark.createDataFrame(rows, "g string, v int").repartition(6)
+    probs = (0.0, 0.25, 0.5, 0.75, 0.9, 1.0)
+    ours = {r.g: [r[f"q{i}"] for i in range(len(probs))] for r in
+            P.exact_percentiles(df, F.col("v"), probs, ("g",), "q").collect()}
+    want = {r.g: list(r.q) for r in df.groupBy("g").agg(
+        F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
+    assert ours.keys() == want.keys()
+    for g in ours:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(ours[g], want[g])), g
