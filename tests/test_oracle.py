@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from reviewlake.plans.round_cols import ROUND_COLS
 from tools.plan_report import BOUNDED_WINDOWS, summarise
 from tests.util import duck, rows
 
@@ -18,6 +19,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("double", "float")]
+    assert doubles == ROUND_COLS.get(name, []), "run tools/gen_round_cols.py"
     got = df.toPandas()
     # the plan that just ran: no row-at-a-time Python, and every window without a
     # partition key is one reviewed as running over a bounded frame
