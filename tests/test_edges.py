@@ -58,7 +58,7 @@ def _bronze(spark, values):
 
 
 def _event(**over):
-    e = {"event_id": 1, "event_type": "steam_review", "timestamp": "2024-01-01T16:44:00+00:00",
+    e = {"event_id": 1, "event_type": "review", "timestamp": "2024-01-01T16:44:00+00:00",
          "app_id": 10, "app_name": "A", "review_text": "good", "review_score": 1,
          "review_votes": 0, "sentiment": "positive"}
     e.update(over)
