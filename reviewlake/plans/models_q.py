@@ -212,3 +212,21 @@ def q_train_lr_weighted(spark, sf):
     fm = M.fit_features(train, hashing=True)
     model = M.fit_classifier(fm, train, "lr", weight_col="weight")
     return _pred_cols(M.score(model, S.test_part(s)))
+
+
+@register("auc_raw_vs_probability")
+def q_auc_raw_vs_probability(spark, sf):
+    """Per model: AUC from the positive-class probability (ours) and from the
+    raw prediction vector (the reference's evaluator input, not a probability
+    for Naive Bayes or trees). Same persisted predictions, two score columns."""
+    from pyspark.ml.functions import vector_to_array
+    from reviewlake.operators import evaluate as V
+    _, _, preds = comparison(spark, sf)
+    rows = []
+    for kind, p in preds.items():
+        raw = p.withColumn("score", vector_to_array("rawPrediction")[1])
+        rows.append(spark.range(1).select(
+            F.lit(M.MODEL_NAMES[kind]).alias("model_name"),
+            V.auc(p, "label", "score").scalar().alias("area_under_roc"),
+            V.auc(raw, "label", "score").scalar().alias("area_under_roc_raw")))
+    return R.concat_results(rows)
