@@ -8,17 +8,21 @@ the file layout, partition count or executor count (``limit`` and
 order" samples. Ranking a whole group with a window would put the group in
 one task, and one group may hold a third of the data. Instead:
 
-1. count rows per (group, first 3 hex digits of the hash): at most 4,096 rows
-   per group, partially aggregated on the map side;
-2. a running sum over those small per-group histograms finds the boundary
-   bucket where the group's count reaches ``n``;
-3. the same on the next 3 hex digits, for rows of the boundary bucket only;
-4. rows before the boundary cell are in; only the boundary cell, about
-   ``group_size / 16**6`` rows, is ranked with ``row_number``.
-
-Per-group threshold frames have one row per group; joins against them are
-planned by AQE (broadcast when small by runtime size, else shuffled with skew
-splitting).
+1. count rows per group (one row per group) and give each group a bucket
+   width: k1 = min(3, floor(log16(count / n))) leading hex digits of the
+   hash, so a group's histogram has at most ``count / n`` (and 4,096) rows;
+2. count rows per (group, bucket) (partially aggregated on the map side) and
+   a running sum over each small histogram finds the boundary bucket where
+   the group's count reaches ``n``;
+3. only for groups whose boundary bucket can still be large (k1 = 3 and
+   count / 4096 > 16 n), repeat on the next k2 <= 3 digits of that bucket's
+   rows; this pass is skipped when no group needs it;
+4. rows before the boundary cell are in; only the boundary cell (about 16 n
+   rows at most, or ``count / 16**6`` for a hot group) is ranked with
+   ``row_number``.
+
+Per-group frames have one row per group; joins against them are planned by
+AQE (broadcast when small by runtime size, else shuffled with skew splitting).
 """
 
 from __future__ import annotations
@@ -57,18 +61,35 @@ def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
     key, group = list(key), list(group)
     g = group or ["__g"]
     base = df if group else df.withColumn("__g", F.lit(0))
-    d = (base.withColumn(_H, hex_hash(*key, salt=salt))
-         .withColumn(_D1, F.substring(_H, 1, 3))
-         .withColumn(_D2, F.substring(_H, 4, 3)))
-
-    c1 = d.groupBy(*g, _D1).agg(F.count(F.lit(1)).alias("__c")).withColumn("__need", F.lit(n))
+    d = base.withColumn(_H, hex_hash(*key, salt=salt))
+
+    log16 = lambda x: F.floor(F.log(16.0, x))
+    counts = d.groupBy(*g).agg(F.count(F.lit(1)).alias("__cnt"))
+    widths = (counts.where(F.col("__cnt") > n)
+              .withColumn("__k1", F.least(F.lit(3), F.greatest(F.lit(0), log16(F.col("__cnt") / n))))
+              .withColumn("__k2", F.when(
+                  (F.col("__k1") == 3) & (F.col("__cnt") / 4096.0 > 16.0 * n),
+                  F.least(F.lit(3), log16(F.col("__cnt") / (4096.0 * n)))).otherwise(0))
+              .select(*g, F.col("__k1").cast("int"), F.col("__k2").cast("int")))
+    # groups not in `widths` have at most n rows: all of them are taken
+    dw = (d.join(widths, g, "left")
+          .withColumn(_D1, F.col(_H).substr(F.lit(1), F.col("__k1")))
+          .withColumn(_D2, F.col(_H).substr(F.col("__k1") + 1, F.col("__k2"))))
+
+    c1 = (dw.where(F.col("__k1").isNotNull()).groupBy(*g, _D1)
+          .agg(F.count(F.lit(1)).alias("__c")).withColumn("__need", F.lit(n)))
     t1 = _boundary(c1, g, _D1, "__need").withColumnRenamed("__b", "__b1").withColumnRenamed("__r", "__r1")
 
-    cell1 = d.join(t1, g, "inner").where(F.col(_D1) == F.col("__b1"))
-    c2 = cell1.groupBy(*g, _D2).agg(F.count(F.lit(1)).alias("__c"), F.first("__r1").alias("__need"))
-    t2 = _boundary(c2, g, _D2, "__need").withColumnRenamed("__b", "__b2").withColumnRenamed("__r", "__r2")
+    two_levels = widths.where(F.col("__k2") > 0).limit(1).count() > 0
+    if two_levels:
+        cell1 = dw.join(t1, g, "inner").where(F.col(_D1) == F.col("__b1"))
+        c2 = cell1.groupBy(*g, _D2).agg(F.count(F.lit(1)).alias("__c"), F.first("__r1").alias("__need"))
+        t2 = _boundary(c2, g, _D2, "__need").withColumnRenamed("__b", "__b2").withColumnRenamed("__r", "__r2")
+        marked = dw.join(t1, g, "left").join(t2, g, "left")
+    else:  # every boundary cell is small: rank it directly (empty level-2 digit)
+        marked = (dw.join(t1, g, "left")
+                  .withColumn("__b2", F.lit("")).withColumn("__r2", F.col("__r1")))
 
-    marked = d.join(t1, g, "left").join(t2, g, "left")
     b1, b2 = F.col("__b1"), F.col("__b2")
     clear = (b1.isNull() | (F.col(_D1) < b1)
              | ((F.col(_D1) == b1) & (F.col(_D2) < b2)))

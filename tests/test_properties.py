@@ -230,3 +230,18 @@ def test_exact_percentiles_equal_spark_percentile(spark):
     assert ours.keys() == want.keys()
     for g in ours:
         assert all(abs(a - b) < 1e-9 for a, b in zip(ours[g], want[g])), g
+
+
+def test_hash_top_n_two_level_path_matches_brute_force(spark):
+    # group 0: 100k rows (forces the second histogram level for small n);
+    # group 1: 30 rows (k1 = 0 when n=3); group 2: 2 rows (fewer than n)
+    rows = [(i, 0) for i in range(100_000)] + [(200_000 + i, 1) for i in range(30)] + \
+           [(300_000, 2), (300_001, 2)]
+    df = spark.createDataFrame(rows, "k long, g int").repartition(7)
+    by_g = {}
+    for k, g in rows:
+        by_g.setdefault(g, []).append((hashlib.md5(str(k).encode()).hexdigest(), k))
+    for n in (1, 3):
+        got = {(r.k, r.g) for r in S.hash_top_n(df, n, ["k"], ["g"]).collect()}
+        want = {(k, g) for g, lst in by_g.items() for _, k in sorted(lst)[:n]}
+        assert got == want, n
