@@ -80,7 +80,7 @@ def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
           .agg(F.count(F.lit(1)).alias("__c")).withColumn("__need", F.lit(n)))
     t1 = _boundary(c1, g, _D1, "__need").withColumnRenamed("__b", "__b1").withColumnRenamed("__r", "__r1")
 
-    two_levels = widths.where(F.col("__k2") > 0).limit(1).count() > 0
+    two_levels = not widths.where(F.col("__k2") > 0).isEmpty()
     if two_levels:
         cell1 = dw.join(t1, g, "inner").where(F.col(_D1) == F.col("__b1"))
         c2 = cell1.groupBy(*g, _D2).agg(F.count(F.lit(1)).alias("__c"), F.first("__r1").alias("__need"))
