@@ -8,11 +8,18 @@ Arrow-batched helper is applied to *distinct terms* only.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module's code with the UDF (pickle by value): executors need not
+# have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _M = 0xFFFFFFFF
 _C1, _C2 = 0xCC9E2D51, 0x1B873593
 

@@ -220,3 +220,24 @@ def term_lookup(tf: DataFrame, vocab: DataFrame, doc_col: str = "event_id") -> D
     """
     v = F.broadcast(vocab.select("term", F.col("rank").alias("index")))
     return tf.join(v, "term", "inner").select(doc_col, "index", "tf")
+
+
+def resolve_hashed_features(importance: DataFrame, tf: DataFrame,
+                            num_features: int = 20000) -> DataFrame:
+    """Name ``hash_feature_<i>`` rows by the corpus terms hashing to slot i.
+
+    Adds ``top_term`` (the most frequent term in the slot, ties by term) and
+    ``n_terms`` (distinct terms sharing the slot). Only the ranked slots (a
+    bounded frame, broadcast) are matched; per slot the result is one
+    aggregate row, never a list of all colliding terms.
+    """
+    slots = (importance.where(F.col("feature").startswith("hash_feature_"))
+             .select("feature", F.substring_index("feature", "_", -1).cast("int").alias("index"))
+             .distinct())
+    totals = tf.groupBy("term").agg(F.sum("tf").alias("__n"))
+    hashed = totals.withColumn("index", hashing_index("term", num_features))
+    named = (hashed.join(F.broadcast(slots), "index", "inner")
+             .groupBy("feature")
+             .agg(F.max_by("term", F.struct(F.col("__n"), F.col("term"))).alias("top_term"),
+                  F.count(F.lit(1)).alias("n_terms")))
+    return importance.join(named, "feature", "left")

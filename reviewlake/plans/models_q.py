@@ -230,3 +230,14 @@ def q_auc_raw_vs_probability(spark, sf):
             V.auc(p, "label", "score").scalar().alias("area_under_roc"),
             V.auc(raw, "label", "score").scalar().alias("area_under_roc_raw")))
     return R.concat_results(rows)
+
+
+@register("hashed_feature_terms")
+def q_hashed_feature_terms(spark, sf):
+    """LR's top hashed features named by the training-corpus terms in each slot."""
+    from reviewlake.operators import features as X
+    _, models, _ = comparison(spark, sf)
+    train, _ = split(spark, sf)
+    tf = X.term_frequencies(X.terms(train))
+    imp = M.feature_importance(spark, models["lr"], M.MODEL_NAMES["lr"], 30)
+    return X.resolve_hashed_features(imp, tf, M.HASHING_FEATURES)
