@@ -72,12 +72,12 @@ def seq_id(df: DataFrame, out_col: str = "event_id", start: int = 1) -> DataFram
     """
     mid = "__mid"
     tagged = df.withColumn(mid, F.monotonically_increasing_id())
-    pid = (F.col(mid) / F.lit(1 << 33)).cast("long")
+    pid = F.shiftright(F.col(mid), 33)  # exact integer arithmetic, any partition count
     counts = tagged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
         (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
-    pos = F.col(mid) - F.col("__pid") * F.lit(1 << 33)
+    pos = F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))
     return (tagged.join(F.broadcast(offsets), pid == F.col("__pid"), "inner")
             .withColumn(out_col, F.col("__off") + pos + F.lit(start))
             .drop(mid, "__pid", "__off"))
