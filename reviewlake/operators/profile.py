@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlake.functions.exprs import strip_py
+
 
 LENGTH_COL = "review_text_length"
 
@@ -53,7 +55,8 @@ def missing_values(df: DataFrame) -> DataFrame:
 def missing_report(df: DataFrame) -> DataFrame:
     """(column, null_count, blank_count) for every column, single pass.
 
-    ``blank_count`` counts strings that are empty after trimming; a producer
+    ``blank_count`` counts strings that are empty after stripping all
+    whitespace (Python ``str.strip()`` rules); a producer
     that turns missing text into ``""`` shows up here, not in the null count.
     """
     exprs = []
@@ -61,7 +64,7 @@ def missing_report(df: DataFrame) -> DataFrame:
         c = F.col(f.name)
         exprs.append(F.count(F.when(c.isNull(), 1)).alias(f"{f.name}__n"))
         if f.dataType.simpleString() == "string":
-            exprs.append(F.count(F.when(F.trim(c) == "", 1)).alias(f"{f.name}__b"))
+            exprs.append(F.count(F.when(strip_py(c) == "", 1)).alias(f"{f.name}__b"))
         else:
             exprs.append(F.lit(0).cast("bigint").alias(f"{f.name}__b"))
     wide = df.agg(*exprs)
@@ -324,7 +327,7 @@ def profile(df: DataFrame, app_col: str = "app_id", class_col: str = "sentiment"
     for f in df.schema.fields:
         aggs.append(F.count(F.when(F.col(f.name).isNull(), 1)).cast("double").alias(f"null_{f.name}"))
         if f.dataType.simpleString() == "string":
-            aggs.append(F.count(F.when(F.trim(F.col(f.name)) == "", 1)).cast("double")
+            aggs.append(F.count(F.when(strip_py(F.col(f.name)) == "", 1)).cast("double")
                         .alias(f"blank_{f.name}"))
     for c in classes:
         aggs.append(F.count(F.when(cls == c, 1)).cast("double").alias(f"rows_{c}"))

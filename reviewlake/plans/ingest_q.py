@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlake.operators import clean as C
-from reviewlake.plans.registry import register, with_views
-from reviewlake.schemas import PANDAS_NULL_TOKENS, PY_WHITESPACE
+from reviewlake.plans.registry import WS_SQL, register, with_views
+from reviewlake.schemas import PANDAS_NULL_TOKENS
 from reviewlake.session import scratch_dir
 from reviewlake.sinks.stream import event_records, publish_events
 from reviewlake.sinks.tables import read_silver, write_silver
@@ -19,7 +19,7 @@ from reviewlake.sources.csv import scan_reviews_csv
 from reviewlake.sources.tables import activity, reviews, scan_columns, table
 from reviewlake.streaming.pipeline import stream_source, stream_to_bronze
 
-_WS = " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
+_WS = WS_SQL
 _EVENT_COLS = ["event_id", "event_type", "app_id", "app_name", "review_text",
                "review_score", "review_votes", "sentiment"]
 _BUILT_SQL = f"""

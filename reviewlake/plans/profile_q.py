@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import profile as P
 from reviewlake.operators.clean import model_frame
-from reviewlake.plans.registry import register, with_views
+from reviewlake.plans.registry import WS_SQL, register, with_views
 from reviewlake.sources.tables import activity, reviews
 
 _REVIEW_COLS = ["event_id", "event_type", "app_id", "app_name", "review_text",
@@ -37,7 +37,7 @@ def q_missing_values(spark, sf):
 
 @register("missing_report", with_views("\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
-    + (f"count(*) FILTER (WHERE trim({c}) = '') AS blank_count" if c in _REVIEW_STRINGS
+    + (f"count(*) FILTER (WHERE trim({c}, {WS_SQL}) = '') AS blank_count" if c in _REVIEW_STRINGS
        else "CAST(0 AS BIGINT) AS blank_count")
     + " FROM reviews" for c in _REVIEW_COLS), "reviews"))
 def q_missing_report(spark, sf):
@@ -193,7 +193,7 @@ def _profile_sql() -> str:
     for c in _REVIEW_COLS:
         parts.append(f"SELECT 'null_{c}', CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) FROM reviews")
         if c in _REVIEW_STRINGS:
-            parts.append(f"SELECT 'blank_{c}', CAST(count(*) FILTER (WHERE trim({c}) = '') AS DOUBLE) "
+            parts.append(f"SELECT 'blank_{c}', CAST(count(*) FILTER (WHERE trim({c}, {WS_SQL}) = '') AS DOUBLE) "
                          "FROM reviews")
     for k in ("negative", "positive"):
         parts.append(f"SELECT 'rows_{k}', CAST(count(*) FILTER (WHERE sentiment = '{k}') AS DOUBLE) "

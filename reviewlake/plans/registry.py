@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewlake.functions.exprs import round_doubles
+from reviewlake.schemas import PY_WHITESPACE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# DuckDB spelling of Python's str.isspace() set, for trim(x, chars)
+WS_SQL = " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
+
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
