@@ -185,3 +185,11 @@ def test_stream_restart(spark, tmpdir_fresh):
     assert run().count() == 8
     b = run()  # nothing new
     assert b.count() == 8 and b.select("offset").distinct().count() == 8
+
+
+def test_blank_strings_follow_python_whitespace(spark):
+    rows = [(1, "text"), (2, ""), (3, " \t\n "), (4, None)]
+    df = spark.createDataFrame(rows, "event_id long, review_text string")
+    rep = {r.column: (r.null_count, r.blank_count) for r in P.missing_report(df).collect()}
+    assert rep["review_text"] == (1, 2)
+    assert rep["event_id"] == (0, 0)
