@@ -26,9 +26,17 @@ SAMPLE_PER_CLASS = 25000
 _CACHE: dict = {}
 
 
+def _session_key(spark) -> str:
+    """Cache key of a running application (a new session never reuses it)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (sessions without a SparkContext)
+        return str(id(spark))
+
+
 def split(spark, sf):
     """(train, test): balanced sample of the model frame, split 80/20 by md5(event_id)."""
-    key = (id(spark), sf, "split")
+    key = (_session_key(spark), sf, "split")
     if key not in _CACHE:
         mf = C.model_frame(reviews(spark, sf))
         s = S.hash_split(S.balanced_sample(mf, SAMPLE_PER_CLASS), "event_id", 0.8).cache()
@@ -37,7 +45,7 @@ def split(spark, sf):
 
 
 def comparison(spark, sf):
-    key = (id(spark), sf, "compare")
+    key = (_session_key(spark), sf, "compare")
     if key not in _CACHE:
         train, test = split(spark, sf)
         _CACHE[key] = M.compare_models(train, test)
@@ -116,7 +124,7 @@ def q_get_vocabulary(spark, sf):
 
 
 def importance(spark, sf):
-    key = (id(spark), sf, "importance")
+    key = (_session_key(spark), sf, "importance")
     if key not in _CACHE:
         _, models, _ = comparison(spark, sf)
         frames = [M.feature_importance(spark, models[k], M.MODEL_NAMES[k]) for k in models]
