@@ -51,6 +51,14 @@ def _boundary(counts: DataFrame, group: list[str], digit: str, need: str) -> Dat
             .select(*group, "__t.__b", "__t.__r"))
 
 
+def _join_groups(left: DataFrame, right: DataFrame, g: list[str], how: str) -> DataFrame:
+    """Join on the group columns null-safely (a null group is a group too)."""
+    r = right.select(*[F.col(c).alias(f"__rg_{c}") for c in g],
+                     *[c for c in right.columns if c not in g])
+    cond = [left[c].eqNullSafe(r[f"__rg_{c}"]) for c in g]
+    return left.join(r, cond, how).drop(*[f"__rg_{c}" for c in g])
+
+
 def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
                group: list[str] | tuple[str, ...] = (), salt: str = "") -> DataFrame:
     """Exactly the first ``n`` rows of each group ordered by (md5(key), key).
@@ -72,7 +80,7 @@ def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
                   F.least(F.lit(3), log16(F.col("__cnt") / (4096.0 * n)))).otherwise(0))
               .select(*g, F.col("__k1").cast("int"), F.col("__k2").cast("int")))
     # groups not in `widths` have at most n rows: all of them are taken
-    dw = (d.join(widths, g, "left")
+    dw = (_join_groups(d, widths, g, "left")
           .withColumn(_D1, F.col(_H).substr(F.lit(1), F.col("__k1")))
           .withColumn(_D2, F.col(_H).substr(F.col("__k1") + 1, F.col("__k2"))))
 
@@ -82,12 +90,12 @@ def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
 
     two_levels = not widths.where(F.col("__k2") > 0).isEmpty()
     if two_levels:
-        cell1 = dw.join(t1, g, "inner").where(F.col(_D1) == F.col("__b1"))
+        cell1 = _join_groups(dw, t1, g, "inner").where(F.col(_D1) == F.col("__b1"))
         c2 = cell1.groupBy(*g, _D2).agg(F.count(F.lit(1)).alias("__c"), F.first("__r1").alias("__need"))
         t2 = _boundary(c2, g, _D2, "__need").withColumnRenamed("__b", "__b2").withColumnRenamed("__r", "__r2")
-        marked = dw.join(t1, g, "left").join(t2, g, "left")
+        marked = _join_groups(_join_groups(dw, t1, g, "left"), t2, g, "left")
     else:  # every boundary cell is small: rank it directly (empty level-2 digit)
-        marked = (dw.join(t1, g, "left")
+        marked = (_join_groups(dw, t1, g, "left")
                   .withColumn("__b2", F.lit("")).withColumn("__r2", F.col("__r1")))
 
     b1, b2 = F.col("__b1"), F.col("__b2")

@@ -245,3 +245,10 @@ def test_hash_top_n_two_level_path_matches_brute_force(spark):
         got = {(r.k, r.g) for r in S.hash_top_n(df, n, ["k"], ["g"]).collect()}
         want = {(k, g) for g, lst in by_g.items() for _, k in sorted(lst)[:n]}
         assert got == want, n
+
+
+def test_hash_top_n_treats_null_group_as_a_group(spark):
+    rows = [(i, None) for i in range(50)] + [(100 + i, 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, g int")
+    got = S.hash_top_n(df, 5, ["k"], ["g"]).groupBy("g").count().collect()
+    assert sorted((r.g if r.g is not None else -1, r["count"]) for r in got) == [(-1, 5), (1, 5)]
