@@ -123,7 +123,7 @@ def balanced_sample(df: DataFrame, n_per_class: int, key: str = "event_id",
         return hash_top_n(df, n_per_class, [key], [label_col], salt)
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("__cnt"))
     frac = F.least(F.lit(1.0), F.lit(float(n_per_class)) / F.col("__cnt"))
-    thr = F.lower(F.lpad(F.hex((frac * F.lit(float(1 << 32))).cast("long")), 8, "0"))
+    thr = F.lower(F.lpad(F.hex(F.floor(frac * F.lit(float(1 << 32))).cast("long")), 8, "0"))
     return (_join_groups(df, counts, [label_col], "inner")
             .where((frac >= 1.0) | (F.substring(hex_hash(key, salt=salt), 1, 8) < thr))
             .drop("__cnt"))

@@ -121,3 +121,17 @@ def q_cap_rows(spark, sf):
     ids = C.seq_id(table(spark, sf, "events").select("event_id"), "seq")
     return C.cap_rows(ids, 1000, "seq")
 
+
+
+@register("balanced_sample_approx", with_views(f"""
+SELECT m.event_id, m.label_text FROM ({_MODEL_FRAME}) m
+JOIN (SELECT label_text, count(*) AS cnt FROM ({_MODEL_FRAME}) x GROUP BY label_text) c
+  ON m.label_text = c.label_text
+WHERE 50.0 / c.cnt >= 1.0
+   OR substr(md5(CAST(m.event_id AS VARCHAR)), 1, 8)
+      < lower(lpad(hex(CAST(floor(least(1.0, 50.0 / c.cnt) * 4294967296.0) AS BIGINT)), 8, '0'))""",
+    "reviews"))
+def q_balanced_sample_approx(spark, sf):
+    """One-pass form: each class keeps the rows whose hash falls below n / class size."""
+    mf = C.model_frame(reviews(spark, sf))
+    return S.balanced_sample(mf, 50, exact=False).select("event_id", "label_text")
