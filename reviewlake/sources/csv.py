@@ -9,17 +9,20 @@ from reviewlake.schemas import PANDAS_NULL_TOKENS, RAW_CSV_SCHEMA
 
 
 def scan_reviews_csv(spark: SparkSession, path: str,
-                     null_tokens: list[str] | None = PANDAS_NULL_TOKENS) -> DataFrame:
+                     null_tokens: list[str] | None = PANDAS_NULL_TOKENS,
+                     multi_line: bool = True) -> DataFrame:
     """Read the raw review CSV with an explicit all-string schema.
 
     ``multiLine`` + ``escape='"'`` handle quoted newlines and doubled quotes.
     Values equal to a ``null_tokens`` entry become null, as pandas does; typing
     is left to ``operators.clean.build_event`` (which uses ``try_cast``).
-    Note: ``multiLine`` files are not splittable; at scale store the raw drop as
-    many files, each read by its own task.
+    A ``multiLine`` file is read by one task (it cannot be split at arbitrary
+    offsets): at scale store the raw drop as many files, or pass
+    ``multi_line=False`` for input known to have no quoted newlines, which
+    Spark splits by ``spark.sql.files.maxPartitionBytes``.
     """
     df = (spark.read.schema(RAW_CSV_SCHEMA)
-          .option("header", True).option("multiLine", True)
+          .option("header", True).option("multiLine", multi_line)
           .option("quote", '"').option("escape", '"')
           .option("mode", "PERMISSIVE")
           .csv(path))
