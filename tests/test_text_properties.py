@@ -7,7 +7,7 @@ from pyspark.ml.feature import Tokenizer
 from reviewlake.functions.exprs import strip_py, tokens_expr
 
 # whitespace Python and Java disagree on, plus ordinary characters
-ALPHABET = list(" \t\n\x0b\x0c\r\x1c\x1f\x85\xa0 　abZ.é")
+ALPHABET = list(" \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u2003\u3000abZ.\u00e9")
 texts = st.lists(st.text(alphabet=st.sampled_from(ALPHABET), max_size=12), min_size=1, max_size=40)
 
 
