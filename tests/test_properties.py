@@ -252,3 +252,14 @@ def test_hash_top_n_treats_null_group_as_a_group(spark):
     df = spark.createDataFrame(rows, "k long, g int")
     got = S.hash_top_n(df, 5, ["k"], ["g"]).groupBy("g").count().collect()
     assert sorted((r.g if r.g is not None else -1, r["count"]) for r in got) == [(-1, 5), (1, 5)]
+
+
+def test_numeric_features_use_training_rows_only(spark):
+    r = reviews(spark, SF_MID)
+    s = S.hash_split(r)
+    train = S.train_part(s)
+    feats = X.numeric_features(S.test_part(s), train).collect()
+    counts = {row.app_id: row["count"] for row in train.groupBy("app_id").count().collect()}
+    app_of = {row.event_id: row.app_id for row in S.test_part(s).select("event_id", "app_id").collect()}
+    for f in feats:
+        assert f.app_review_count == counts.get(app_of[f.event_id])
