@@ -110,3 +110,25 @@ def test_hourly_trend_stream_drops_rows_behind_the_watermark(spark, tmpdir_fresh
     # final watermark 15:00 - 1h = 14:00: windows ending by then (10..13) are
     # emitted, hour 15 stays open in state; hour 10 kept its single on-time row
     assert got == {10: 1, 11: 1, 12: 1, 13: 1}
+
+
+def test_silver_rejects_partition_and_column_pruning(spark, tmpdir_fresh):
+    import json
+    from reviewlake.operators.clean import bronze_project, tag_events
+    from reviewlake.sources.tables import scan_columns
+    ev = {"event_id": 1, "event_type": "r", "timestamp": "2024-01-01T00:00:00+00:00", "app_id": 1,
+          "app_name": "a", "review_text": "t", "review_score": 1, "review_votes": 0,
+          "sentiment": "positive"}
+    rec = "key string, value string, topic string, partition int, offset long, timestamp timestamp"
+    rows = [("1", json.dumps({**ev, "event_id": i}), "t", 0, i, dt.datetime(2024, 1, 1)) for i in range(3)]
+    rows += [("1", json.dumps({**ev, "sentiment": "neutral"}), "t", 0, 7, dt.datetime(2024, 1, 1))]
+    tagged = tag_events(bronze_project(spark.createDataFrame(rows, rec)))
+    root = f"{tmpdir_fresh}/silver"
+    write_silver(tagged, root, partitions=2)
+    rej = read_silver(spark, root, status="rejected").collect()
+    assert [r.reject_reason for r in rej] == ["invalid_sentiment"]
+    cols = scan_columns(spark, root, ["event_id", "app_id"]).where("status = 'valid'")
+    plan = cols._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_id:bigint,app_id:int>" in plan
+    assert "PartitionFilters: [isnotnull(status" in plan
+    assert cols.count() == 3
