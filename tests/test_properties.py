@@ -263,3 +263,17 @@ def test_numeric_features_use_training_rows_only(spark):
     app_of = {row.event_id: row.app_id for row in S.test_part(s).select("event_id", "app_id").collect()}
     for f in feats:
         assert f.app_review_count == counts.get(app_of[f.event_id])
+
+
+def test_optional_paths_agree_with_exact(spark):
+    r = reviews(spark, SF_MID)
+    exact = {x.sentiment: x for x in P.length_stats(r).collect()}
+    approx = {x.sentiment: x for x in P.length_stats(r, exact=False).collect()}
+    for k, e in exact.items():  # the sketch returns a data value near the exact quantile
+        assert abs(approx[k].median_length - e.median_length) <= 0.02 * e.median_length + 1
+    hll = {x.metric: x.value for x in P.basic_summary(r, approx=True).collect()}
+    ex = {x.metric: x.value for x in P.basic_summary(r).collect()}
+    assert hll == ex  # 20 apps, 2 classes: HyperLogLog++ is exact at this size
+    everyone = P.top_apps_by_votes(r, 5, candidates=None, min_reviews=1).collect()
+    pool = P.top_apps_by_votes(r, 5, candidates=20).collect()
+    assert max(x.avg_review_votes for x in everyone) >= max(x.avg_review_votes for x in pool)
