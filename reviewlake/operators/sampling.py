@@ -65,6 +65,8 @@ def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
 
     Keys should be unique within a group (ties among identical keys are
     broken arbitrarily). Groups smaller than ``n`` are returned whole.
+    Building the plan runs one small job (does any group need the second
+    histogram level?), so the returned plan has only the passes it needs.
     """
     key, group = list(key), list(group)
     g = group or ["__g"]
