@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.functions.exprs import hash_fraction_hex, hex_hash
+from reviewlake.session import ensure_checkpoint_dir
 
 _H, _D1, _D2 = "__h", "__d1", "__d2"
 
@@ -65,8 +66,9 @@ def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
 
     Keys should be unique within a group (ties among identical keys are
     broken arbitrarily). Groups smaller than ``n`` are returned whole.
-    Building the plan runs one small job (does any group need the second
-    histogram level?), so the returned plan has only the passes it needs.
+    Building the plan runs the per-group count pass once and checkpoints its
+    one-row-per-group result, then checks whether any group needs the second
+    histogram level, so the returned plan has only the passes it needs.
     """
     key, group = list(key), list(group)
     g = group or ["__g"]
@@ -81,6 +83,11 @@ def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
                   (F.col("__k1") == 3) & (F.col("__cnt") / 4096.0 > 16.0 * n),
                   F.least(F.lit(3), log16(F.col("__cnt") / (4096.0 * n)))).otherwise(0))
               .select(*g, F.col("__k1").cast("int"), F.col("__k2").cast("int")))
+    # one row per group: materialise it once (reliable checkpoint, lineage cut)
+    # so the level check below and every later pass reuse it instead of
+    # re-running the count scan
+    ensure_checkpoint_dir(df.sparkSession)
+    widths = widths.checkpoint(eager=True)
     # groups not in `widths` have at most n rows: all of them are taken
     dw = (_join_groups(d, widths, g, "left")
           .withColumn(_D1, F.col(_H).substr(F.lit(1), F.col("__k1")))
