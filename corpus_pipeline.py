@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewlake.llm import exact_dedup
-from reviewlake.llm.common import documents, shared_path
+from reviewlake.llm.common import documents, prepare, shared_path
 from reviewlake.llm.queries import ORACLE as _ORACLE
 from reviewlake.llm.queries import QUERIES as _QUERIES
 
@@ -29,6 +29,7 @@ ORACLE_SQL = None  # language ID is a trained network; tests compare with brute
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         path = shared_path(spark, f"pipeline-{name}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,5 +52,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def prepare(spark: SparkSession) -> None:
+    """Checkpoint folder, and this library's folder on the Python workers' path.
+
+    The folder only matters where executors see it and the library isn't
+    installed there, as in local mode started from another folder.
+    """
+    ensure_checkpoint_dir(spark)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")

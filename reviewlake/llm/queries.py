@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import chat_format, language_id, mixing, packing, url_filter
-from reviewlake.llm.common import documents, ensure_checkpoint_dir
+from reviewlake.llm import chat_format, fingerprints, language_id, mixing, packing, url_filter
+from reviewlake.llm.common import documents, prepare
 from reviewlake.llm.exact_dedup import exact_dedup
 from reviewlake.llm.substring_dedup import remove_repeats
 
@@ -19,7 +19,7 @@ ORACLE: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_checkpoint_dir(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
         wrapped.__name__, wrapped.__doc__ = name, fn.__doc__
         QUERIES[name] = wrapped
@@ -72,6 +72,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register("op3_document_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's sketch, its edited text's, and how alike they and the next one are."""
+    rows = fingerprints.compare_versions(documents(spark, sf_dir).select("doc_id", "text"))
+    return rows.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+                       "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def crc_of_id():
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
 
