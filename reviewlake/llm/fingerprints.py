@@ -24,8 +24,8 @@ from pyspark.sql import Window as W
 
 from reviewlake.llm.common import fresh, text_or_empty
 
-GROUPS, PER_GROUP, LOAD, LEVELS = 3, 8, 7, 6
-LONG_PARAGRAPH = 160
+GROUPS, PER_GROUP, LOAD, LEVELS = 3, 8, 10, 6
+LONG_PARAGRAPH = 1000
 _CELL = "struct<n:int,key:bigint,check:bigint>"
 _DIFF = "struct<x:array<bigint>,y:array<bigint>,a:int,b:int>"
 
@@ -99,25 +99,28 @@ def peel(cells: Column) -> Column:
         acc["a"].alias("a"), acc["b"].alias("b")))
 
 
-def _parts(x: Column, y: Column, side: Column) -> Column:
-    """x and y dealt by two ranges of digest bits into side * side parts, in two steps."""
-    def pick(part: Column, i: Column, shift: int) -> Column:
+def _parts(x: Column, y: Column, n: Column) -> Column:
+    """x and y dealt by two ranges of digest bits into n parts or a few more, in two steps."""
+    def pick(part: Column, i: Column, shift: int, side: Column) -> Column:
         keep = lambda d: F.pmod(F.shiftrightunsigned(d, shift), side) == i
         return F.struct(F.filter(part["x"], keep).alias("x"), F.filter(part["y"], keep).alias("y"))
-    ranks = F.sequence(F.lit(0).cast("long"), side - 1)
+    coarse = F.ceil(F.sqrt(n)).cast("long")
+    fine = F.ceil(n / coarse).cast("long")
+    zero = F.lit(0).cast("long")
     whole = F.struct(x.alias("x"), y.alias("y"))
-    coarse = F.transform(ranks, lambda i: pick(whole, i, 9))
-    return F.flatten(F.transform(coarse, lambda part: F.transform(ranks, lambda i: pick(part, i, 36))))
+    some = F.transform(F.sequence(zero, coarse - 1), lambda i: pick(whole, i, 9, coarse))
+    return F.flatten(F.transform(some, lambda part: F.transform(
+        F.sequence(zero, fine - 1), lambda i: pick(part, i, 36, fine))))
 
 
 def difference(x: Column, y: Column) -> Column:
     """struct(a, b): how many elements only x, only y has, by sketches that are retried larger."""
-    first = F.greatest(F.lit(1), F.ceil(F.sqrt((F.size(x) + F.size(y)) / F.lit(2.0 * LOAD)))).cast("long")
+    first = F.greatest(F.lit(1.0), F.ceil((F.size(x) + F.size(y)) / F.lit(float(LOAD))))
 
     def step(acc: Column, level: Column) -> Column:
-        side = first * F.shiftleft(F.lit(1).cast("long"), 0) * F.pow(F.lit(2.0), level).cast("long")
-        tried = F.transform(_parts(acc["x"], acc["y"], side), lambda p: F.struct(
-            p.alias("p"), peel(subtract(sketch(p["x"]), sketch(p["y"]))).alias("r")))
+        tried = F.transform(_parts(acc["x"], acc["y"], first * F.pow(F.lit(4.0), level)), lambda p: F.struct(
+            p.alias("p"), F.when(p["x"] == p["y"], same).otherwise(
+                peel(subtract(sketch(p["x"]), sketch(p["y"])))).alias("r")))
         done = F.size(acc["x"]) + F.size(acc["y"]) == 0
         return F.when(done, acc).otherwise(F.transform(F.array(tried), lambda t: F.struct(
             F.flatten(F.transform(F.filter(t, lambda s: ~s["r"]["ok"]), lambda s: s["p"]["x"])).alias("x"),
@@ -125,6 +128,7 @@ def difference(x: Column, y: Column) -> Column:
             F.aggregate(t, acc["a"], lambda n, s: n + F.when(s["r"]["ok"], s["r"]["a"]).otherwise(0)).alias("a"),
             F.aggregate(t, acc["b"], lambda n, s: n + F.when(s["r"]["ok"], s["r"]["b"]).otherwise(0)).alias("b")))[0])
 
+    same = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("a"), F.lit(0).alias("b"))
     zero = F.struct(x.alias("x"), y.alias("y"), F.lit(0).alias("a"), F.lit(0).alias("b")).cast(_DIFF)
     return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS)), zero, step, lambda acc: F.struct(
         (acc["a"] + F.size(F.array_except(acc["x"], acc["y"]))).alias("a"),
