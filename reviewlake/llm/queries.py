@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import chat_format, fingerprints, language_id, mixing, packing, url_filter
+from reviewlake.llm import chat_format, fingerprints, language_id, mixing, near_dedup, packing, url_filter
 from reviewlake.llm.common import documents, prepare
 from reviewlake.llm.exact_dedup import exact_dedup
 from reviewlake.llm.substring_dedup import remove_repeats
@@ -94,6 +94,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@register("op6_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near-duplicates."""
+    return near_dedup.near_classes(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
