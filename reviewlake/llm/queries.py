@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import chat_format, fingerprints, language_id, mixing, near_dedup, packing, url_filter
+from reviewlake.llm import chat_format, fingerprints, language_id, language_model, mixing, near_dedup, packing, url_filter
 from reviewlake.llm.common import documents, prepare
 from reviewlake.llm.exact_dedup import exact_dedup
 from reviewlake.llm.substring_dedup import remove_repeats
@@ -143,6 +143,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@register("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability by a model of nine tenths of the ids, and by word counts."""
+    held_out = F.pmod(crc_of_id(), F.lit(10)) == 0
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    model = language_model.train(rows.where(~held_out))
+    return language_model.score(rows, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")
+
+
 @register("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 1024 tokens."""
