@@ -218,7 +218,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = marked.withColumnsRenamed({"key": key, "crc": crc})
     texts = base.join(marked, [key, crc], "left")
 
-    at_branches = texts.where(F.col(marks).isNotNull()).select(key, crc, text_col, marks).mapInArrow(
+    # the same join as below, unfiltered and unpruned, so that its exchange of the texts is reused
+    at_branches = texts.mapInArrow(
         _branch_windows(window, anchor, key, crc, text_col, marks), "key long, crc long, place int, h1 long, h2 long")
     twice = at_branches.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     places = (at_branches.join(twice, ["h1", "h2"]).groupBy("key", "crc")
