@@ -22,7 +22,8 @@ BUCKET_BITS = 18
 
 
 def normalised(col: str):
-    return F.regexp_replace(text_or_empty(col), WS, " ")
+    # never null, and known to be: else the joins below filter on it by computing it again
+    return F.coalesce(F.regexp_replace(text_or_empty(col), WS, " "), F.lit(""))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -43,9 +44,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     new = ["keep_id", "group_size", "kept", "text_sha256"]
     other = [c for c in docs.columns if c.lower() not in [*new, id_col.lower(), text_col.lower()]]
     rows = docs.withColumn(norm, normalised(text_col)).withColumns({
-        length: F.length(norm), prefix: F.xxhash64(F.substring(norm, 1, prefix_chars))})
+        length: F.coalesce(F.length(norm), F.lit(0)), prefix: F.xxhash64(F.substring(norm, 1, prefix_chars))})
     rows = rows.withColumn(
-        bucket, F.pmod(F.xxhash64(length, prefix), F.lit(1 << bucket_bits)).cast("int"))
+        bucket, F.coalesce(F.pmod(F.xxhash64(length, prefix), F.lit(1 << bucket_bits)).cast("int"), F.lit(0)))
 
     # 1 and 2: counts by (length, prefix), summed up to lengths; both combine map-side
     by_prefix = rows.groupBy(length, prefix, bucket).agg(F.count(F.lit(1)).alias(size))
@@ -55,7 +56,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # 3: the full content of what survives
     rows = rows.join(F.broadcast(buckets), bucket, "left")
-    full = F.sha2(norm, 256)
+    full = F.coalesce(F.sha2(norm, 256), F.lit(""))
     wanted = F.col(hit) if not digest_all else F.lit(True)
     rows = rows.select(
         F.col(f"`{id_col}`"), *[F.col(f"`{c}`") for c in other], length, prefix, hit,
