@@ -47,6 +47,17 @@ def add_row_key(df: DataFrame, id_col: str, text_col: str, key: str, crc: str) -
     return df.withColumns({key: value, crc: F.crc32(text)})
 
 
+def totals(df: DataFrame, *keys: str, **aggs: Column) -> DataFrame:
+    """Aggregates by ``keys`` for a join back to the rows of ``df``.
+
+    Grouped by one struct of the keys, the result isn't partitioned by the
+    keys themselves, so the join deals both sides anew - and only then can the
+    engine split a key that has very many rows over several tasks.
+    """
+    grouped = df.groupBy(F.struct(*keys).alias("k")).agg(*[a.alias(name) for name, a in aggs.items()])
+    return grouped.select("k.*", *aggs)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the checkpoint folder that the cluster shares."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

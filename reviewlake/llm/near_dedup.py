@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import add_row_key, fresh, shared_path, text_or_empty
+from reviewlake.llm.common import add_row_key, fresh, shared_path, text_or_empty, totals
 from reviewlake.llm.words import BASE, BASE2, U64, Words, _GAMMA, mix, numbers, string_slices, windows
 
 SHINGLE, SKETCHES, PER_SKETCH, SMALL = 5, 16, 3, 16
@@ -180,7 +180,7 @@ def _verify(shingle: int) -> Callable:
                     rows += [g[x:y] for x, y in zip(off[:-1], off[1:])]
                 sides.append(rows)
             keep = pa.array([similar(x, y) for x, y in zip(*sides)], pa.bool_())
-            yield b.select(["a", "b"]).filter(keep)
+            yield b.select(["ak", "ac", "bk", "bc"]).filter(keep)
     return run
 
 
@@ -192,7 +192,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 def _pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
     """From (bucket, node): candidate pairs (a, b), and the members of large buckets."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = totals(members, "bucket", size=F.count(F.lit(1))).where("size > 1")
     shared = members.join(sizes, "bucket")
     lists = (shared.where(F.col("size") <= small).groupBy("bucket")
              .agg(F.sort_array(F.collect_list("node")).alias("nodes")))
@@ -201,9 +201,9 @@ def _pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
         F.slice("nodes", i + 2, F.lit(small)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
     close = lists.select(F.explode(within).alias("p")).select("p.a", "p.b")
     large = shared.where(F.col("size") > small)
-    meets = large.groupBy("node").agg(F.sum("size").alias("meets"))
-    hubs = (large.join(meets, "node").groupBy("bucket")
-            .agg(F.min(F.struct((-F.col("meets")).alias("less"), "node"))["node"].alias("hub")))
+    meets = totals(large, "node", meets=F.sum("size"))
+    ranked = large.join(meets, "node").select("bucket", F.struct((-F.col("meets")).alias("less"), "node").alias("rank"))
+    hubs = totals(ranked, "bucket", best=F.min("rank")).select("bucket", F.col("best.node").alias("hub"))
     star = (large.join(hubs, "bucket").where(F.col("node") != F.col("hub"))
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
     return close.unionByName(star), large.select("bucket", "node", "nth")
@@ -262,11 +262,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     second, _ = _pairs(finer, small)
     pairs = first.unionByName(second).distinct()
 
-    one = texts.select(F.struct("key", "crc").alias("node"), "text").dropDuplicates(["node"])
-    checked = (pairs.join(one.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-               .join(one.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-               .mapInArrow(_verify(shingle), "a struct<key:long,crc:long>, b struct<key:long,crc:long>"))
-    labels = components(checked)
+    # one text per node, dealt by its key once for both sides of the pairs
+    one = texts.groupBy("key", "crc").agg(F.first("text").alias("text"))
+    text_a, text_b = (one.withColumnsRenamed({"key": f"{x}k", "crc": f"{x}c", "text": f"text_{x}"}) for x in "ab")
+    named = pairs.select("a.key", "a.crc", "b.key", "b.crc").toDF("ak", "ac", "bk", "bc")
+    checked = named.join(text_b, ["bk", "bc"]).join(text_a, ["ak", "ac"]).mapInArrow(
+        _verify(shingle), named.schema)
+    links = _written(checked.select(F.struct(F.col("ak").alias("key"), F.col("ac").alias("crc")).alias("a"),
+                                    F.struct(F.col("bk").alias("key"), F.col("bc").alias("crc")).alias("b")), "links")
+    labels = components(links)
 
     classes = same.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "d1", "d2", F.coalesce("label", "rep").alias("class"), "copies")
