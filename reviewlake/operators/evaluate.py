@@ -4,11 +4,9 @@
   grid, so empty cells are zeros by construction (no join, no cross join).
 * Weighted precision/recall/F1 follow MLlib's ``MulticlassMetrics``.
 * ROC needs a running sum in score order. A global ordered window would pull
-  every distinct score into one task, so ``roc_points`` cuts the distinct
-  scores into score ranges (approximate quantiles as boundaries, as many
-  ranges as needed to keep each under ``max_bucket_rows`` distinct scores),
-  runs the window inside each range and adds the exact totals of the higher
-  ranges (one row per range, broadcast by construction).
+  every distinct score into one task, so ``roc_table`` sums inside fixed score
+  ranges of two sizes and adds the totals of the ranges above. Only
+  ``roc_points`` sorts; AUC and thresholds aggregate the unsorted table.
 """
 
 from __future__ import annotations
@@ -41,9 +39,9 @@ def confusion_matrix(pred: DataFrame, label_col: str = "label_text",
     cells = [(a, b) for a in labels for b in labels]
     aggs = [F.count(F.when((F.col(label_col) == a) & (F.col(pred_col) == b), 1)).alias(f"c{i}")
             for i, (a, b) in enumerate(cells)]
-    args = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(cells))
-    return (pred.agg(*aggs)
-            .select(F.expr(f"stack({len(cells)}, {args}) AS (`{label_col}`, `{pred_col}`, `count`)"))
+    grid = F.array(*[F.struct(F.lit(a).alias(label_col), F.lit(b).alias(pred_col), F.col(f"c{i}").alias("count"))
+                     for i, (a, b) in enumerate(cells)])
+    return (pred.agg(*aggs).select(F.inline(grid))
             .orderBy(label_col, pred_col))
 
 
@@ -111,31 +109,18 @@ def classification_metrics(pred: DataFrame, label_col: str = "label",
         _div0(F.sum(F.col("actual") * recall), total).alias("weighted_recall"))
 
 
-def _bucket_of(score: Column, bounds: list[float]) -> Column:
-    """Number of ``bounds`` (sorted, distinct) below ``score``: a balanced
-    CASE WHEN search tree, log2(len(bounds)) comparisons per row, codegen'd."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(score > F.lit(bounds[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
-    return build(0, len(bounds))
-
-
-def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "score",
-               buckets: int = 64, bins: int | None = None, with_origin: bool = True,
-               max_bucket_rows: int = 1_000_000, grid: int = 1024) -> DataFrame:
-    """ROC curve: (score, pos, neg, tp, fp, tpr, fpr) per distinct score, descending.
+def roc_table(scored: DataFrame, label_col: str = "label", score_col: str = "score",
+              bins: int | None = None, with_origin: bool = False) -> DataFrame:
+    """(score, pos, neg, tp, fp, tpr, fpr) per distinct score, in no order.
 
     ``tp``/``fp`` count rows with score >= this score. ``bins`` first rounds
-    scores down to ``bins`` equal-width steps of [0, 1]. The origin point
-    (score null, 0, 0) is added unless ``with_origin=False``.
-
-    Score ranges: one small action returns the number of distinct scores and
-    a ``grid`` of approximate quantiles; the number of ranges is at least
-    ``buckets`` and large enough for ``max_bucket_rows`` distinct scores per
-    range (up to ``grid``), so the ordered window inside a range stays
-    bounded as the data grows. The result does not depend on the ranges.
+    scores down to ``bins`` equal-width steps of [0, 1]; ``with_origin`` adds
+    the (0, 0) point (score null).
+
+    The running sum goes by two levels of score ranges that depend on the
+    score alone: a score's place in [0, 1] is cut at 16 and at 32 bits. Each
+    window orders the scores of a fine range, the fine ranges of a coarse one
+    (65,536 at most) or the coarse ranges (as many), whatever the data size.
     """
     s = F.col(score_col).cast("double")
     if bins:
@@ -144,63 +129,66 @@ def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "sc
     agg = (scored.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
            .groupBy(s.alias("score"))
            .agg(F.count(F.when(y, 1)).alias("pos"), F.count(F.when(~y, 1)).alias("neg")))
-    if bins:
-        # at most `bins` distinct scores: equal-width ranges, no quantile pass
-        k = max(1, min(buckets, bins))
-        bounds = sorted({(j * bins // k) / float(bins) - 0.5 / bins for j in range(1, k)})
-    else:
-        probs = [i / grid for i in range(1, grid)]
-        stats = agg.select(F.count(F.lit(1)).alias("n"),
-                           F.percentile_approx("score", probs, max(10 * grid, 10000)).alias("q")).first()
-        n_scores, qs = stats["n"], stats["q"] or []
-        k = min(grid, max(buckets, -(-n_scores // max_bucket_rows)))
-        step = grid / k
-        bounds = sorted({qs[int(round(j * step)) - 1] for j in range(1, k)} if qs else set())
-    with_b = agg.withColumn("__b", _bucket_of(F.col("score"), bounds))
-    tot = with_b.groupBy("__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"))
-    # offsets and class totals over the bucket totals (one row per range)
-    higher = Window.orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, 0)
+    place = (F.col("score") / (1 + F.abs("score")) + 1) / 2        # grows with the score
+    finite = F.abs("score") < float("inf")                         # NaN is larger than infinity
+    fine = (F.when(finite, F.floor(place * float(1 << 32)))
+            .when(F.col("score") > 0, F.lit(1 << 32)).otherwise(F.lit(-1)).cast("long"))
+    leaf = agg.withColumn("__f", fine).withColumn("__c", F.shiftright("__f", 16))
+
+    def above(w) -> tuple:
+        return tuple((F.sum(c).over(w) - F.col(c)) for c in ("__p", "__n"))
+
+    per_fine = leaf.groupBy("__c", "__f").agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
+    per_coarse = per_fine.groupBy("__c").agg(F.sum("__p").alias("__p"), F.sum("__n").alias("__n"))
+    frame = (Window.unboundedPreceding, 0)
+    p1, n1 = above(Window.orderBy(F.desc("__c")).rowsBetween(*frame))
+    p2, n2 = above(Window.partitionBy("__c").orderBy(F.desc("__f")).rowsBetween(*frame))
     whole = Window.partitionBy()
-    off = tot.select("__b", (F.sum("__bp").over(higher) - F.col("__bp")).alias("__op"),
-                     (F.sum("__bn").over(higher) - F.col("__bn")).alias("__on"),
-                     F.sum("__bp").over(whole).alias("__P"), F.sum("__bn").over(whole).alias("__N"))
-    inside = (Window.partitionBy("__b").orderBy(F.desc("score"))
-              .rowsBetween(Window.unboundedPreceding, 0))
-    pts = (with_b.join(F.broadcast(off), "__b", "inner")
-           .select("score", "pos", "neg",
-                   (F.col("__op") + F.sum("pos").over(inside)).alias("tp"),
-                   (F.col("__on") + F.sum("neg").over(inside)).alias("fp"), "__P", "__N"))
+    coarse = per_coarse.select("__c", p1.alias("__p1"), n1.alias("__n1"), F.sum("__p").over(whole).alias("__P"),
+                               F.sum("__n").over(whole).alias("__N"))
+    offsets = per_fine.select("__c", "__f", p2.alias("__p2"), n2.alias("__n2")).join(coarse, "__c").select(
+        "__f", (F.col("__p1") + F.col("__p2")).alias("__op"), (F.col("__n1") + F.col("__n2")).alias("__on"),
+        "__P", "__N")
+    inside = Window.partitionBy("__f").orderBy(F.desc("score")).rowsBetween(*frame)
+    pts = (leaf.select("__f", "score", "pos", "neg", F.sum("pos").over(inside).alias("tp"),
+                       F.sum("neg").over(inside).alias("fp"))
+           .join(offsets, "__f")
+           .select("score", "pos", "neg", (F.col("tp") + F.col("__op")).alias("tp"),
+                   (F.col("fp") + F.col("__on")).alias("fp"), "__P", "__N"))
     if with_origin:
-        # the (0, 0) point: one row carrying the class totals (none for empty input)
-        origin = (off.agg(F.max("__P").alias("__P"), F.max("__N").alias("__N"))
-                  .where(F.col("__P").isNotNull())
-                  .select(F.lit(None).cast("double").alias("score"), F.lit(0).cast("long").alias("pos"),
-                          F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("tp"),
-                          F.lit(0).cast("long").alias("fp"), "__P", "__N"))
+        # one row carrying the class totals (none for empty input)
+        zero = F.lit(0).cast("long")
+        origin = (coarse.agg(F.max("__P").alias("__P"), F.max("__N").alias("__N")).where(F.col("__P").isNotNull())
+                  .select(F.lit(None).cast("double").alias("score"), zero.alias("pos"), zero.alias("neg"),
+                          zero.alias("tp"), zero.alias("fp"), "__P", "__N"))
         pts = pts.unionByName(origin)
     return (pts.withColumn("tpr", F.try_divide(F.col("tp").cast("double"), F.col("__P").cast("double")))
             .withColumn("fpr", F.try_divide(F.col("fp").cast("double"), F.col("__N").cast("double")))
-            .drop("__P", "__N")
-            .orderBy(F.desc_nulls_first("score")))
+            .drop("__P", "__N"))
+
+
+def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "score",
+               bins: int | None = None, with_origin: bool = True) -> DataFrame:
+    """``roc_table`` with its origin, by descending score: for output."""
+    return roc_table(scored, label_col, score_col, bins, with_origin).orderBy(F.desc_nulls_first("score"))
 
 
-def auc(scored: DataFrame, label_col: str = "label", score_col: str = "score",
-        buckets: int = 64) -> DataFrame:
+def auc(scored: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
     """One row ``area_under_roc``: trapezoid area = rank-sum form, ties counted half.
 
     Null when one class is absent.
     """
-    pts = roc_points(scored, label_col, score_col, buckets, with_origin=False)
+    pts = roc_table(scored, label_col, score_col)
     num = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
-    den = F.sum("pos") * F.sum("neg")
-    return pts.agg(F.try_divide(num, den.cast("double")).alias("area_under_roc"))
+    den = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return pts.agg(F.try_divide(num, den).alias("area_under_roc"))
 
 
 def evaluate(pred: DataFrame, label_col: str = "label", pred_col: str = "prediction",
-             score_col: str = "score", buckets: int = 64) -> DataFrame:
+             score_col: str = "score") -> DataFrame:
     """(metric, value): accuracy, f1_score, weighted_precision, weighted_recall, area_under_roc."""
     m = classification_metrics(pred, label_col, pred_col)
-    a = auc(pred, label_col, score_col, buckets)
+    a = auc(pred, label_col, score_col)
     wide = m.select("*", a.scalar().alias("area_under_roc"))
     names = ["accuracy", "f1_score", "weighted_precision", "weighted_recall", "area_under_roc"]
     args = ", ".join(f"'{n}', `{n}`" for n in names)

@@ -41,9 +41,9 @@ def rank_models(comparison: DataFrame, metric: str = "f1_score",
 def melt_metrics(comparison: DataFrame, metrics: list[str] = METRICS,
                  name_col: str = "model_name") -> DataFrame:
     """Wide comparison -> (model_name, metric, score, metric_order)."""
-    args = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE), {i}" for i, m in enumerate(metrics))
-    return comparison.select(
-        name_col, F.expr(f"stack({len(metrics)}, {args}) AS (`metric`, `score`, `metric_order`)"))
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`").cast("double").alias("score"),
+                               F.lit(i).alias("metric_order")) for i, m in enumerate(metrics)])
+    return comparison.select(name_col, F.inline(cells))
 
 
 def metric_winners(comparison: DataFrame, metrics: list[str] = METRICS,

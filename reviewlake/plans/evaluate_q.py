@@ -119,21 +119,21 @@ def q_sample_predictions(spark, sf):
 
 @register("roc_points", _w("SELECT * FROM roc", _ROC))
 def q_roc_points(spark, sf):
-    return V.roc_points(scored(spark, sf), "label", "score", buckets=16)
+    return V.roc_points(scored(spark, sf), "label", "score")
 
 
 @register("auc", _w("""
 SELECT sum(neg * (tp - pos / 2.0)) / (sum(pos) * sum(neg)) AS area_under_roc
 FROM roc WHERE score IS NOT NULL""", _ROC))
 def q_auc(spark, sf):
-    return V.auc(scored(spark, sf), "label", "score", buckets=16)
+    return V.auc(scored(spark, sf), "label", "score")
 
 
 @register("youden_threshold", _w("""
 SELECT *, tpr - fpr AS youden_j FROM roc
 ORDER BY youden_j DESC NULLS LAST, score DESC NULLS FIRST LIMIT 1""", _ROC))
 def q_youden_threshold(spark, sf):
-    return V.youden_threshold(V.roc_points(scored(spark, sf), buckets=16))
+    return V.youden_threshold(V.roc_table(scored(spark, sf), with_origin=True))
 
 
 @register("threshold_points", _w("""
@@ -143,7 +143,7 @@ SELECT target, score, fpr, tpr FROM (
   FROM roc r, (VALUES (CAST(0.3 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(0.7 AS DOUBLE))) t(target)
   WHERE r.score IS NOT NULL) x WHERE rn = 1""", _ROC))
 def q_threshold_points(spark, sf):
-    return V.threshold_points(V.roc_points(scored(spark, sf), buckets=16))
+    return V.threshold_points(V.roc_table(scored(spark, sf)))
 
 
 @register("score_histogram", _w("""
@@ -186,7 +186,7 @@ SELECT metric, value FROM (""" + _metrics_sql(0.5, "m") + """) w
 UNPIVOT (value FOR metric IN (accuracy, f1_score, weighted_precision, weighted_recall,
                               area_under_roc))""", _ROC))
 def q_evaluate(spark, sf):
-    return V.evaluate(_pred(spark, sf), "label", "prediction", "score", buckets=16)
+    return V.evaluate(_pred(spark, sf), "label", "prediction", "score")
 
 
 def comparison(spark, sf):
@@ -195,7 +195,7 @@ def comparison(spark, sf):
     for t, name in _NAMES.items():
         p = _pred(spark, sf, t)
         m = V.classification_metrics(p, "label", "prediction")
-        a = V.auc(p, "label", "score", buckets=16).scalar()
+        a = V.auc(p, "label", "score").scalar()
         rows.append(m.select(F.lit(name).alias("model_name"), "*", a.alias("area_under_roc")))
     return R.concat_results(rows)
 
