@@ -8,21 +8,16 @@ the file layout, partition count or executor count (``limit`` and
 order" samples. Ranking a whole group with a window would put the group in
 one task, and one group may hold a third of the data. Instead:
 
-1. count rows per group (one row per group) and give each group a bucket
-   width: k1 = min(3, floor(log16(count / n))) leading hex digits of the
-   hash, so a group's histogram has at most ``count / n`` (and 4,096) rows;
-2. count rows per (group, bucket) (partially aggregated on the map side) and
-   a running sum over each small histogram finds the boundary bucket where
-   the group's count reaches ``n``;
-3. only for groups whose boundary bucket can still be large (k1 = 3 and
-   count / 4096 > 16 n), repeat on the next k2 <= 3 digits of that bucket's
-   rows; this pass is skipped when no group needs it;
-4. rows before the boundary cell are in; only the boundary cell (about 16 n
-   rows at most, or ``count / 16**6`` for a hot group) is ranked with
-   ``row_number``.
-
-Per-group frames have one row per group; joins against them are planned by
-AQE (broadcast when small by runtime size, else shuffled with skew splitting).
+1. count rows per group, on the group columns; groups of up to ``n`` rows are
+   taken whole, the others get as many leading hex digits of the hash as cut
+   them into cells of about a million rows;
+2. count rows per (group, cell), partially aggregated on the map side; a
+   running sum over a group's cells finds the one in which its n-th row lies;
+3. only that cell's keys are ranked: its row at the right place is the cut-off;
+4. one pass over the full rows keeps those up to their group's cut-off.
+
+Steps 1 to 3 read group and key only; the full rows, texts and all, are read
+once and not shuffled while the groups are few enough to broadcast (counted).
 """
 
 from __future__ import annotations
@@ -33,23 +28,8 @@ from pyspark.sql import functions as F
 from reviewlake.functions.exprs import hash_fraction_hex, hex_hash
 from reviewlake.session import ensure_checkpoint_dir
 
-_H, _D1, _D2 = "__h", "__d1", "__d2"
-
-
-def _boundary(counts: DataFrame, group: list[str], digit: str, need: str) -> DataFrame:
-    """Per group: the first bucket where the running count reaches ``need``.
-
-    ``counts`` has (group..., digit, __c[, need]); returns (group..., __b, __r)
-    where __r is how many rows of bucket __b are still needed.
-    """
-    w = Window.partitionBy(*group).orderBy(digit).rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("__cum", F.sum("__c").over(w))
-    return (cum.where(F.col("__cum") >= F.col(need))
-            .groupBy(*group)
-            .agg(F.min_by(F.struct(F.col(digit).alias("__b"),
-                                   (F.col(need) - F.col("__cum") + F.col("__c")).alias("__r")),
-                          F.col(digit)).alias("__t"))
-            .select(*group, "__t.__b", "__t.__r"))
+_H = "__h"
+MAX_BROADCAST_GROUPS = 100_000
 
 
 def _join_groups(left: DataFrame, right: DataFrame, g: list[str], how: str) -> DataFrame:
@@ -61,62 +41,45 @@ def _join_groups(left: DataFrame, right: DataFrame, g: list[str], how: str) -> D
 
 
 def hash_top_n(df: DataFrame, n: int, key: list[str] | tuple[str, ...],
-               group: list[str] | tuple[str, ...] = (), salt: str = "") -> DataFrame:
+               group: list[str] | tuple[str, ...] = (), salt: str = "",
+               cell_rows: int = 1_000_000) -> DataFrame:
     """Exactly the first ``n`` rows of each group ordered by (md5(key), key).
 
-    Keys should be unique within a group (ties among identical keys are
-    broken arbitrarily). Groups smaller than ``n`` are returned whole.
-    Building the plan runs the per-group count pass once and checkpoints its
-    one-row-per-group result, then checks whether any group needs the second
-    histogram level, so the returned plan has only the passes it needs.
+    Keys should be unique within a group (rows that share the last key are
+    taken together). Groups of up to ``n`` rows are returned whole. Building
+    the plan counts the groups once - a scan of group columns only - and
+    checkpoints the larger ones; their number decides between broadcasting
+    per-group rows and shuffled joins with the same result.
     """
     key, group = list(key), list(group)
     g = group or ["__g"]
     base = df if group else df.withColumn("__g", F.lit(0))
     d = base.withColumn(_H, hex_hash(*key, salt=salt))
+    narrow = d.select(*dict.fromkeys([*g, _H, *key]))
 
-    log16 = lambda x: F.floor(F.log(16.0, x))
-    counts = d.groupBy(*g).agg(F.count(F.lit(1)).alias("__cnt"))
-    widths = (counts.where(F.col("__cnt") > n)
-              .withColumn("__k1", F.least(F.lit(3), F.greatest(F.lit(0), log16(F.col("__cnt") / n))))
-              .withColumn("__k2", F.when(
-                  (F.col("__k1") == 3) & (F.col("__cnt") / 4096.0 > 16.0 * n),
-                  F.least(F.lit(3), log16(F.col("__cnt") / (4096.0 * n)))).otherwise(0))
-              .select(*g, F.col("__k1").cast("int"), F.col("__k2").cast("int")))
-    # one row per group: materialise it once (reliable checkpoint, lineage cut)
-    # so the level check below and every later pass reuse it instead of
-    # re-running the count scan
+    # leading hex digits that cut a group's hash space into cells of about cell_rows
+    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("__cnt") / F.lit(float(cell_rows)))))
+    widths = (base.groupBy(*g).agg(F.count(F.lit(1)).alias("__cnt")).where(F.col("__cnt") > n)
+              .select(*g, digits.cast("int").alias("__k")))
     ensure_checkpoint_dir(df.sparkSession)
     widths = widths.checkpoint(eager=True)
-    # groups not in `widths` have at most n rows: all of them are taken
-    dw = (_join_groups(d, widths, g, "left")
-          .withColumn(_D1, F.col(_H).substr(F.lit(1), F.col("__k1")))
-          .withColumn(_D2, F.col(_H).substr(F.col("__k1") + 1, F.col("__k2"))))
-
-    c1 = (dw.where(F.col("__k1").isNotNull()).groupBy(*g, _D1)
-          .agg(F.count(F.lit(1)).alias("__c")).withColumn("__need", F.lit(n)))
-    t1 = _boundary(c1, g, _D1, "__need").withColumnRenamed("__b", "__b1").withColumnRenamed("__r", "__r1")
-
-    two_levels = not widths.where(F.col("__k2") > 0).isEmpty()
-    if two_levels:
-        cell1 = _join_groups(dw, t1, g, "inner").where(F.col(_D1) == F.col("__b1"))
-        c2 = cell1.groupBy(*g, _D2).agg(F.count(F.lit(1)).alias("__c"), F.first("__r1").alias("__need"))
-        t2 = _boundary(c2, g, _D2, "__need").withColumnRenamed("__b", "__b2").withColumnRenamed("__r", "__r2")
-        marked = _join_groups(_join_groups(dw, t1, g, "left"), t2, g, "left")
-    else:  # every boundary cell is small: rank it directly (empty level-2 digit)
-        marked = (_join_groups(dw, t1, g, "left")
-                  .withColumn("__b2", F.lit("")).withColumn("__r2", F.col("__r1")))
-
-    b1, b2 = F.col("__b1"), F.col("__b2")
-    clear = (b1.isNull() | (F.col(_D1) < b1)
-             | ((F.col(_D1) == b1) & (F.col(_D2) < b2)))
-    in_cell = (F.col(_D1) == b1) & (F.col(_D2) == b2)
-    order = [F.col(_H)] + [F.col(k) for k in key]
-    ranked = (marked.where(in_cell)
-              .withColumn("__rn", F.row_number().over(Window.partitionBy(*g).orderBy(*order)))
-              .where(F.col("__rn") <= F.col("__r2")))
-    cols = df.columns
-    return marked.where(clear).select(*cols).unionByName(ranked.select(*cols))
+    few = widths.count() <= MAX_BROADCAST_GROUPS
+    small = F.broadcast if few else (lambda x: x)
+
+    celled = _join_groups(narrow, small(widths), g, "inner").withColumn(
+        "__cell", F.col(_H).substr(F.lit(1), F.col("__k")))
+    upto = Window.partitionBy(*g).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
+    cells = (celled.groupBy(*g, "__cell").agg(F.count(F.lit(1)).alias("__c"))
+             .withColumn("__cum", F.sum("__c").over(upto))
+             .where((F.col("__cum") >= n) & (F.col("__cum") - F.col("__c") < n))
+             .select(*g, F.col("__cell").alias("__last"), (F.lit(n) - F.col("__cum") + F.col("__c")).alias("__need")))
+    order = Window.partitionBy(*g).orderBy(_H, *key)
+    cut = (_join_groups(celled, small(cells), g, "inner").where(F.col("__cell") == F.col("__last"))
+           .withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") == F.col("__need"))
+           .select(*g, F.struct(_H, *key).alias("__cut")))
+    return (_join_groups(d, small(cut), g, "left")
+            .where(F.col("__cut").isNull() | (F.struct(_H, *key) <= F.col("__cut")))
+            .select(*df.columns))
 
 
 def balanced_sample(df: DataFrame, n_per_class: int, key: str = "event_id",
@@ -168,51 +131,29 @@ def sample_n(df: DataFrame, n: int, key: str = "event_id", salt: str = "") -> Da
     return hash_top_n(df, n, [key], [], salt)
 
 
-def _is_wide(df: DataFrame, key: str) -> bool:
-    return df.schema[key].dataType.simpleString() in ("string", "binary")
+def _digest(df: DataFrame, key: str):
+    """What stands for the key in a join: itself, or 32 bytes for a text."""
+    wide = df.schema[key].dataType.simpleString() in ("string", "binary")
+    return F.unhex(F.sha2(F.col(key), 256)) if wide else F.col(key)
 
 
-def _shared_hashes(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """8-byte hashes of ``key`` present on both sides (only hashes are shuffled)."""
-    ha = a.select(F.xxhash64(key).alias("__kh")).distinct()
-    hb = b.select(F.xxhash64(key).alias("__kh")).distinct()
-    return ha.join(hb, "__kh", "left_semi")
+def _trained(train: DataFrame, key: str) -> DataFrame:
+    return train.where(F.col(key).isNotNull()).select(_digest(train, key).alias("__kd")).distinct()
 
 
 def leakage_check(train: DataFrame, test: DataFrame, key: str = "event_id") -> DataFrame:
     """Test rows whose ``key`` also occurs in train (left semi join); expected empty.
 
-    For a wide key (e.g. the review text) the sides are first matched on an
-    8-byte hash; only rows whose hash occurs on both sides take part in the
-    exact comparison, so non-matching texts are never shuffled when the
-    shared-hash set is small (AQE broadcasts it by runtime size; otherwise it
-    falls back to a shuffled join, still exact).
+    Texts meet as SHA-256 digests, distinct on the train side (combined on the
+    map side), so a text that very many rows share is one row there; on the
+    test side AQE splits it.
     """
-    if not _is_wide(test, key):
-        return test.join(train.select(key), key, "left_semi")
-    shared = _shared_hashes(test, train, key)
-    cand = test.withColumn("__kh", F.xxhash64(key)).join(shared, "__kh", "left_semi")
-    cand_train = (train.select(key, F.xxhash64(key).alias("__kh"))
-                  .join(shared, "__kh", "left_semi"))
-    return cand.join(cand_train, ["__kh", key], "left_semi").drop("__kh")
+    return test.withColumn("__kd", _digest(test, key)).join(_trained(train, key), "__kd", "left_semi").drop("__kd")
 
 
 def exclude_training(scored: DataFrame, train: DataFrame, key: str = "event_id") -> DataFrame:
-    """Rows of ``scored`` whose ``key`` is not in the training set (left anti join).
-
-    Wide keys use the same hash prefilter as ``leakage_check``: rows whose
-    hash never occurs in train are kept without any exact comparison.
-    """
-    if not _is_wide(scored, key):
-        return scored.join(train.select(key), key, "left_anti")
-    shared = _shared_hashes(scored, train, key)
-    hashed = scored.withColumn("__kh", F.xxhash64(key))
-    clear = hashed.join(shared, "__kh", "left_anti")
-    cand = hashed.join(shared, "__kh", "left_semi")
-    cand_train = (train.select(key, F.xxhash64(key).alias("__kh"))
-                  .join(shared, "__kh", "left_semi"))
-    kept = cand.join(cand_train, ["__kh", key], "left_anti")
-    return clear.unionByName(kept).drop("__kh")
+    """Rows of ``scored`` whose ``key`` is not in the training set (left anti join, by digest)."""
+    return scored.withColumn("__kd", _digest(scored, key)).join(_trained(train, key), "__kd", "left_anti").drop("__kd")
 
 
 def partition_by_key(df: DataFrame, n: int | None = None, key: str = "app_id") -> DataFrame:
