@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.functions.exprs import tokens_expr
-from reviewlake.functions.hashing import hashing_index
 from reviewlake.schemas import STOP_WORDS_EN
 
 
@@ -132,16 +131,17 @@ def nb_theta(weights: DataFrame, vocab: DataFrame, label_col: str = "label",
             .select(label_col, "term", "theta"))
 
 
-def hashing_tf(tf: DataFrame, doc_col: str = "event_id", num_features: int = 20000) -> DataFrame:
-    """(doc, index, tf): MLlib HashingTF as a table (same slot for every term).
+def _slots(df: DataFrame, words_col: str, num_features: int) -> DataFrame:
+    """Adds ``__tf``: MLlib's hashed count vector of a token array as a struct. Rows without tokens drop."""
+    return HashingTF(inputCol=words_col, outputCol="__tf", numFeatures=num_features).transform(
+        df.where(F.col(words_col).isNotNull())).withColumn("__tf", F.unwrap_udt("__tf"))
 
-    Only the distinct terms go through the Murmur3 helper; the (term, index)
-    map is joined back (AQE picks broadcast or a skew-split shuffle join by
-    its runtime size).
-    """
-    slots = tf.select("term").distinct().withColumn("index", hashing_index("term", num_features))
-    return (tf.join(slots, "term", "inner")
-            .groupBy(doc_col, "index").agg(F.sum("tf").cast("double").alias("tf")))
+
+def hashing_tf(df: DataFrame, words_col: str = "filtered_words", doc_col: str = "event_id",
+               num_features: int = 20000) -> DataFrame:
+    """(doc, index, tf): MLlib HashingTF's entries as rows; no shuffle, no join."""
+    cells = F.arrays_zip(F.col("__tf.indices").alias("index"), F.col("__tf.values").alias("tf"))
+    return _slots(df, words_col, num_features).select(doc_col, F.inline(cells))
 
 
 def label_index(label_col: str = "label_text", out_col: str = "label") -> StringIndexer:
@@ -235,7 +235,8 @@ def resolve_hashed_features(importance: DataFrame, tf: DataFrame,
              .select("feature", F.substring_index("feature", "_", -1).cast("int").alias("index"))
              .distinct())
     totals = tf.groupBy("term").agg(F.sum("tf").alias("__n"))
-    hashed = totals.withColumn("index", hashing_index("term", num_features))
+    hashed = _slots(totals.withColumn("__w", F.array("term")), "__w", num_features).withColumn(
+        "index", F.get("__tf.indices", F.lit(0)))
     named = (hashed.join(F.broadcast(slots), "index", "inner")
              .groupBy("feature")
              .agg(F.max_by("term", F.struct(F.col("__n"), F.col("term"))).alias("top_term"),

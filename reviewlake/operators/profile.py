@@ -114,13 +114,13 @@ def top_apps(df: DataFrame, n: int = 20, keys: tuple[str, ...] = ("app_id", "app
             .limit(n))
 
 
-def top_apps_by_votes(df: DataFrame, n: int = 5, candidates: int | None = 20,
+def top_apps_by_votes(df: DataFrame, n: int = 5, candidates: int | None = None,
                       min_reviews: int = 1) -> DataFrame:
     """Top ``n`` apps by mean votes.
 
+    All apps having at least ``min_reviews`` reviews are ranked;
     ``candidates=20`` reproduces the dashboard (the pick is made among the 20
-    most-reviewed apps); ``candidates=None`` ranks all apps having at least
-    ``min_reviews`` reviews.
+    most-reviewed apps).
     """
     pool = top_apps(df, candidates) if candidates else (
         app_stats(df).where(F.col("review_count") >= min_reviews))

@@ -1,4 +1,4 @@
-"""Text-feature queries over the review corpus (whole ``model_frame``)."""
+"""Text-feature queries over all documents; Naive Bayes weights over the labelled ones."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from reviewlake.operators import clean as C
 from reviewlake.operators import features as X
 from reviewlake.plans.registry import register, with_views
 from reviewlake.schemas import STOP_WORDS_EN
-from reviewlake.sources.tables import reviews
+from reviewlake.sources.tables import reviews, texts
 
 VOCAB_SIZE = 5000
 MIN_DF = 5
@@ -18,10 +18,9 @@ _STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS_EN)
 _SPLIT = "'[ \\t\\n\\v\\f\\r]'"
 
 _CORPUS = f"""
-tok AS (SELECT event_id, sentiment AS label_text,
-               CASE WHEN sentiment = 'positive' THEN 1 ELSE 0 END AS label,
+tok AS (SELECT event_id, LABEL AS label,
                list_filter(string_split_regex(lower(review_text), {_SPLIT}), lambda x: x <> '') AS words
-        FROM reviews WHERE review_text IS NOT NULL AND sentiment IN ('negative', 'positive')),
+        FROM VIEW WHERE review_text IS NOT NULL),
 filt AS (SELECT event_id, label, words,
                 list_filter(words, lambda x: NOT list_contains({_STOP}, lower(x))) AS fw FROM tok),
 tf AS (SELECT event_id, term, count(*) AS tf
@@ -37,22 +36,27 @@ tfidf AS (SELECT tf.event_id, tf.term, tf.tf, ln((m.m + 1.0) / (vocab.doc_freq +
           FROM tf JOIN vocab ON tf.term = vocab.term, m)"""
 
 
-def _sql(body: str) -> str:
-    s = with_views(body, "reviews")
+def _sql(body: str, view: str = "texts", label: str = "0") -> str:
+    s = with_views(body, view)
     head, rest = s.split("\n", 1)
     idx = rest.index(")\n") + 1
-    return head + "\n" + rest[:idx] + "," + _CORPUS + rest[idx:]
+    return head + "\n" + rest[:idx] + "," + _CORPUS.replace("VIEW", view).replace("LABEL", label) + rest[idx:]
 
 
 def corpus(spark, sf):
-    """The review model frame with the 0/1 label (every document, text not null)."""
+    """All documents with a text."""
+    return texts(spark, sf).select("event_id", "review_text").where(F.col("review_text").isNotNull())
+
+
+def labelled(spark, sf):
+    """The review model frame with the 0/1 label (labelled documents, text not null)."""
     mf = C.model_frame(reviews(spark, sf))
     return mf.withColumn("label", F.when(F.col("label_text") == "positive", 1).otherwise(0))
 
 
 def tf_frame(spark, sf):
-    """(event_id, label, term, tf) over the whole corpus."""
-    return X.term_frequencies(X.terms(corpus(spark, sf), keep=("label",)), keep=("label",))
+    """(event_id, term, tf) over all documents."""
+    return X.term_frequencies(X.terms(corpus(spark, sf)))
 
 
 def vocab_frame(spark, sf):
@@ -62,7 +66,7 @@ def vocab_frame(spark, sf):
 @register("tokenize", _sql("""
 SELECT event_id, generate_subscripts(words, 1) - 1 AS pos, unnest(words) AS token FROM tok"""))
 def q_tokenize(spark, sf):
-    t = X.tokenize(C.model_frame(reviews(spark, sf)))
+    t = X.tokenize(corpus(spark, sf))
     return t.select("event_id", F.posexplode("words").alias("pos", "token")).withColumn(
         "pos", F.col("pos").cast("long"))
 
@@ -70,7 +74,7 @@ def q_tokenize(spark, sf):
 @register("remove_stopwords", _sql("""
 SELECT event_id, generate_subscripts(fw, 1) - 1 AS pos, unnest(fw) AS token FROM filt"""))
 def q_remove_stopwords(spark, sf):
-    toks = X.remove_stopwords(X.tokenize(C.model_frame(reviews(spark, sf))))
+    toks = X.remove_stopwords(X.tokenize(corpus(spark, sf)))
     return toks.select("event_id", F.posexplode("filtered_words").alias("pos", "token")).withColumn(
         "pos", F.col("pos").cast("long"))
 
@@ -103,17 +107,23 @@ def q_tfidf(spark, sf):
 , tot AS (SELECT sum(w0) AS t0, sum(w1) AS t1, count(*)::DOUBLE AS V FROM full_w)
 SELECT 0 AS label, term, ln((w0 + 1.0) / (t0 + 1.0 * V)) AS theta FROM full_w, tot
 UNION ALL
-SELECT 1, term, ln((w1 + 1.0) / (t1 + 1.0 * V)) FROM full_w, tot""").replace(
+SELECT 1, term, ln((w1 + 1.0) / (t1 + 1.0 * V)) FROM full_w, tot""",
+    "reviews", "CASE WHEN sentiment = 'positive' THEN 1 ELSE 0 END").replace(
     "\n, w AS", ", w AS", 1))
 def q_nb_theta(spark, sf):
-    w = X.tfidf(tf_frame(spark, sf), vocab_frame(spark, sf), corpus(spark, sf), keep=("label",))
-    return X.nb_theta(w, vocab_frame(spark, sf))
+    docs = labelled(spark, sf)
+    tf = X.term_frequencies(X.terms(docs, keep=("label",)), keep=("label",))
+    vocab = X.vocabulary(tf, vocab_size=VOCAB_SIZE, min_df=MIN_DF)
+    return X.nb_theta(X.tfidf(tf, vocab, docs, keep=("label",)), vocab)
 
 
-@register("hashing_tf")
+@register("hashing_tf", _sql("""
+SELECT event_id, len(fw)::BIGINT AS terms, TRUE AS in_range FROM filt WHERE len(fw) > 0"""))
 def q_hashing_tf(spark, sf):
-    """(doc, index, tf) with 20,000 hashed slots; rows-only (no Murmur3 in the oracle)."""
-    return X.hashing_tf(tf_frame(spark, sf), num_features=20000)
+    """Hashed counts of every document, 20,000 slots, checked by their totals (no Murmur3 in SQL)."""
+    cells = X.hashing_tf(X.remove_stopwords(X.tokenize(corpus(spark, sf))), num_features=20000)
+    return cells.groupBy("event_id").agg(F.sum("tf").cast("long").alias("terms"),
+                                         F.bool_and(F.col("index").between(0, 19999)).alias("in_range"))
 
 
 @register("term_lookup", _sql("""

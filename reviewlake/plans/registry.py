@@ -31,6 +31,12 @@ SELECT d.doc_id AS event_id,
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """
 
+# All documents, for queries that need no label.
+TEXTS_SQL = """
+SELECT doc_id AS event_id, CAST(substr(source, 4) AS INT) AS app_id, source AS app_name, text AS review_text
+FROM documents
+"""
+
 ACTIVITY_SQL = """
 SELECT event_id, ts AS event_time, user_id AS app_id, event_type AS sentiment,
        value AS review_votes, props AS raw_json
@@ -46,8 +52,8 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 
 
 def with_views(sql: str, *views: str) -> str:
-    """Prefix ``sql`` with CTEs for the named views (reviews/activity/scored)."""
-    defs = {"reviews": REVIEWS_SQL, "activity": ACTIVITY_SQL, "scored": SCORED_SQL}
+    """Prefix ``sql`` with CTEs for the named views (reviews/texts/activity/scored)."""
+    defs = {"reviews": REVIEWS_SQL, "texts": TEXTS_SQL, "activity": ACTIVITY_SQL, "scored": SCORED_SQL}
     ctes = ",\n".join(f"{v} AS ({defs[v]})" for v in views)
     return f"WITH {ctes}\n{sql}" if views else sql
 

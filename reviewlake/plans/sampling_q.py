@@ -7,7 +7,7 @@ from reviewlake.operators import profile as P
 from reviewlake.operators import sampling as S
 from reviewlake.operators.reports import union_classes
 from reviewlake.plans.registry import register, with_views
-from reviewlake.sources.tables import reviews, table
+from reviewlake.sources.tables import reviews, table, texts
 
 _MODEL_FRAME = ("SELECT event_id, review_text, sentiment, sentiment AS label_text FROM reviews "
                 "WHERE review_text IS NOT NULL AND sentiment IN ('negative', 'positive')")
@@ -60,50 +60,50 @@ def q_class_balance_comparison(spark, sf):
 
 @register("hash_split", with_views(f"""
 SELECT event_id, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS split
-FROM reviews""", "reviews"))
+FROM texts""", "texts"))
 def q_hash_split(spark, sf):
-    return S.hash_split(reviews(spark, sf), "event_id", 0.8).select("event_id", "split")
+    return S.hash_split(texts(spark, sf), "event_id", 0.8).select("event_id", "split")
 
 
 @register("per_group_sample", with_views(f"""
-SELECT event_id, app_id FROM (SELECT *, {_hash_rank('app_id')} AS rn FROM reviews) t
-WHERE rn <= 5""", "reviews"))
+SELECT event_id, app_id FROM (SELECT *, {_hash_rank('app_id')} AS rn FROM texts) t
+WHERE rn <= 5""", "texts"))
 def q_per_group_sample(spark, sf):
-    return S.per_group_sample(reviews(spark, sf), 5, "app_id").select("event_id", "app_id")
+    return S.per_group_sample(texts(spark, sf), 5, "app_id").select("event_id", "app_id")
 
 
 @register("sample_n", with_views(f"""
-SELECT event_id FROM (SELECT *, {_hash_rank(None)} AS rn FROM reviews) t
-WHERE rn <= 100""", "reviews"))
+SELECT event_id FROM (SELECT *, {_hash_rank(None)} AS rn FROM texts) t
+WHERE rn <= 100""", "texts"))
 def q_sample_n(spark, sf):
-    return S.sample_n(reviews(spark, sf), 100).select("event_id")
+    return S.sample_n(texts(spark, sf), 100).select("event_id")
 
 
 @register("leakage_check", with_views(f"""
-SELECT event_id FROM reviews te
+SELECT event_id FROM texts te
 WHERE NOT ({_TRAIN})
-  AND review_text IN (SELECT review_text FROM reviews WHERE {_TRAIN})""", "reviews"))
+  AND review_text IN (SELECT review_text FROM texts WHERE {_TRAIN})""", "texts"))
 def q_leakage_check(spark, sf):
     """Test rows (split by id) whose exact text is also in train: copies leak."""
-    split = S.hash_split(reviews(spark, sf).select("event_id", "review_text"))
+    split = S.hash_split(texts(spark, sf).select("event_id", "review_text"))
     return S.leakage_check(S.train_part(split), S.test_part(split), "review_text").select(
         "event_id")
 
 
 @register("exclude_training", with_views(f"""
-SELECT event_id FROM reviews
-WHERE review_text NOT IN (SELECT review_text FROM reviews WHERE {_TRAIN})""", "reviews"))
+SELECT event_id FROM texts
+WHERE review_text NOT IN (SELECT review_text FROM texts WHERE {_TRAIN})""", "texts"))
 def q_exclude_training(spark, sf):
     """Rows whose text never occurs in the training split (left anti join)."""
-    r = reviews(spark, sf).select("event_id", "review_text")
+    r = texts(spark, sf).select("event_id", "review_text")
     train = S.train_part(S.hash_split(r))
     return S.exclude_training(r, train, "review_text").select("event_id")
 
 
 @register("partition_by_key", with_views(
-    "SELECT event_id, app_id FROM reviews", "reviews"))
+    "SELECT event_id, app_id FROM texts", "texts"))
 def q_partition_by_key(spark, sf):
-    return S.partition_by_key(reviews(spark, sf).select("event_id", "app_id"), None, "app_id")
+    return S.partition_by_key(texts(spark, sf).select("event_id", "app_id"), None, "app_id")
 
 
 @register("seq_id", """

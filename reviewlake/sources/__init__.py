@@ -1,5 +1,5 @@
 from reviewlake.sources.tables import (  # noqa: F401
-    TABLES, table, reviews, activity, register_views, scan_table, scan_columns,
+    TABLES, table, reviews, texts, activity, scan_table, scan_columns,
 )
 from reviewlake.sources.csv import scan_reviews_csv  # noqa: F401
 from reviewlake.sources.models import load_model  # noqa: F401

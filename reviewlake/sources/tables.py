@@ -45,7 +45,7 @@ def reviews(spark: SparkSession, sf_dir: str, text: str = "text") -> DataFrame:
         .select(
             F.col("d.doc_id").alias("event_id"),
             F.lit("review").alias("event_type"),
-            F.substring("d.source", 4, 1 << 20).cast("int").alias("app_id"),
+            F.expr("substring(d.source, 4)").cast("int").alias("app_id"),
             F.col("d.source").alias("app_name"),
             *text_cols,
             F.when(positive, 1).otherwise(-1).alias("review_score"),
@@ -55,6 +55,15 @@ def reviews(spark: SparkSession, sf_dir: str, text: str = "text") -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, sf_dir: str, text: str = "text") -> DataFrame:
+    """All ``documents`` in the shape of reviews, for what needs no label."""
+    length = text == "length"
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("event_id"), F.expr("substring(source, 4)").cast("int").alias("app_id"),
+        F.col("source").alias("app_name"),
+        F.length("text").alias("review_text_length") if length else F.col("text").alias("review_text"))
+
+
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver-shaped view over the ``events`` stream table."""
     return table(spark, sf_dir, "events").select(
@@ -80,20 +89,13 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(n / (n + F.lit(1000.0)), 6).alias("score"))
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register every table plus ``reviews`` and ``activity`` as temp views."""
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    reviews(spark, sf_dir).createOrReplaceTempView("reviews")
-    activity(spark, sf_dir).createOrReplaceTempView("activity")
-
-
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Batch read of a bronze/silver table through its snapshot, never a raw glob.
 
     ``fmt="delta"`` reads the transaction log when the Delta connector is
     deployed. For ``parquet`` the path is a snapshot root written by
-    ``sinks.write_silver``: the newest committed version is read.
+    ``sinks.write_silver``: the newest committed version is read, and a root
+    that only has unfinished versions is refused.
     """
     if fmt == "parquet":
         from reviewlake.sinks.tables import latest_snapshot
