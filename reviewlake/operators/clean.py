@@ -60,27 +60,27 @@ def build_event(raw: DataFrame, event_type: str = "review", id_col: str = "event
 
 
 def seq_id(df: DataFrame, out_col: str = "event_id", start: int = 1) -> DataFrame:
-    """Consecutive ids (``start``, ``start+1``, ...) in input order.
-
-    Two passes, no single-partition window: (1) row counts per input partition
-    (one row per partition, so the broadcast side is bounded by the partition
-    count, not the data); (2) exclusive prefix sum of those counts added to the
-    row's position inside its partition. ``monotonically_increasing_id`` is
-    deterministic for a given scan layout, so both passes and any task retry
-    after an executor loss see the same numbering. Apply it directly on a scan
-    (no shuffle before it): input order is file order.
+    """Consecutive ids (``start``, ``start+1``, ...) in input order, for a file scan.
+
+    Input order is by file path, then by block start in the file, then by row.
+    Scan partitions can't stand for it: splits are packed by size. Two passes,
+    no single-partition window over rows: (1) row counts per (file, block), one
+    row per block of the input; (2) the sum of the counts of all blocks before,
+    added to the row's place in its block. A block's rows are read by one task
+    in file order, so both passes and any retry see the same places. Apply it
+    directly on a scan, before any shuffle.
     """
-    mid = "__mid"
-    tagged = df.withColumn(mid, F.monotonically_increasing_id())
-    pid = F.shiftright(F.col(mid), 33)  # exact integer arithmetic, any partition count
-    counts = tagged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
-    pos = F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))
-    return (tagged.join(F.broadcast(offsets), pid == F.col("__pid"), "inner")
-            .withColumn(out_col, F.col("__off") + pos + F.lit(start))
-            .drop(mid, "__pid", "__off"))
+    file, block, mid = "__file", "__block", "__mid"
+    tagged = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.file_block_start").alias(block),
+                       F.monotonically_increasing_id().alias(mid))
+    # the first id of a block turns the ids of its rows into places
+    blocks = tagged.groupBy(file, block).agg(F.count(F.lit(1)).alias("__n"), F.min(mid).alias("__first"))
+    in_order = Window.orderBy(file, block).rowsBetween(Window.unboundedPreceding, 0)
+    offsets = blocks.select(F.col(file).alias("__f"), F.col(block).alias("__b"), "__first",
+                            (F.sum("__n").over(in_order) - F.col("__n")).alias("__off"))
+    return (tagged.join(offsets, (F.col(file) == F.col("__f")) & (F.col(block) == F.col("__b")))
+            .withColumn(out_col, F.col("__off") + F.col(mid) - F.col("__first") + F.lit(start))
+            .drop(file, block, mid, "__f", "__b", "__first", "__off"))
 
 
 def cap_rows(df: DataFrame, n: int, id_col: str = "event_id", start: int = 1) -> DataFrame:
@@ -163,14 +163,21 @@ def bronze_to_silver(bronze: DataFrame) -> DataFrame:
 
 
 def dedup_events(silver: DataFrame, key: str = "event_id",
-                 order: tuple[str, ...] = ("event_time",)) -> DataFrame:
-    """One row per key, earliest by ``order`` (then by the full row) wins.
+                 order: tuple[str, ...] | None = None) -> DataFrame:
+    """One row per key, earliest by ``order`` (then by the full row) wins; nulls come last.
 
-    ``min_by`` over a struct is a partial aggregate: duplicates collapse on the
+    ``order`` defaults to the stream's topic, partition and offset where the
+    rows have them (the earliest offset is the first delivery), else to the
+    event time. ``min_by`` over a struct is a partial aggregate: duplicates collapse on the
     map side, so a key with millions of copies ships one row per map task.
     """
+    stream = ("topic", "partition", "offset")
+    if order is None:
+        order = stream if set(stream) <= set(silver.columns) else ("event_time",)
     others = [c for c in silver.columns if c != key]
-    order_key = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others if c not in order])
+    ranked = [*order, *[c for c in others if c not in order]]
+    order_key = F.struct(*[x for i, c in enumerate(ranked) for x in (
+        F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
     best = F.min_by(F.struct(*[F.col(c) for c in others]), order_key)
     return silver.groupBy(key).agg(best.alias("__r")).select(key, "__r.*").select(*silver.columns)
 
@@ -211,9 +218,11 @@ def abs_importance(df: DataFrame, col: str = "importance") -> DataFrame:
 
 def probability_columns(pred: DataFrame, prob_col: str = "probability",
                         as_float: bool = True) -> DataFrame:
-    """Per-class probability columns from the probability vector (no Python UDF)."""
+    """Per-class probability columns from the probability vector or array (no Python UDF)."""
     from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array(F.col(prob_col))
+    arr = F.col(prob_col)
+    if not isinstance(pred.schema[prob_col].dataType, T.ArrayType):
+        arr = vector_to_array(arr)
     t = "float" if as_float else "double"
     return (pred.withColumn("probability_negative", arr[0].cast(t))
             .withColumn("probability_positive", arr[1].cast(t)))

@@ -1,10 +1,10 @@
 """Text classifiers on MLlib (section 2.10).
 
 Training data is bounded by the balanced sample, so fits are MLlib's own
-distributed aggregations over at most ``2 * n_per_class`` rows. The feature
-stages are fitted once per feature kind and shared by every classifier using
-them; predictions are persisted once and every report is derived from that
-one table.
+distributed aggregations over at most ``2 * n_per_class`` rows; scoring covers
+every row it is given. The feature stages are fitted once per feature kind and
+shared by every classifier using them; predictions are written once and every
+report is derived from that one table.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import evaluate as V
 from reviewlake.operators.features import feature_stages
-from reviewlake.operators.reports import concat_results
 
 # Classifier settings of the reference jobs.
 SEED = 42
@@ -33,6 +32,8 @@ HASHING_FEATURES = 20000
 VOCAB_SIZE = 5000
 MIN_DF = 5
 
+METRICS = ["accuracy", "f1_score", "weighted_precision", "weighted_recall", "area_under_roc"]
+
 MODEL_NAMES = {
     "lr": "Logistic Regression", "dt": "Decision Tree Classifier",
     "rf": "Random Forest Classifier", "gbt": "GBT Classifier", "nb": "Naive Bayes",
@@ -119,6 +120,19 @@ def score(model: PipelineModel, df: DataFrame, score_col: str = "probability") -
     return pred.withColumn("score", vector_to_array(F.col(score_col))[1])
 
 
+def count_vectorize(features: PipelineModel, df: DataFrame, doc_col: str = "event_id") -> DataFrame:
+    """(doc, term, count): what the fitted vectorizer counts in each document of ``df``.
+
+    The count vector's entries become rows inside the JVM (``unwrap_udt``);
+    the vocabulary is bounded by its size parameter and broadcast.
+    """
+    counts = features.transform(df).select(doc_col, F.unwrap_udt("tf_features").alias("v"))
+    cells = counts.select(doc_col, F.inline(F.arrays_zip(
+        F.col("v.indices").alias("index"), F.col("v.values").alias("count"))))
+    vocab = get_vocabulary(df.sparkSession, features)
+    return cells.join(F.broadcast(vocab), "index").select(doc_col, "term", F.col("count").cast("long").alias("count"))
+
+
 def get_vocabulary(spark: SparkSession, model: PipelineModel) -> DataFrame | None:
     """(index, term) of the first stage having a vocabulary, else None (model-sized)."""
     for st in model.stages:
@@ -170,36 +184,29 @@ def feature_importance(spark: SparkSession, model: PipelineModel, model_name: st
                        F.col("value").alias("importance"))
 
 
-def fit_partitions(df: DataFrame, rows_per_partition: int = 1000) -> DataFrame:
-    """Coalesce a bounded training frame to a size-derived partition count.
-
-    Iterative MLlib fits run many small jobs; on a sample of a few thousand
-    rows, per-task overhead dominates, so use at most one partition per core
-    and at least ``rows_per_partition`` rows per partition (no shuffle).
-    """
-    import math
-    n = df.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    k = max(1, min(df.rdd.getNumPartitions(), cores, math.ceil(n / rows_per_partition)))
-    return df.coalesce(k)
-
-
-def compare_models(train: DataFrame, test: DataFrame,
+def compare_models(train: DataFrame, test: DataFrame, out: str,
                    kinds: tuple[str, ...] = ("lr", "dt", "rf", "gbt", "nb"),
-                   score_col: str = "probability", buckets: int = 64, parallel: bool = True):
-    """Fit every model on the same split, score the same test rows, evaluate.
+                   score_col: str = "probability", parallel: bool = True):
+    """Fit every model on the same rows, score the same test rows, evaluate, keep all.
 
     Returns ``(comparison, models, predictions)``: the comparison has one row
-    per model (model_name + the five metrics). Feature stages are fitted once
-    per feature kind; each model's predictions are persisted and evaluated
-    from that one table.
+    per model (model_name + the five metrics). Below the shared folder ``out``
+    each model leaves ``<kind>/predictions`` (every test row), ``<kind>/confusion``,
+    ``<kind>/importance`` and ``<kind>/model``, and its record goes to ``runs``.
+    Feature stages are fitted once per feature kind; a model's reports all
+    read its one written prediction table.
 
     ``parallel=True`` submits the independent fits from driver threads, so
     their (small, overhead-bound) jobs share the executors instead of
     queueing one model after another; results do not depend on it.
     """
+    import datetime as dt
     from concurrent.futures import ThreadPoolExecutor
 
+    from reviewlake.sinks.models import model_params, save_model, track_run
+
+    spark = train.sparkSession
+
     def run(fn, items):
         items = list(items)
         if not parallel or len(items) < 2:
@@ -209,23 +216,39 @@ def compare_models(train: DataFrame, test: DataFrame,
 
     def featurise(hashing: bool):
         fm = fit_features(train, hashing=hashing)
-        tf = fit_partitions(fm.transform(train)).persist(StorageLevel.MEMORY_AND_DISK)
-        tf.count()
-        return hashing, (fm, tf)
+        # iterative fits read this many times; the training rows are bounded by the sample
+        return hashing, (fm, fm.transform(train).persist(StorageLevel.MEMORY_AND_DISK))
 
     feats = dict(run(featurise, sorted({k == "lr" for k in kinds})))
 
     def fit_and_score(kind: str):
+        start = dt.datetime.now(dt.timezone.utc)
         fm, tf = feats[kind == "lr"]
         model = fit_classifier(fm, train, kind, tf)
-        pred = score(model, test, score_col).persist(StorageLevel.MEMORY_AND_DISK)
-        auc = V.auc(pred, "label", "score", buckets).scalar()  # runs the ranges action
-        return kind, model, pred, auc
+        base = f"{out.rstrip('/')}/{kind}"
+        keep = [c for c in test.columns if c in ("event_id", "review_text", "label_text")]
+        scored = score(model, test, score_col)
+        raw = vector_to_array("rawPrediction")[1].alias("raw_score")
+        cols = [*keep, "label", "prediction", "prediction_text", "probability", raw, "score"]
+        (scored.select(*cols).withColumn("probability", vector_to_array("probability"))
+         .write.mode("overwrite").parquet(f"{base}/predictions"))
+        pred = spark.read.parquet(f"{base}/predictions")
+        m = V.classification_metrics(pred, "label", "prediction")
+        metrics = m.select("*", V.auc(pred, "label", "score").scalar().alias("area_under_roc")).first().asDict()
+        V.confusion_matrix(pred).write.mode("overwrite").parquet(f"{base}/confusion")
+        feature_importance(spark, model, MODEL_NAMES[kind]).write.mode("overwrite").parquet(f"{base}/importance")
+        save_model(model, f"{base}/model")
+        return kind, model, pred, metrics, start
 
     models, preds, rows = {}, {}, []
-    for kind, model, pred, auc in run(fit_and_score, kinds):
-        m = V.classification_metrics(pred, "label", "prediction")
-        rows.append(m.select(F.lit(MODEL_NAMES[kind]).alias("model_name"), "*",
-                             auc.alias("area_under_roc")))
+    for kind, model, pred, metrics, start in run(fit_and_score, kinds):
+        base = f"{out.rstrip('/')}/{kind}"
+        track_run(spark, f"{out.rstrip('/')}/runs", MODEL_NAMES[kind], model_params(model),
+                  {k: v for k, v in metrics.items() if v is not None},
+                  {a: f"{base}/{a}" for a in ("model", "predictions", "confusion", "importance")}, start)
+        rows.append((MODEL_NAMES[kind], *(metrics[c] for c in METRICS)))
         models[kind], preds[kind] = model, pred
-    return concat_results(rows), models, preds
+    for _, tf in feats.values():
+        tf.unpersist()
+    schema = "model_name STRING, " + ", ".join(f"{c} DOUBLE" for c in METRICS)
+    return spark.createDataFrame(rows, schema), models, preds

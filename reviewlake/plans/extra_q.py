@@ -15,8 +15,8 @@ from reviewlake.schemas import SCORE_LABELS
 from reviewlake.session import scratch_dir
 from reviewlake.sinks.stream import publish_events
 from reviewlake.sources.tables import activity, reviews, table
-from reviewlake.streaming.pipeline import (hourly_trend_stream, silver_stream, stream_source,
-                                           stream_to_bronze)
+from reviewlake.streaming.pipeline import (
+    hourly_trend_stream, read_hourly_trend, silver_stream, stream_source, stream_to_bronze, write_hourly_trend)
 
 _TRAIN = "md5(CAST(event_id AS VARCHAR)) < 'cccccccc'"
 
@@ -71,25 +71,15 @@ def q_class_weights(spark, sf):
 
 
 @register("hourly_trend_stream", """
-SELECT date_trunc('hour', ts) AS hour, count(*) AS count FROM events
-GROUP BY 1
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+SELECT date_trunc('hour', ts) AS hour, count(*) AS count FROM events GROUP BY 1""")
 def q_hourly_trend_stream(spark, sf):
-    """Windowed count over the events stream with a 1-hour watermark (append mode).
-
-    An hour is emitted once the watermark (max event time - 1 hour) passes its
-    end, so the last hours stay open in state: the oracle says which.
-    """
+    """Windowed count over the events stream with a 1-hour watermark, run to its end."""
     out = scratch_dir(spark, "trend")
     schema = table(spark, sf, "events").schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
            .parquet(sf).select(F.col("ts").cast("timestamp").alias("event_time")))
-    q = (hourly_trend_stream(src, "event_time", "1 hour").writeStream
-         .format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{out}/_ckpt").trigger(availableNow=True)
-         .start(f"{out}/trend"))
-    q.awaitTermination()
-    return spark.read.parquet(f"{out}/trend")
+    write_hourly_trend(hourly_trend_stream(src, "event_time", "1 hour"), f"{out}/trend", f"{out}/_ckpt")
+    return read_hourly_trend(spark, f"{out}/trend")
 
 
 @register("silver_stream", with_views(_BUILT_SQL, "reviews"))

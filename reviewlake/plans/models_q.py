@@ -1,7 +1,9 @@
-"""Model queries: one balanced sample, one hash split, five classifiers.
+"""Model queries: one hash split, one balanced training sample, five classifiers.
 
-Rows-only checks (no SQL form), except ``label_index``. Fitted models are
-cached per (session, data dir) so the queries of one run share them.
+All rows are split first and only the training part is sampled, so scoring,
+evaluation and export cover the whole test part. A fitted model has no SQL form:
+the oracles check which rows were scored, and that scores, probabilities and
+predictions agree. The comparison job runs once per (application, data folder).
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from reviewlake.operators import models as M
 from reviewlake.operators import reports as R
 from reviewlake.operators import sampling as S
 from reviewlake.operators.features import label_index
+from reviewlake.plans.features_q import _SPLIT, _STOP
 from reviewlake.plans.registry import register, with_views
 from reviewlake.session import scratch_dir
-from reviewlake.sinks.models import model_params, save_model, track_run
+from reviewlake.sinks.models import save_model
 from reviewlake.sinks.tables import export_predictions
 from reviewlake.sources.models import load_model
 from reviewlake.sources.tables import reviews
@@ -35,37 +38,52 @@ def _session_key(spark) -> str:
 
 
 def split(spark, sf):
-    """(train, test): balanced sample of the model frame, split 80/20 by md5(event_id)."""
-    key = (_session_key(spark), sf, "split")
-    if key not in _CACHE:
-        mf = C.model_frame(reviews(spark, sf))
-        s = S.hash_split(S.balanced_sample(mf, SAMPLE_PER_CLASS), "event_id", 0.8).cache()
-        _CACHE[key] = (S.train_part(s), S.test_part(s))
-    return _CACHE[key]
+    """(train, test): all rows split 80/20 by md5(event_id); the training part is
+    then sampled per class, the test part is whole."""
+    s = S.hash_split(C.model_frame(reviews(spark, sf)), "event_id", 0.8)
+    return S.balanced_sample(S.train_part(s), SAMPLE_PER_CLASS), S.test_part(s)
 
 
 def comparison(spark, sf):
+    """The comparison job's result, run once per application and data folder."""
     key = (_session_key(spark), sf, "compare")
     if key not in _CACHE:
         train, test = split(spark, sf)
-        _CACHE[key] = M.compare_models(train, test)
+        out = scratch_dir(spark, "compare")
+        _CACHE[key] = (*M.compare_models(train, test, out), out)
     return _CACHE[key]
 
 
+_FRAME = """(SELECT event_id, review_text, sentiment, CASE WHEN sentiment = 'positive' THEN 1.0 ELSE 0.0 END AS label
+FROM reviews WHERE review_text IS NOT NULL AND sentiment IN ('negative', 'positive'))"""
+_TEST = "md5(CAST(event_id AS VARCHAR)) >= 'cccccccc'"
+_TRAIN_ROWS = f"""(SELECT * FROM (SELECT *, row_number() OVER (
+  PARTITION BY sentiment ORDER BY md5(CAST(event_id AS VARCHAR)), event_id) AS rn
+  FROM {_FRAME} f WHERE NOT ({_TEST})) t WHERE rn <= {SAMPLE_PER_CLASS})"""
+
+# every test row, whatever the training sample: the model itself has no SQL form
+_SCORED_SQL = with_views(f"""
+SELECT event_id, label, TRUE AS score_in_range, TRUE AS prediction_agrees FROM {_FRAME} f WHERE {_TEST}""", "reviews")
+
+
 def _pred_cols(pred):
-    return pred.select("event_id", "label", "prediction", "score")
+    """Who was scored, and whether prediction and score are what they should be."""
+    agrees = (F.col("prediction") == 1.0) == (F.col("score") > 0.5)
+    return pred.select("event_id", "label", F.col("score").between(0.0, 1.0).alias("score_in_range"),
+                       agrees.alias("prediction_agrees"))
 
 
-def _model_query(kind: str):
+def _model_query(kind: str, train_fn):
     def q(spark, sf):
-        return _pred_cols(comparison(spark, sf)[2][kind])
+        train, test = split(spark, sf)
+        return _pred_cols(M.score(train_fn(train), test))
     q.__name__ = f"q_train_{kind}"
-    q.__doc__ = f"Test-split predictions of the {M.MODEL_NAMES[kind]} (rows-only)."
+    q.__doc__ = f"The {M.MODEL_NAMES[kind]} fitted on the training sample, scoring every test row."
     return q
 
 
-for _k in ("lr", "dt", "rf", "gbt", "nb"):
-    register(f"train_{_k}")(_model_query(_k))
+for _k, _fn in (("lr", M.train_lr), ("dt", M.train_dt), ("rf", M.train_rf), ("gbt", M.train_gbt), ("nb", M.train_nb)):
+    register(f"train_{_k}", _SCORED_SQL)(_model_query(_k, _fn))
 
 
 @register("label_index", with_views("""
@@ -82,16 +100,16 @@ def q_compare_models(spark, sf):
     return comparison(spark, sf)[0]
 
 
-@register("score")
+@register("score", _SCORED_SQL)
 def q_score(spark, sf):
     """Save the NB pipeline, load it back, score the test split with it."""
-    _, models, _ = comparison(spark, sf)
+    models = comparison(spark, sf)[1]
     path = save_model(models["nb"], f"{scratch_dir(spark, 'model')}/nb")
     _, test = split(spark, sf)
     return _pred_cols(M.score(load_model(path), test))
 
 
-@register("text_pipeline")
+@register("text_pipeline", _SCORED_SQL)
 def q_text_pipeline(spark, sf):
     """The whole six-stage Pipeline fitted in one call (NB), scored on the test split."""
     train, test = split(spark, sf)
@@ -101,34 +119,51 @@ def q_text_pipeline(spark, sf):
     return _pred_cols(M.score(model, test))
 
 
-@register("index_to_label")
+@register("index_to_label", with_views(f"""
+SELECT event_id, sentiment AS label_text, TRUE AS text_agrees FROM {_FRAME} f WHERE {_TEST}""", "reviews"))
 def q_index_to_label(spark, sf):
-    return comparison(spark, sf)[2]["lr"].select("event_id", "label_text", "prediction_text")
+    text = F.when(F.col("prediction") == 1.0, "positive").otherwise("negative")
+    return comparison(spark, sf)[2]["lr"].select(
+        "event_id", "label_text", (F.col("prediction_text") == text).alias("text_agrees"))
 
 
-@register("probability_columns")
+@register("probability_columns", with_views(f"""
+SELECT event_id, TRUE AS sums_to_one, TRUE AS is_score FROM {_FRAME} f WHERE {_TEST}""", "reviews"))
 def q_probability_columns(spark, sf):
-    return C.probability_columns(comparison(spark, sf)[2]["lr"]).select(
-        "event_id", "probability_negative", "probability_positive")
+    p = C.probability_columns(comparison(spark, sf)[2]["lr"])
+    total = F.col("probability_negative") + F.col("probability_positive")
+    return p.select("event_id", (F.abs(total - 1) < 1e-6).alias("sums_to_one"),    # both are floats
+                    (F.abs(F.col("probability_positive") - F.col("score")) < 1e-6).alias("is_score"))
 
 
-@register("count_vectorize")
+# MLlib's own tokens: lower case, split at single white space, empty tokens kept
+_VOCAB = f"""
+tok AS (SELECT event_id, unnest(list_filter(string_split_regex(lower(review_text), {_SPLIT}),
+                                            lambda x: NOT list_contains({_STOP}, x))) AS term FROM {_TRAIN_ROWS} t),
+tf AS (SELECT event_id, term, count(*) AS count FROM tok GROUP BY ALL),
+vocab AS (SELECT term FROM tf GROUP BY term HAVING count(*) >= {M.MIN_DF}
+          ORDER BY sum(count) DESC LIMIT {M.VOCAB_SIZE})"""
+
+
+@register("count_vectorize", with_views("SELECT 1", "reviews").rsplit("SELECT 1", 1)[0].rstrip() + "," + _VOCAB
+          + "\nSELECT event_id, term, count FROM tf JOIN vocab USING (term)")
 def q_count_vectorize(spark, sf):
-    """CountVectorizer vocabulary (index, term) of the shared feature fit."""
-    return M.get_vocabulary(spark, comparison(spark, sf)[1]["nb"])
+    """What the fitted CountVectorizer counts in every training document."""
+    return M.count_vectorize(comparison(spark, sf)[1]["nb"], split(spark, sf)[0])
 
 
-@register("get_vocabulary")
+@register("get_vocabulary", with_views("SELECT 1", "reviews").rsplit("SELECT 1", 1)[0].rstrip() + "," + _VOCAB
+          + "\nSELECT term FROM vocab")
 def q_get_vocabulary(spark, sf):
-    return M.get_vocabulary(spark, comparison(spark, sf)[1]["dt"])
+    return M.get_vocabulary(spark, comparison(spark, sf)[1]["dt"]).select("term")
 
 
 def importance(spark, sf):
     key = (_session_key(spark), sf, "importance")
     if key not in _CACHE:
-        _, models, _ = comparison(spark, sf)
+        models = comparison(spark, sf)[1]
         frames = [M.feature_importance(spark, models[k], M.MODEL_NAMES[k]) for k in models]
-        _CACHE[key] = R.concat_results(frames).cache()
+        _CACHE[key] = R.concat_results(frames)
     return _CACHE[key]
 
 
@@ -140,7 +175,7 @@ def q_feature_importance(spark, sf):
 @register("top_features")
 def q_top_features(spark, sf):
     """Logistic regression's 30 largest |coefficients|, sign kept."""
-    _, models, _ = comparison(spark, sf)
+    models = comparison(spark, sf)[1]
     return M.feature_importance(spark, models["lr"], M.MODEL_NAMES["lr"], 30)
 
 
@@ -165,51 +200,50 @@ def q_abs_importance(spark, sf):
     return C.abs_importance(importance(spark, sf))
 
 
-@register("export_predictions")
+@register("export_predictions", with_views(f"""
+SELECT event_id, review_text, sentiment AS label_text, TRUE AS sums_to_one FROM {_FRAME} f WHERE {_TEST}""", "reviews"))
 def q_export_predictions(spark, sf):
-    """Best-F1 model's test predictions written distributed, then read back."""
-    comp, _, preds = comparison(spark, sf)
+    """Best-F1 model's predictions of every test row written distributed, then read back."""
+    comp, _, preds, _ = comparison(spark, sf)
     best = R.rank_models(comp, "f1_score").first()["model_name"]
     kind = next(k for k, n in M.MODEL_NAMES.items() if n == best)
     path = f"{scratch_dir(spark, 'export')}/predictions"
     export_predictions(preds[kind], path)
-    return spark.read.parquet(path)
+    total = F.col("probability_negative") + F.col("probability_positive")
+    return spark.read.parquet(path).select(
+        "event_id", "review_text", "label_text", (F.abs(total - 1) < 1e-6).alias("sums_to_one"))
 
 
-@register("track_run")
+@register("track_run", """
+SELECT run_name, TRUE AS has_params, 5 AS n_metrics, 4 AS n_artifacts, TRUE AS in_order
+FROM (VALUES ('Logistic Regression'), ('Decision Tree Classifier'), ('Random Forest Classifier'),
+             ('GBT Classifier'), ('Naive Bayes')) t(run_name)""")
 def q_track_run(spark, sf):
-    """Run records of the comparison (params from the fitted stages) in a runs table."""
-    import datetime as dt
-    comp, models, _ = comparison(spark, sf)
-    runs = f"{scratch_dir(spark, 'runs')}/runs"
-    start = dt.datetime.now(dt.timezone.utc)
-    for row in comp.collect():  # one row per model: result-sized
-        kind = next(k for k, n in M.MODEL_NAMES.items() if n == row["model_name"])
-        metrics = {k: v for k, v in row.asDict().items() if k != "model_name" and v is not None}
-        track_run(spark, runs, row["model_name"], model_params(models[kind]), metrics,
-                  {"model": kind}, start)
-    return spark.read.parquet(runs).select("run_name", F.size("params").alias("n_params"),
-                                           F.size("metrics").alias("n_metrics"))
-
-
-@register("save_model")
+    """The comparison's run records: fitted parameters, metrics, artifact paths and times."""
+    runs = spark.read.parquet(f"{comparison(spark, sf)[3]}/runs")
+    has = F.array_contains(F.map_keys("params"), "CountVectorizerModel.vocabSize") | F.array_contains(
+        F.map_keys("params"), "HashingTF.numFeatures")
+    return runs.select("run_name", has.alias("has_params"), F.size("metrics").alias("n_metrics"),
+                       F.size("artifacts").alias("n_artifacts"), (F.col("start_time") < F.col("end_time")).alias("in_order"))
+
+
+@register("save_model", _SCORED_SQL)
 def q_save_model(spark, sf):
-    """The fitted NB pipeline saved; its stage metadata read back (one row per stage)."""
-    _, models, _ = comparison(spark, sf)
-    path = save_model(models["nb"], f"{scratch_dir(spark, 'model')}/nb")
-    return spark.read.json(f"{path}/stages/*/metadata").select("class", "uid")
+    """The comparison's saved Naive Bayes pipeline, read from its folder, scores every test row."""
+    path = f"{comparison(spark, sf)[3]}/nb/model"
+    return _pred_cols(M.score(load_model(path), split(spark, sf)[1]))
 
 
-@register("load_model")
+@register("load_model", _SCORED_SQL)
 def q_load_model(spark, sf):
     """A saved pipeline loaded back and applied to the test split."""
-    _, models, _ = comparison(spark, sf)
+    models = comparison(spark, sf)[1]
     path = save_model(models["dt"], f"{scratch_dir(spark, 'model')}/dt")
     _, test = split(spark, sf)
     return _pred_cols(M.score(load_model(path), test))
 
 
-@register("train_lr_weighted")
+@register("train_lr_weighted", _SCORED_SQL)
 def q_train_lr_weighted(spark, sf):
     """E2: logistic regression on the whole (unbalanced) training split, with
     per-class loss weights instead of undersampling; test-split predictions."""
@@ -227,12 +261,11 @@ def q_auc_raw_vs_probability(spark, sf):
     """Per model: AUC from the positive-class probability (ours) and from the
     raw prediction vector (the reference's evaluator input, not a probability
     for Naive Bayes or trees). Same persisted predictions, two score columns."""
-    from pyspark.ml.functions import vector_to_array
     from reviewlake.operators import evaluate as V
-    _, _, preds = comparison(spark, sf)
+    preds = comparison(spark, sf)[2]
     rows = []
     for kind, p in preds.items():
-        raw = p.withColumn("score", vector_to_array("rawPrediction")[1])
+        raw = p.withColumn("score", F.col("raw_score"))
         rows.append(spark.range(1).select(
             F.lit(M.MODEL_NAMES[kind]).alias("model_name"),
             V.auc(p, "label", "score").scalar().alias("area_under_roc"),
@@ -244,7 +277,7 @@ def q_auc_raw_vs_probability(spark, sf):
 def q_hashed_feature_terms(spark, sf):
     """LR's top hashed features named by the training-corpus terms in each slot."""
     from reviewlake.operators import features as X
-    _, models, _ = comparison(spark, sf)
+    models = comparison(spark, sf)[1]
     train, _ = split(spark, sf)
     tf = X.term_frequencies(X.terms(train))
     imp = M.feature_importance(spark, models["lr"], M.MODEL_NAMES["lr"], 30)

@@ -15,6 +15,7 @@ ROUND_COLS = {
     'length_quantiles': ['p25', 'p50', 'p75'],
     'length_stats': ['mean_length', 'std_length', 'median_length', 'p75_length'],
     'length_votes_trend': ['slope', 'intercept', 'x', 'y_fit'],
+    'load_model': ['label'],
     'melt_metrics': ['score'],
     'metric_winners': ['best_score'],
     'nb_theta': ['theta'],
@@ -22,13 +23,23 @@ ROUND_COLS = {
     'profile': ['value'],
     'rank_models': ['accuracy', 'f1_score', 'weighted_precision', 'weighted_recall', 'area_under_roc'],
     'roc_points': ['score', 'tpr', 'fpr'],
+    'save_model': ['label'],
+    'score': ['label'],
     'score_histogram': ['bin_start'],
     'sentiment_share': ['percent'],
     'text_length_summary': ['avg_review_text_length'],
+    'text_pipeline': ['label'],
     'tfidf': ['weight'],
     'threshold_points': ['target', 'score', 'fpr', 'tpr'],
     'top_apps': ['avg_review_votes'],
     'top_apps_by_votes': ['avg_review_votes'],
+    'top_apps_by_votes_of_20': ['avg_review_votes'],
     'top_apps_n': ['avg_review_votes'],
+    'train_dt': ['label'],
+    'train_gbt': ['label'],
+    'train_lr': ['label'],
+    'train_lr_weighted': ['label'],
+    'train_nb': ['label'],
+    'train_rf': ['label'],
     'youden_threshold': ['score', 'tpr', 'fpr', 'youden_j'],
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,7 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, honouring the cluster's setting.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (a local test run) do we create a private one.
+    is. Only a local session where it is unset gets a private one; elsewhere
+    executors couldn't see such a folder, so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="reviewlake-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
@@ -58,11 +60,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory for job outputs under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:  # shared file system: let Spark create it on write
-        import uuid
-        return f"{base.rstrip('/')}/reviewlake-{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"reviewlake-{name}-", dir=base)
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/reviewlake-{name}-{uuid.uuid4().hex}"

@@ -36,10 +36,13 @@ def _versions(spark: SparkSession, root: str, committed: bool = True) -> list[in
 def latest_snapshot(spark: SparkSession, root: str) -> str:
     """Newest committed version directory (``v=<n>`` holding ``_SUCCESS``) under ``root``.
 
-    A plain directory without versions is returned as is. Readers never glob
+    A plain directory without versions is returned as is; one whose versions
+    are all unfinished has nothing to read and raises. Readers never glob
     data files, so files of superseded versions are never read.
     """
     versions = _versions(spark, root)
+    if not versions and _versions(spark, root, committed=False):
+        raise FileNotFoundError(f"{root} has no committed version yet")
     return f"{root.rstrip('/')}/v={max(versions)}" if versions else root
 
 
@@ -78,8 +81,11 @@ def read_silver(spark: SparkSession, root: str, fmt: str = "parquet",
 
 
 def write_report(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """Small result to CSV with a header; ``single_file`` coalesces to one part."""
-    out = df.coalesce(1) if single_file else df
+    """Small result to CSV with a header; ``single_file`` gathers the finished rows in one part.
+
+    The rows are shuffled to that part, so the work before it keeps its tasks.
+    """
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -55,6 +55,18 @@ def stream_to_bronze(records: DataFrame, bronze_path: str, checkpoint: str,
     return q
 
 
+def _refuse_mixed(spark, checkpoint: str, *targets: str) -> None:
+    """A new checkpoint starts at batch 0: it must not write over another one's batches."""
+    from reviewlake.sinks.tables import _fs
+
+    def exists(path: str) -> bool:
+        fs, p, _ = _fs(spark, path)
+        return fs.exists(p)
+    there = [t for t in targets if exists(t)]
+    if there and not exists(checkpoint):
+        raise FileExistsError(f"{there[0]} holds batches of another checkpoint than {checkpoint}")
+
+
 def silver_stream(bronze: DataFrame, silver_path: str, rejects_path: str, checkpoint: str,
                   fmt: str = "parquet", wait: bool = True) -> StreamingQuery:
     """Incremental bronze -> silver: each micro-batch is parsed once and split.
@@ -63,10 +75,13 @@ def silver_stream(bronze: DataFrame, silver_path: str, rejects_path: str, checkp
     ``silver_path/batch=<id>`` and the rest (with reasons) to
     ``rejects_path/batch=<id>``, each with overwrite: a batch replayed after a
     failure rewrites its own folder instead of appending twice. Readers load
-    the root (``batch`` becomes a partition column).
+    the root (``batch`` becomes a partition column). Batches are numbered per
+    checkpoint, so a new checkpoint over folders that exist is refused.
     """
     from reviewlake.schemas import SILVER_COLUMNS
 
+    _refuse_mixed(bronze.sparkSession, checkpoint, silver_path, rejects_path)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = tag_events(batch).persist()
         try:
@@ -96,6 +111,29 @@ def hourly_trend_stream(silver: DataFrame, ts_col: str = "event_time",
             .select(F.col("w.start").alias("hour"), "count"))
 
 
+def write_hourly_trend(trend: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Run ``hourly_trend_stream`` to the end of its input, open hours included.
+
+    Each batch writes the hours it changed to ``path/batch=<id>`` (update
+    mode); an hour's state goes once the watermark has passed it.
+    """
+    _refuse_mixed(trend.sparkSession, checkpoint, path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    q = (trend.writeStream.foreachBatch(write).outputMode("update")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def read_hourly_trend(spark, path: str) -> DataFrame:
+    """(hour, count): each hour's count as of the last batch that changed it."""
+    return (spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+            .groupBy("hour").agg(F.max_by("count", "batch").alias("count")))
+
+
 def dedup_stream(silver: DataFrame, key: str = "event_id", ts_col: str = "event_time",
                  lateness: str = "1 hour") -> DataFrame:
     """Drop repeated event ids arriving within ``lateness`` of each other."""

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+import pytest
+
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, StopWordsRemover
@@ -13,7 +15,7 @@ from reviewlake.operators import evaluate as V
 from reviewlake.operators import features as X
 from reviewlake.operators import profile as P
 from reviewlake.operators import sampling as S
-from reviewlake.plans.features_q import corpus
+from reviewlake.plans.features_q import labelled
 from reviewlake.schemas import STOP_WORDS_EN
 from reviewlake.sources.tables import reviews, scored, table
 from tests.conftest import SF_MID, SF_SMALL
@@ -65,11 +67,19 @@ def test_split_disjoint_and_exhaustive(spark):
     assert S.exclude_training(r, train).count() == test.count()
 
 
-def test_seq_id_consecutive_over_many_partitions(spark):
-    ev = table(spark, SF_MID, "events").select("event_id").repartition(7)
-    ev = ev.sortWithinPartitions("event_id")  # any deterministic layout
-    ids = C.seq_id(ev, "seq").select("seq").collect()
-    assert sorted(r.seq for r in ids) == list(range(1, ev.count() + 1))
+@pytest.mark.parametrize("cores", [1, 4, 7])
+def test_seq_id_in_file_order(spark, tmpdir_fresh, cores):
+    """A small file before a large one: splits are packed by size, ids go by file."""
+    spark.range(1000).coalesce(1).write.parquet(f"{tmpdir_fresh}/t/a")
+    spark.range(1000, 60000).coalesce(1).write.parquet(f"{tmpdir_fresh}/t/b")
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(400_000 // cores))
+    try:
+        ids = C.seq_id(spark.read.parquet(f"{tmpdir_fresh}/t/a", f"{tmpdir_fresh}/t/b"), "seq")
+        assert ids.where("seq <> id + 1").count() == 0 and ids.count() == 60000
+        assert {r.id for r in C.cap_rows(ids, 1500, "seq").collect()} == set(range(1500))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
 
 
 def test_profile_invariants(spark):
@@ -86,7 +96,7 @@ def test_profile_invariants(spark):
 
 def test_auc_equals_mllib_and_bruteforce(spark):
     s = scored(spark, SF_MID)
-    ours = V.auc(s, buckets=8).first().area_under_roc
+    ours = V.auc(s).first().area_under_roc
     mllib = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score").evaluate(
         s.withColumn("label", F.col("label").cast("double")))
     assert abs(ours - mllib) < 1e-12
@@ -97,22 +107,34 @@ def test_auc_equals_mllib_and_bruteforce(spark):
     assert abs(ours - brute) < 1e-12
 
 
-def test_roc_bucketing_does_not_change_result(spark):
-    s = scored(spark, SF_MID)
-    a = V.roc_points(s, buckets=1).orderBy("score").collect()
-    b = V.roc_points(s, buckets=37).orderBy("score").collect()
-    c = V.roc_points(s, buckets=2, max_bucket_rows=10).orderBy("score").collect()  # ~257 ranges
-    assert a == b == c
-    d = V.roc_points(s, buckets=1, bins=50).orderBy("score").collect()
-    e = V.roc_points(s, buckets=16, bins=50).orderBy("score").collect()
-    assert d == e and len(d) <= 51
+def test_roc_equals_one_global_running_sum(spark):
+    """Scores of any size, also negative, infinite and equal ones."""
+    from pyspark.sql import Window
+    scores = [0.0, -0.0, 1.0, -3.5, 1e300, float("inf"), float("-inf"), 0.25, 0.25, 1e-12, 2e-12, 7.0]
+    s = spark.createDataFrame([(i % 2, x) for i, x in enumerate(scores)], "label int, score double").unionByName(
+        scored(spark, SF_MID).select("label", "score"))
+    got = V.roc_table(s).select("score", "tp", "fp").collect()
+    w = Window.orderBy(F.desc("score"))
+    want = (s.groupBy((F.col("score") + 0.0).alias("score"))
+            .agg(F.sum("label").alias("p"), F.count("label").alias("n"))
+            .select("score", F.sum("p").over(w).alias("tp"), (F.sum("n").over(w) - F.sum("p").over(w)).alias("fp")).collect())
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert len(V.roc_points(s, bins=50).collect()) <= 53
+
+
+def test_auc_of_very_many_rows(spark, monkeypatch):
+    """More than 4e9 rows of each class: the product of the counts is no long."""
+    table = spark.range(2).select(F.col("id").cast("double").alias("score"), *[F.lit(5 * 10 ** 9).alias(c) for c in ("pos", "neg")],
+                                  (F.lit(5 * 10 ** 9) * (2 - F.col("id"))).alias("tp"))
+    monkeypatch.setattr(V, "roc_table", lambda *a, **b: table)
+    assert V.auc(None).first()[0] == 0.5
 
 
 def test_evaluate_equals_mllib_multiclass(spark):
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     s = scored(spark, SF_MID).withColumn("label", F.col("label").cast("double")) \
         .withColumn("prediction", F.when(F.col("score") >= 0.5, 1.0).otherwise(0.0))
-    ours = {r.metric: r.value for r in V.evaluate(s, buckets=4).collect()}
+    ours = {r.metric: r.value for r in V.evaluate(s).collect()}
     for name, metric in [("accuracy", "accuracy"), ("f1_score", "f1"),
                          ("weighted_precision", "weightedPrecision"),
                          ("weighted_recall", "weightedRecall")]:
@@ -121,7 +143,7 @@ def test_evaluate_equals_mllib_multiclass(spark):
 
 
 def _small_corpus(spark):
-    c = corpus(spark, SF_SMALL)
+    c = labelled(spark, SF_SMALL)
     return c, X.term_frequencies(X.terms(c, keep=("label",)), keep=("label",))
 
 
@@ -151,9 +173,9 @@ def test_relational_nb_theta_equals_mllib(spark):
 
 
 def test_relational_hashing_tf_equals_mllib(spark):
-    c, tf = _small_corpus(spark)
-    rel = {(r.event_id, r["index"]): r.tf for r in X.hashing_tf(tf, num_features=1000).collect()}
+    c, _ = _small_corpus(spark)
     toks = X.remove_stopwords(X.tokenize(c))
+    rel = {(r.event_id, r["index"]): r.tf for r in X.hashing_tf(toks, num_features=1000).collect()}
     h = HashingTF(inputCol="filtered_words", outputCol="v", numFeatures=1000).transform(toks)
     ml = {}
     for r in h.select("event_id", "v").collect():

@@ -26,8 +26,9 @@ def test_readme_pipeline(spark, tmpdir_fresh):
     silver = scan_table(spark, f"{root}/silver").where("status = 'valid'")
     write_report(P.profile(silver), f"{root}/reports/profile")
     write_report(P.top_apps(silver, 20), f"{root}/reports/top_apps")
-    split = S.hash_split(S.balanced_sample(C.model_frame(silver), 25000)).cache()
-    comparison, _, _ = M.compare_models(S.train_part(split), S.test_part(split), kinds=("nb", "lr"))
+    split = S.hash_split(C.model_frame(silver))
+    train = S.balanced_sample(S.train_part(split), 25000)
+    comparison, _, _ = M.compare_models(train, S.test_part(split), f"{root}/models", kinds=("nb", "lr"))
     write_report(comparison, f"{root}/reports/model_comparison")
 
     n = reviews(spark, SF_SMALL).count()

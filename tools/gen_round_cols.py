@@ -18,12 +18,12 @@ from reviewlake.session import get_session  # noqa: E402
 
 
 def main() -> None:
-    import __spark_entry__ as E
+    from reviewlake import plans
     spark = get_session("local[4]", conf={"spark.sql.shuffle.partitions": "4",
                                           "spark.ui.showConsoleProgress": "false"})
     out = {}
-    for name in sorted(E.oracle_sql()):
-        schema = E.queries()[name](spark, "/root/testdata/sf0.001").schema
+    for name in sorted(plans.oracle_sql()):
+        schema = plans.QUERIES[name](spark, "/root/testdata/sf0.001").schema
         cols = [f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
         if cols:
             out[name] = cols
