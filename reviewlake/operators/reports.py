@@ -11,6 +11,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlake.operators.clean import map_values
+from reviewlake.schemas import METRIC_LABELS, MODEL_SHORT_NAMES
+
 # Comparison metric columns, in display order.
 METRICS = ["accuracy", "f1_score", "weighted_precision", "weighted_recall", "area_under_roc"]
 
@@ -46,6 +49,12 @@ def melt_metrics(comparison: DataFrame, metrics: list[str] = METRICS,
     return comparison.select(name_col, F.inline(cells))
 
 
+def display_names(melted: DataFrame, name_col: str = "model_name") -> DataFrame:
+    """``melt_metrics`` plus metric_label and model_short; a model without a short name keeps its own."""
+    return melted.withColumns({"metric_label": map_values("metric", METRIC_LABELS, "metric"),
+                               "model_short": map_values(name_col, MODEL_SHORT_NAMES, name_col)})
+
+
 def metric_winners(comparison: DataFrame, metrics: list[str] = METRICS,
                    name_col: str = "model_name") -> DataFrame:
     """(metric, best_model, best_score) per metric column; ties -> first name."""

@@ -224,6 +224,21 @@ def q_melt_metrics(spark, sf):
     return R.melt_metrics(comparison(spark, sf))
 
 
+@register("display_names", _w(f"""
+SELECT model_name, metric, score,
+       CASE metric WHEN 'accuracy' THEN 0 WHEN 'f1_score' THEN 1 WHEN 'weighted_precision' THEN 2
+                   WHEN 'weighted_recall' THEN 3 ELSE 4 END AS metric_order,
+       CASE metric WHEN 'accuracy' THEN 'Accuracy' WHEN 'f1_score' THEN 'F1-Score'
+                   WHEN 'weighted_precision' THEN 'Precision' WHEN 'weighted_recall' THEN 'Recall'
+                   ELSE 'AUC-ROC' END AS metric_label,
+       model_name AS model_short
+FROM ({_COMPARISON_SQL}) c
+UNPIVOT (score FOR metric IN (accuracy, f1_score, weighted_precision, weighted_recall,
+                              area_under_roc))""", _ROC))
+def q_display_names(spark, sf):
+    return R.display_names(R.melt_metrics(comparison(spark, sf)))
+
+
 @register("metric_winners", _w(f"""
 SELECT metric, best_model, best_score, metric_order FROM (
   SELECT metric, model_name AS best_model, score AS best_score,

@@ -7,6 +7,7 @@ ROUND_COLS = {
     'compare_thresholds': ['accuracy', 'f1_score', 'weighted_precision', 'weighted_recall', 'area_under_roc'],
     'confusion_metrics': ['precision', 'recall', 'specificity', 'accuracy', 'f1', 'false_positive_rate', 'false_negative_rate'],
     'confusion_percent': ['tn_pct', 'fp_pct', 'fn_pct', 'tp_pct'],
+    'display_names': ['score'],
     'evaluate': ['value'],
     'idf': ['idf'],
     'label_index': ['label'],

@@ -91,4 +91,6 @@ MODEL_SHORT_NAMES = {
     "Logistic Regression Existing": "LR", "Decision Tree Classifier": "DT",
     "Random Forest Classifier": "RF", "Gradient Boosted Trees Classifier": "GBT",
     "Naive Bayes": "NB",
+    # this library's own names of the first and fourth
+    "Logistic Regression": "LR", "GBT Classifier": "GBT",
 }
