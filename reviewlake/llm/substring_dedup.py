@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.llm.common import add_row_key, fresh, text_or_empty
+from reviewlake.llm.common import add_row_key, fresh, text_or_empty, totals
 from reviewlake.llm.words import BASE, BASE2, U64, Words, mix, sliding, string_slices, windows
 
 WINDOW = 35
@@ -208,8 +208,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     anchors = base.select(key, crc, text_or_empty(text_col).alias("t")).mapInArrow(
         _find_anchors(window, anchor), "key long, crc long, place int, anchor long, context long")
-    repeated = (anchors.groupBy("anchor")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
+    repeated = (totals(anchors, "anchor", n=F.count(F.lit(1)), lo=F.min("context"), hi=F.max("context"))
                 .where("n > 1").select("anchor", (F.col("lo") == F.col("hi")).cast("int").alias("compact")))
     # a place and its state in one number: 2 * place + (1 if the path compacts)
     marked = (anchors.join(repeated, "anchor")
@@ -221,7 +220,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # the same join as below, unfiltered and unpruned, so that its exchange of the texts is reused
     at_branches = texts.mapInArrow(
         _branch_windows(window, anchor, key, crc, text_col, marks), "key long, crc long, place int, h1 long, h2 long")
-    twice = at_branches.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = totals(at_branches, "h1", "h2", n=F.count(F.lit(1))).where("n > 1").drop("n")
     places = (at_branches.join(twice, ["h1", "h2"]).groupBy("key", "crc")
               .agg(F.collect_set("place").alias(found)).withColumnsRenamed({"key": key, "crc": crc}))
 
