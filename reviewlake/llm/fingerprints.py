@@ -45,8 +45,7 @@ def _runs(s: Column) -> Column:
     starts = F.filter(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
                       lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
     ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(n))
-    return F.zip_with(starts, F.slice(ends, 1, F.greatest(F.size(starts), F.lit(1))),
-                      lambda i, j: F.when(i.isNotNull(), F.xxhash64(F.get(s, i), j - i)))
+    return F.zip_with(starts, F.slice(ends, F.lit(1), F.size(starts)), lambda i, j: F.xxhash64(F.get(s, i), j - i))
 
 
 def _spec() -> Column:
@@ -164,52 +163,55 @@ def _successors(keys: DataFrame, name: str, bits: int = 16, level: int = 0) -> D
 
 
 def with_next_text(docs: DataFrame, id_col: str, text_col: str, next_col: str, *, bucket_bits: int = 8) -> DataFrame:
-    """``docs`` plus the text of the next larger id (after the largest, the smallest's).
+    """(id, text, text of the next larger id); the smallest id follows the largest.
 
     Rows of one id are one place, whose text is the smallest of theirs; a null
     id is smaller than any other. Each text is shuffled once, to its bucket of
     2**bucket_bits consecutive ids; beyond that only each bucket's first text.
+    Only place, bucket and text cross that exchange, so both readers share it.
     """
-    if not isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+    kind = docs.schema[id_col].dataType
+    if not isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         raise TypeError(f"{id_col} must be an integer column")
-    place, bucket, rep, low, first = fresh(docs, "place", "bucket", "rep", "low", "first")
-    # F.lit can't hold the smallest long; ids equal to it share the null place
+    # F.lit can't hold the smallest long; an id equal to this one shares the null place
     null_place = F.lit(-(2 ** 63) + 1)
     ids = F.coalesce(F.col(f"`{id_col}`").cast("long"), null_place)
-    rows = docs.withColumn(place, ids).withColumn(bucket, F.shiftright(place, bucket_bits))
-    one = W.partitionBy(bucket, place).orderBy(text_col)
-    larger = W.partitionBy(bucket).orderBy(F.col(place).desc()).rangeBetween(W.unboundedPreceding, -1)
-    rows = (rows.withColumn(rep, F.when(F.row_number().over(one) == 1, text_or_empty(text_col)))
-            .withColumn(low, F.min(place).over(W.partitionBy(bucket)))
-            .withColumn(next_col, F.last(rep, ignorenulls=True).over(larger)))
+    rows = docs.select(ids.alias("place"), F.shiftright(ids, bucket_bits).alias("bucket"), text_or_empty(text_col).alias("text"))
+    rows = rows.repartition("bucket")      # all windows below, by place too, keep to it
+    one = W.partitionBy("bucket", "place").orderBy("text")
+    larger = W.partitionBy("bucket").orderBy(F.col("place").desc()).rangeBetween(W.unboundedPreceding, -1)
+    rows = (rows.withColumn("rep", F.when(F.row_number().over(one) == 1, F.col("text")))
+            .withColumn("low", F.min("place").over(W.partitionBy("bucket")))
+            .withColumn("inside", F.last("rep", ignorenulls=True).over(larger)))
     buckets = docs.select(F.shiftright(ids, bucket_bits).alias("b")).distinct()
-    heads = rows.where(F.col(rep).isNotNull() & (F.col(place) == F.col(low))).select(
-        F.col(bucket).alias("next"), F.col(rep).alias(first))
-    after = heads.join(_successors(buckets, "b"), "next").select(F.col("b").alias(bucket), first)
-    rows = rows.join(after, bucket, "left")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(next_col, first).alias(next_col))
+    heads = rows.where(F.col("rep").isNotNull() & (F.col("place") == F.col("low"))).select(
+        F.col("bucket").alias("next"), F.col("rep").alias("first"))
+    after = heads.join(_successors(buckets, "b"), "next").select(F.col("b").alias("bucket"), "first")
+    return rows.join(after, "bucket", "left").select(
+        F.when(F.col("place") != null_place, F.col("place")).cast(kind).alias(id_col),
+        F.col("text").alias(text_col), F.coalesce("inside", "first").alias(next_col))
 
 
 def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of an edited version of it, and their likeness.
 
     The edited text has its last floor(n/2) code points replaced by the first
-    as many (or all) of the next document. Adds n_chars, edited_text,
-    fingerprint, edited_fingerprint, near_edited, near_next; columns with one
-    of these names are replaced. A null text is empty, and an empty text's
-    sketch is empty; see ``with_next_text`` for repeated and null ids.
+    as many (or all) of the next document. Returns id, text (null is empty),
+    n_chars, edited_text, fingerprint, edited_fingerprint, near_edited and
+    near_next of every row; other columns of ``docs`` are not carried, so none
+    can clash. An empty text's sketch is empty. See ``with_next_text`` for
+    repeated and null ids.
     """
-    new = ["n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new])
-    nxt, a, b, c = fresh(base, "next", "a", "b", "c")
-    rows = with_next_text(base, id_col, text_col, nxt)
-    text = text_or_empty(text_col)
+    nxt, a, b, c = fresh(docs, "next", "a", "b", "c")
+    rows = with_next_text(docs, id_col, text_col, nxt)
+    text = F.col(f"`{text_col}`")
     n = F.length(text)
     half = F.floor(n / 2).cast("int")
-    rows = rows.withColumns({
-        "n_chars": n.cast("long"), "edited_text": F.concat(F.substring(text, F.lit(1), n - half), F.substring(nxt, F.lit(1), half))})
+    rows = rows.select(
+        "*", n.cast("long").alias("n_chars"),
+        F.concat(F.substring(text, F.lit(1), n - half), F.substring(nxt, F.lit(1), half)).alias("edited_text"))
     rows = rows.withColumns({a: elements(text), b: elements(F.col("edited_text")), c: elements(F.col(nxt))})
     return rows.select(
-        *[F.col(f"`{x}`") for x in base.columns], "n_chars", "edited_text",
+        f"`{id_col}`", f"`{text_col}`", "n_chars", "edited_text",
         as_string(sketch(F.col(a))).alias("fingerprint"), as_string(sketch(F.col(b))).alias("edited_fingerprint"),
         likeness(F.col(a), F.col(b)).alias("near_edited"), likeness(F.col(a), F.col(c)).alias("near_next"))
