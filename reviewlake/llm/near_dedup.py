@@ -180,7 +180,7 @@ def _verify(shingle: int) -> Callable:
                     rows += [g[x:y] for x, y in zip(off[:-1], off[1:])]
                 sides.append(rows)
             keep = pa.array([similar(x, y) for x, y in zip(*sides)], pa.bool_())
-            yield b.select(["ak", "ac", "bk", "bc"]).filter(keep)
+            yield b.select(["a", "b"]).filter(keep)
     return run
 
 
@@ -260,16 +260,17 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     after = large.select("node", ((F.col("nth") + sketches - 1) % sketches).alias("nth"), F.col("bucket").alias("bucket2"))
     finer = large.join(after, ["node", "nth"]).select(F.xxhash64("bucket", "bucket2").alias("bucket"), "node", "nth")
     second, _ = _pairs(finer, small)
-    pairs = first.unionByName(second).distinct()
+    pairs = _written(first.unionByName(second).distinct(), "pairs")
 
-    # one text per node, dealt by its key once for both sides of the pairs
+    # One text per node, dealt by its key. A hub is in very many pairs: its text, among those of
+    # the pairs' first nodes, is dealt anew by the node, so that the engine can split its pairs.
     one = texts.groupBy("key", "crc").agg(F.first("text").alias("text"))
-    text_a, text_b = (one.withColumnsRenamed({"key": f"{x}k", "crc": f"{x}c", "text": f"text_{x}"}) for x in "ab")
-    named = pairs.select("a.key", "a.crc", "b.key", "b.crc").toDF("ak", "ac", "bk", "bc")
-    checked = named.join(text_b, ["bk", "bc"]).join(text_a, ["ak", "ac"]).mapInArrow(
-        _verify(shingle), named.schema)
-    links = _written(checked.select(F.struct(F.col("ak").alias("key"), F.col("ac").alias("crc")).alias("a"),
-                                    F.struct(F.col("bk").alias("key"), F.col("bc").alias("crc")).alias("b")), "links")
+    text_b = one.toDF("bk", "bc", "text_b")
+    text_a = one.join(pairs.select("a.key", "a.crc").distinct(), ["key", "crc"], "left_semi").select(
+        F.struct("key", "crc").alias("a"), F.col("text").alias("text_a"))
+    named = pairs.select("a", "b", F.col("b.key").alias("bk"), F.col("b.crc").alias("bc"))
+    checked = named.join(text_b, ["bk", "bc"]).drop("bk", "bc").join(text_a, "a").mapInArrow(_verify(shingle), pairs.schema)
+    links = _written(checked, "links")
     labels = components(links)
 
     classes = same.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
