@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from reviewlake.llm.common import documents, prepare, shared_path
+from reviewlake.llm.common import documents, prepare, set_aside, shared_path
 from reviewlake.llm.queries import ORACLE as _ORACLE
 from reviewlake.llm.queries import QUERIES as _QUERIES
 
@@ -30,9 +30,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     prepare(spark)
     # the prediction must not replace columns of the table that have its names
-    marked = language_id.identify(docs.select(F.struct(*docs.columns).alias("doc"), F.col("text")), language_id.train(docs))
-    kept = marked.where(F.col("lang_pred") != language_id.UNDETERMINED)
-    return kept.select(*[(F.col("lang_pred") if c == "lang" else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    rows, back = set_aside(docs, "lang_pred", "score")
+    kept = language_id.identify(rows, language_id.train(docs)).where(F.col("lang_pred") != language_id.UNDETERMINED)
+    return kept.withColumn("lang", F.col("lang_pred")).select(*rows.columns).withColumnsRenamed(back)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of the documents, source shares by the square root of their counts."""
     prepare(spark)
-    plain = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text", "source")
-    return mixing.mix(plain).select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+    rows, back = set_aside(docs, "copy", "n_copies")
+    return mixing.mix(rows).select(*rows.columns).withColumnsRenamed(back)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,13 @@ def add_row_key(df: DataFrame, id_col: str, text_col: str, key: str, crc: str) -
     return df.withColumns({key: value, crc: F.crc32(text)})
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns of these names renamed, and how to rename them back."""
+    clash = [c for c in df.columns if c.lower() in names]
+    new = dict(zip(clash, fresh(df, *clash)))
+    return df.withColumnsRenamed(new), {v: k for k, v in new.items()}
+
+
 def totals(df: DataFrame, *keys: str, **aggs: Column) -> DataFrame:
     """Aggregates by ``keys`` for a join back to the rows of ``df``.
 

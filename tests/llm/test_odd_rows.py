@@ -265,3 +265,19 @@ def test_mixing_means(spark):
                                   F.when(F.col("id") < 1990, "big").otherwise("rare").alias("source"))
     n = {r.source: r["count"] for r in mixing.mix(df, weights={"big": 1, "rare": 3}, total=40_000).groupBy("source").count().collect()}
     assert abs(n["big"] - 10_000) < 500 and abs(n["rare"] - 30_000) < 900     # a rate of 3,000 in six draws
+
+
+def test_pipeline_stages(odd, empty, spark):
+    """Odd rows and clashing columns pass through every stage, and so does no row at all."""
+    import corpus_pipeline
+    for start, some in ((odd.withColumn("n_chars", F.length("text")), True), (empty.withColumn("n_chars", F.lit(0)), False)):
+        docs = start
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, docs, "")
+            assert after.columns == start.columns
+            docs = spark.createDataFrame(after.collect(), after.schema)
+            if name == "language_id" and some:
+                assert {r.doc_id for r in docs.collect()} == {5, 6, 7, 8, 9, 10, 11, None}
+            if name == "near_dedup" and some:
+                assert {r.doc_id for r in docs.collect()} >= {5, 8, 9, 11} and docs.where("doc_id in (6, 7)").count() == 0
+        assert (corpus_pipeline.packed(spark, docs, "").count() > 0) == some
