@@ -15,6 +15,12 @@ are compared within (a constant per node); a larger one compares every node
 with its hub, the node that meets most others in the large buckets, and is
 dealt again by two neighbouring sketches at once, whose buckets are treated
 alike. Classes are the connected components of the links.
+
+Then every large bucket that still holds several classes compares all its
+pairs across classes: first by parities of hashed shingles, which differ in at
+most as many places as the shingle sets do, so that no pair >= 0.8 is ruled
+out; what they leave is verified like any other pair. A round takes each
+node's nearest, joins classes and widens, until a round has left nothing out.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ from reviewlake.llm.common import add_row_key, fresh, shared_path, text_or_empty
 from reviewlake.llm.words import BASE, BASE2, U64, Words, _GAMMA, mix, numbers, string_slices, windows
 
 SHINGLE, SKETCHES, PER_SKETCH, SMALL = 5, 16, 3, 16
+# Nodes of a block of a large bucket; the nearest that a first round takes of a block; bits of parities.
+BLOCK, NEAREST, LEAST_BITS, MOST_BITS = 512, 4, 64, 1 << 16
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -94,6 +102,20 @@ def order_sketches(e: np.ndarray, offsets: np.ndarray, sketches: int, per_sketch
     return out
 
 
+def parities(e: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Per document: for each cell that its elements hash to, whether an odd number does.
+
+    The cells are a power of two, at least twice the elements up to MOST_BITS.
+    """
+    size = np.diff(offsets)
+    least = np.clip(2 * size, LEAST_BITS, MOST_BITS)
+    bits = np.int64(1) << np.ceil(np.log2(least)).astype(np.int64)
+    end = np.cumsum(bits)
+    cell = (e & np.repeat(bits - 1, size).astype(U64)).astype(np.int64) + np.repeat(end - bits, size)
+    odd = np.packbits((np.bincount(cell, minlength=int(end[-1])) & 1).astype(bool), bitorder="little")
+    return [odd[(y - b) // 8:y // 8].tobytes() for b, y in zip(bits, end)]
+
+
 def _sketch(shingle: int, sketches: int, per_sketch: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -112,16 +134,19 @@ def _sketch(shingle: int, sketches: int, per_sketch: int) -> Callable:
                         same.append(mix(total[words.first[1:]] - total[words.first[:-1]] + np.diff(words.first).astype(U64)))
                 keys = np.zeros((hi - lo, sketches), U64)
                 has = np.diff(off) > 0
+                labelled = g
                 if len(g):
                     doc = np.repeat(np.arange(hi - lo), np.diff(off))
-                    keys[has] = order_sketches(_by_occurrence(g, doc), off, sketches, per_sketch)
+                    labelled = _by_occurrence(g, doc)
+                    keys[has] = order_sketches(labelled, off, sketches, per_sketch)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum(has * sketches))), pa.int32()),
                     pa.array(keys[has].reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
-                     *[pa.array(s.view(np.int64)) for s in same], lists],
-                    names=["key", "crc", "d1", "d2", "sketches"])
+                     *[pa.array(s.view(np.int64)) for s in same], lists,
+                     pa.array(np.diff(off), pa.int64()), pa.array(parities(labelled, off), pa.binary())],
+                    names=["key", "crc", "d1", "d2", "sketches", "size", "odd"])
     return run
 
 
@@ -209,6 +234,92 @@ def _pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
     return close.unionByName(star), large.select("bucket", "node", "nth")
 
 
+def _folded(odd: list[bytes], bits: int) -> np.ndarray:
+    """Parities of fewer cells, those of equal low bits together, as rows of 64-bit words."""
+    x = np.frombuffer(b"".join(odd), U64).reshape(len(odd), -1)
+    while x.shape[1] * 64 > bits:
+        half = x.shape[1] // 2
+        x = x[:, :half] ^ x[:, half:]
+    return x
+
+
+def _nearest(nearest: int) -> Callable:
+    """Of a block's nodes of smaller classes: pairs with nodes of other classes that may reach 0.8.
+
+    Each node gives its ``nearest`` nearest, with ``more`` where others are left.
+    """
+    def run(block: pa.Table) -> pa.Table:
+        nodes = np.stack([block.column(c).to_numpy() for c in ("key", "crc")], axis=1)
+        labels = np.stack([block.column(c).to_numpy() for c in ("lkey", "lcrc")], axis=1)
+        size, side = block.column("size").to_numpy(), block.column("side").to_numpy()
+        odd = block.column("odd").to_pylist()
+        bits = np.array([8 * len(x) for x in odd])
+        # (first node, second node, distance over what 0.8 allows)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for mine in np.unique(bits[side == 0]):
+            # sizes that differ by more than a quarter can't reach 0.8: cells differ by a step at most
+            for theirs in (mine // 2, mine, 2 * mine):
+                left, right = np.flatnonzero((side == 0) & (bits == mine)), np.flatnonzero((side == 1) & (bits == theirs))
+                if not len(left) or not len(right):
+                    continue
+                cells = min(mine, theirs)
+                x, y = _folded([odd[i] for i in left], cells), _folded([odd[i] for i in right], cells)
+                step = max(1, (1 << 21) // (len(right) * x.shape[1]))
+                for lo in range(0, len(left), step):
+                    some = left[lo:lo + step]
+                    apart = np.bitwise_count(x[lo:lo + step, None] ^ y[None]).sum(axis=2, dtype=np.int64)
+                    apart = np.maximum(apart, np.abs(size[some, None] - size[None, right]))
+                    both = size[some, None] + size[None, right]
+                    may = (9 * apart <= both) & (labels[some, None] != labels[None, right]).any(axis=2)
+                    i, j = np.nonzero(may)
+                    found.append((some[i], right[j], apart[i, j] / both[i, j]))
+        a, b, far = (np.concatenate(f) for f in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((far, a))
+        a, b = a[order], b[order]
+        nth = np.arange(len(a)) - np.searchsorted(a, a)
+        more = np.isin(a, a[nth >= nearest])
+        keep = nth < nearest
+        a, b, more = a[keep], b[keep], more[keep]
+        return pa.table({"akey": nodes[a, 0], "acrc": nodes[a, 1], "bkey": nodes[b, 0], "bcrc": nodes[b, 1], "more": more})
+    return run
+
+
+def _open(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """From (node, buckets): the members of buckets of several classes, with the bucket's largest class and sizes."""
+    named = large.join(labels, "node", "left").select(
+        F.explode("buckets").alias("bucket"), "node", F.coalesce("label", "node").alias("label"))
+    classes = totals(named, "bucket", "label", n=F.count(F.lit(1)))
+    mixed = totals(classes, "bucket", most=F.max(F.struct("n", "label")), n=F.sum("n"), classes=F.count(F.lit(1))).where(
+        "classes > 1").select("bucket", F.col("most.label").alias("most"), F.col("most.n").alias("most_n"), "n")
+    return _written(named.join(mixed, "bucket"), "open")
+
+
+def _by_node(members: DataFrame) -> DataFrame:
+    """(node, its buckets), at most one for each sketch."""
+    return members.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
+
+
+def _across(named: DataFrame, odd: DataFrame, nearest: int, block: int) -> DataFrame:
+    """(a, b, more): pairs of open buckets across classes, to be verified.
+
+    Nodes outside a bucket's largest class meet all of the bucket, dealt in blocks.
+    """
+    named = named.withColumns({"rows": F.ceil((F.col("n") - F.col("most_n")) / block), "cols": F.ceil(F.col("n") / block)})
+    nodes = _written(named.select("node").distinct(), "nodes")
+    full = named.join(odd.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "node")
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    columns = ["bucket", "row", "col", "side", F.col("node.key").alias("key"), F.col("node.crc").alias("crc"),
+               F.col("label.key").alias("lkey"), F.col("label.crc").alias("lcrc"), "size", "odd"]
+    mine = full.where(F.col("label") != F.col("most")).withColumns(
+        {"row": deal("rows"), "col": every("cols"), "side": F.lit(0)}).select(*columns)
+    theirs = full.withColumns({"row": every("rows"), "col": deal("cols"), "side": F.lit(1)}).select(*columns)
+    near = mine.union(theirs).groupBy("bucket", "row", "col").applyInArrow(
+        _nearest(nearest), "akey long, acrc long, bkey long, bcrc long, more boolean")
+    a, b = F.struct(F.col("akey").alias("key"), F.col("acrc").alias("crc")), F.struct(F.col("bkey").alias("key"), F.col("bcrc").alias("crc"))
+    return _written(near.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(F.max("more").alias("more")), "across")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each connected component of links (a, b).
 
@@ -232,7 +343,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
-                 sketches: int = SKETCHES, per_sketch: int = PER_SKETCH, small: int = SMALL) -> DataFrame:
+                 sketches: int = SKETCHES, per_sketch: int = PER_SKETCH, small: int = SMALL,
+                 nearest: int = NEAREST, block: int = BLOCK) -> DataFrame:
     """``docs`` without the text, plus class_id, class_size and kept.
 
     ``class_id`` is the smallest id of the document's class (for rows without
@@ -247,8 +359,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = add_row_key(base, id_col, text_col, key, crc)
     texts = keyed.select(F.col(key).alias("key"), F.col(crc).alias("crc"), text_or_empty(text_col).alias("text"))
     marks = _written(texts.mapInArrow(
-        _sketch(shingle, sketches, per_sketch), "key long, crc long, d1 long, d2 long, sketches array<long>"), "sketches")
+        _sketch(shingle, sketches, per_sketch), "key long, crc long, d1 long, d2 long, sketches array<long>, size long, odd binary"), "sketches")
     node = F.struct("key", "crc").alias("node")
+    odd = marks.select(node, "size", "odd")
     marks = marks.select(node, "d1", "d2", "sketches")
     same = marks.groupBy("d1", "d2").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = marks.join(same.select("d1", "d2", F.col("rep").alias("node")), ["d1", "d2", "node"]).dropDuplicates(["node"])
@@ -264,14 +377,31 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # One text per node, dealt by its key. A hub is in very many pairs: its text, among those of
     # the pairs' first nodes, is dealt anew by the node, so that the engine can split its pairs.
-    one = texts.groupBy("key", "crc").agg(F.first("text").alias("text"))
-    text_b = one.toDF("bk", "bc", "text_b")
-    text_a = one.join(pairs.select("a.key", "a.crc").distinct(), ["key", "crc"], "left_semi").select(
-        F.struct("key", "crc").alias("a"), F.col("text").alias("text_a"))
-    named = pairs.select("a", "b", F.col("b.key").alias("bk"), F.col("b.crc").alias("bc"))
-    checked = named.join(text_b, ["bk", "bc"]).drop("bk", "bc").join(text_a, "a").mapInArrow(_verify(shingle), pairs.schema)
-    links = _written(checked, "links")
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        one = texts.groupBy("key", "crc").agg(F.first("text").alias("text"))
+        text_b = one.toDF("bk", "bc", "text_b")
+        text_a = one.join(pairs.select("a.key", "a.crc").distinct(), ["key", "crc"], "left_semi").select(
+            F.struct("key", "crc").alias("a"), F.col("text").alias("text_a"))
+        named = pairs.select("a", "b", F.col("b.key").alias("bk"), F.col("b.crc").alias("bc"))
+        checked = named.join(text_b, ["bk", "bc"]).drop("bk", "bc").join(text_a, "a").mapInArrow(_verify(shingle), pairs.schema)
+        return _written(checked, "links")
+
+    links = verified(pairs, texts)
     labels = components(links)
+    # a bucket of one class stays so: each round sees what the last one left open
+    open_ = _open(_by_node(large), labels)
+    while not open_.isEmpty():
+        across = _across(open_, odd, nearest, block)
+        pairs = across.select("a", "b")
+        # only the texts of these pairs move
+        ends = _written(pairs.select("a.key", "a.crc").union(pairs.select("b.key", "b.crc")).distinct(), "ends")
+        new = verified(pairs, texts.join(ends, ["key", "crc"], "left_semi"))
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            labels = components(links)
+        if across.where("more").isEmpty():
+            break
+        open_, nearest = _open(_by_node(open_), labels), 4 * nearest
 
     classes = same.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "d1", "d2", F.coalesce("label", "rep").alias("class"), "copies")

@@ -3,6 +3,7 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,6 +186,53 @@ def test_near_dedup_of_a_large_group(spark):
     assert {r.doc_id: r.class_id for r in got} == brute.near_classes(rows)
 
 
+def edited_copies(n, first, rng, edits=4):
+    """(id, text) of n copies of a 300-word text that isn't there itself, and their classes (a set of sets of ids)."""
+    base, hit, rows = [f"b{first}w{i}" for i in range(300)], np.zeros((n, 296), bool), []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(300), edits):
+            w[at] = f"x{first + i}e{at}"
+            hit[i, max(0, at - 4):at + 1] = True
+        rows.append((first + i, " ".join(w)))
+    # all words differ: shingles match where neither copy has an edit
+    same = (~hit).astype(np.float32)
+    alike = 9 * (same @ same.T) >= 4 * 2 * 296
+    left, classes = set(range(n)), set()
+    while left:
+        group, new = set(), {min(left)}
+        while new:
+            group |= new
+            new = set(np.flatnonzero(alike[sorted(new)].any(axis=0)).tolist()) - group
+        classes.add(frozenset(first + i for i in group))
+        left -= group
+    return rows, classes
+
+
+def test_near_dedup_of_edited_copies_without_the_original(spark):
+    """No text is near all others: what a hub misses must be found all the same."""
+    rng = random.Random(11)
+    few, classes_few = edited_copies(300, 0, rng)
+    many, classes_many = edited_copies(2000, 10_000, rng)
+    df = spark.createDataFrame(few + many, "doc_id long, text string")
+    for block, nearest in ((512, 4), (64, 1)):
+        got = collections.defaultdict(set)
+        for r in near_dedup.near_classes(df, block=block, nearest=nearest).collect():
+            got[r.class_id].add(r.doc_id)
+        assert {frozenset(x) for x in got.values()} == classes_few | classes_many
+
+
+def test_parities_differ_in_at_most_the_elements_that_differ():
+    rng = np.random.default_rng(2)
+    for n in (1, 30, 300, 40_000):
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = np.concatenate((a[n // 10:], rng.integers(0, 1 << 63, n // 8).astype(np.uint64)))
+        x, y = near_dedup.parities(np.concatenate((a, b)), np.array([0, n, n + len(b)]))
+        cells = 8 * min(len(x), len(y))
+        apart = int(np.bitwise_count(near_dedup._folded([x], cells) ^ near_dedup._folded([y], cells)).sum())
+        assert 0 <= apart <= len(set(a.tolist()) ^ set(b.tolist())) and (apart > 0 or n == 1)
+
+
 def test_banded_alignment_equals_the_full_table():
     rng = random.Random(1)
     for _ in range(300):
