@@ -162,25 +162,28 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           epochs: int = EPOCHS) -> ByteCNN | None:
     """Fit on a hashed sample of labelled rows; None without any labelled text.
 
-    Rows of null language or without a letter teach nothing. The sample is
-    chosen by a hash of the id, so it doesn't depend on partitions.
+    Rows of null language or without a letter teach nothing. Each language's
+    sample is chosen by a hash of id and text, so it doesn't depend on
+    partitions; rows that repeat both count once. Null and repeated ids draw by
+    their texts, and no language takes another's place.
     """
-    text, draw = text_or_empty(text_col), F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string")), F.lit(1 << 30))
-    rows = docs.where(F.col(f"`{lang_col}`").isNotNull() & text.rlike(r"\p{L}"))
-    counts = (rows.groupBy(F.col(f"`{lang_col}`").cast("string").alias("lang")).count()
+    text, lang = text_or_empty(text_col), F.col(f"`{lang_col}`").cast("string")
+    draw = F.shiftrightunsigned(F.xxhash64(F.col(f"`{id_col}`").cast("string"), text), 2)
+    rows = docs.where(lang.isNotNull() & text.rlike(r"\p{L}"))
+    counts = (rows.select(lang.alias("lang"), draw.alias("draw")).distinct().groupBy("lang").count()
               .orderBy(F.desc("count"), "lang").limit(max_langs).collect())
     if not counts:
         return None
     share = F.lit(0)
     for r in counts:
-        share = F.when(F.col(f"`{lang_col}`") == r["lang"], min(1.0, 1.2 * per_lang / r["count"]) * (1 << 30)).otherwise(share)
+        share = F.when(lang == r["lang"], F.lit(int(min(1.0, 1.2 * per_lang / r["count"]) * (1 << 62)))).otherwise(share)
     # per_doc windows spread over the text; a window's bytes fit in as many characters
     n = F.length(text)
     starts = [F.greatest(F.lit(1), ((n - WINDOW) * i / max(per_doc - 1, 1)).cast("int") + 1) for i in range(per_doc)]
-    sample = (rows.where(draw < share)
-              .select(F.col(f"`{lang_col}`").cast("string").alias("lang"), draw.alias("draw"),
-                      F.array_distinct(F.array(*[F.substring(text, s, F.lit(WINDOW)) for s in starts])).alias("parts"))
-              .orderBy("draw", "lang", "parts").limit(2 * per_lang * len(counts)).collect())
+    parts = F.array_distinct(F.array(*[F.substring(text, s, F.lit(WINDOW)) for s in starts]))
+    sample = (rows.where(draw < share).groupBy(draw.alias("draw"), lang.alias("lang")).agg(F.min(parts).alias("parts"))
+              .collect())
+    sample.sort(key=lambda r: (r["draw"], r["lang"]))
     classes = sorted({r["lang"] for r in sample})
     if not classes:
         return None

@@ -122,6 +122,20 @@ def test_language_id(odd, empty):
     assert language_id.identify(empty, model).count() == 0
 
 
+@pytest.mark.parametrize("same_id", [None, 7])
+def test_language_id_of_repeated_ids(spark, same_id):
+    """Rows without an id, or of one, don't crowd out other languages, and repeated rows count once."""
+    said = {"aa": "the cat sat on a mat and ", "bb": "der hund lief durch den wald ", "cc": "le chien mange du pain "}
+    rows = [(same_id, f"{said['aa']} {i}", "aa") for i in range(200)]
+    rows += [(100 + i, f"{said[lang]} {i}", lang) for lang in ("bb", "cc") for i in range(40)]
+    rows += [(same_id, said["cc"], "cc")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(df, per_lang=20, epochs=150)
+    assert model.classes == ["aa", "bb", "cc"]
+    got = language_id.identify(df, model).where("lang_pred = lang").count()
+    assert got >= 0.95 * len(rows)
+
+
 def test_chat_format_reads_back(spark):
     rng = random.Random(3)
     bits = ["<|", "|>", "\\", "<", "|", "\n", "im_start", "<|im_end|>", "<|im_start|>assistant\n", "\\n", "<\\|", "é", "", "<|image|>"]
