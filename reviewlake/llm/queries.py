@@ -1,4 +1,4 @@
-"""The ten operators over the test tables, one query each, and their SQL."""
+"""The operators over the test tables, one query each, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import chat_format, fingerprints, language_id, language_model, mixing, near_dedup, packing, url_filter
+from reviewlake.llm import (
+    chat_format, fill_in_middle, fingerprints, language_id, language_model, mixing, near_dedup, packing, url_filter,
+    vector_codes, vector_packing,
+)
 from reviewlake.llm.common import documents, prepare
 from reviewlake.llm.exact_dedup import exact_dedup
 from reviewlake.llm.substring_dedup import remove_repeats
@@ -181,3 +184,74 @@ FROM c JOIN documents d ON d.doc_id = c.doc_id""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of all documents: source shares by the square root of their counts."""
     return mixing.mix(documents(spark, sf_dir))
+
+
+@register("op11_fill_in_middle", """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, ('0x' || h[1:8])::BIGINT AS h1,
+         ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d
+), c AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+  SELECT doc_id, t, n, form, coalesce(array_to_string(u[1:a], ''), '') AS p,
+         coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:n], ''), '') AS s FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM p""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document transformed, and the text that reads back from the output."""
+    made = fill_in_middle.fill_in_middle(documents(spark, sf_dir).select("doc_id", "text"))
+    back = fill_in_middle.restore(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
+def _vector_sql(rounds: int = 4) -> str:
+    """Each assignment and each averaging as a step over (vector, part, position) rows."""
+    near = """a{i} AS MATERIALIZED (
+  SELECT vec_id, part, min_by(entry, (dist, entry)) AS entry, min(dist) AS dist FROM (
+    SELECT x.vec_id, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v)) AS dist
+    FROM x JOIN b{i} b USING (part, pos) GROUP BY x.vec_id, x.part, b.entry) GROUP BY vec_id, part)"""
+    mean = """b{j} AS MATERIALIZED (
+  SELECT part, entry, pos, coalesce((s - ((s % n) + n) % n) // n, b.v) AS v FROM b{i} b LEFT JOIN (
+    SELECT part, entry, pos, sum(x.v)::BIGINT AS s, count(*)::BIGINT AS n FROM x JOIN a{i} USING (vec_id, part) GROUP BY ALL
+  ) USING (part, entry, pos))"""
+    steps = [near.format(i=0)]
+    for i in range(rounds):
+        steps += [mean.format(i=i, j=i + 1), near.format(i=i + 1)]
+    return """
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, embedding AS e, len(embedding) AS d, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+), x AS MATERIALIZED (
+  SELECT vec_id, i // (d // 4) AS part, mod(i, d // 4) AS pos, floor(e[i + 1]::DOUBLE * 1024)::BIGINT AS v
+  FROM (SELECT vec_id, d, e, unnest(range(d)) AS i FROM k)
+), b0 AS MATERIALIZED (
+  SELECT part, entry, pos, v FROM x JOIN k USING (vec_id) WHERE entry < 256
+), %s, c AS (
+  SELECT vec_id, string_agg(printf('%%02x', entry::INT), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error FROM a%d GROUP BY vec_id
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b%d) AS codebooks_sha256
+FROM c JOIN k USING (vec_id)""" % (",\n".join(steps), rounds, rounds)
+
+
+@register("op12_vector_codes", _vector_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's product code and error."""
+    vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet").select("vec_id", "embedding", "label")
+    codes, books = vector_codes.compress(vectors)
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+@register("op13_vector_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 4096 tokens, without padding."""
+    pieces = vector_packing.pack_examples(documents(spark, sf_dir).select("doc_id", "text"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

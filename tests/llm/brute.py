@@ -148,3 +148,46 @@ def best_fit(sizes, length=1024) -> int:
 
 def crc_mod(doc_id, n) -> int:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % n
+
+
+def fill_in_middle(doc_id, text, seed=1):
+    """(n, form, prefix_chars, middle_chars, output)."""
+    t = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", t)
+    h = sha(f"{seed}:{'' if doc_id is None else doc_id}")
+    h1, h2, h3, h4 = (int(h[8 * i:8 * i + 8], 16) for i in range(4))
+    n = len(units)
+    if not t or any(m in t for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return n, "plain", None, None, t
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if h4 % 100 < 20:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def vector_codes(rows, parts=4, entries=256, rounds=4):
+    """{id: (code, error)} and all final components, for (id, vector) rows with distinct ids, by plain search."""
+    rows = sorted((i, [math.floor(1024 * x) for x in v]) for i, v in rows
+                  if v and all(x is not None and math.isfinite(x) for x in v))
+    if not rows:
+        return {}, []
+    w = len(rows[0][1]) // parts
+    cut = [[v[p * w:p * w + w] for p in range(parts)] for _, v in rows]
+    books = [[list(c[p]) for c in cut[:entries]] for p in range(parts)]
+
+    def nearest(p, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), k) for k, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            got = collections.defaultdict(list)
+            for c in cut:
+                got[nearest(p, c[p])[1]].append(c[p])
+            for k, xs in got.items():
+                books[p][k] = [sum(col) // len(xs) for col in zip(*xs)]
+    out = {}
+    for (i, _), c in zip(rows, cut):
+        best = [nearest(p, c[p]) for p in range(parts)]
+        out[i] = "".join(f"{k:02x}" for _, k in best), sum(d for d, _ in best)
+    return out, [x for b in books for e in b for x in e]

@@ -112,6 +112,34 @@ def test_packing(spark, docs):
     check_packing(result(spark, "op9_best_fit_packing"), [d[:2] for d in docs])
 
 
+def test_vector_codes(spark):
+    rows = duck(SF_SMALL).execute("select vec_id, embedding from embeddings").fetchall()
+    want, final = brute.vector_codes(rows)
+    got = result(spark, "op12_vector_codes").set_index("vec_id")
+    assert {i: (r.code, r.error) for i, r in got.iterrows()} == want
+    assert set(got.codebooks_sha256) == {brute.sha(",".join(map(str, final)))}
+
+
+def test_vector_packing(spark, docs):
+    """Pieces hold the tokenizer's ids once each; no sequence needs padding."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    got = result(spark, "op13_vector_packing")
+    ids = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 2] for i, t, *_ in docs}
+    for i, mine in got.sort_values("start").groupby("doc_id"):
+        assert mine.start.tolist() == [0, *np.cumsum(mine.length)[:-1]] and set(mine.doc_tokens) == {len(ids[i])}
+        assert mine.length.sum() == len(ids[i])
+        for r in mine.itertuples():
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[i][r.start:r.start + r.length], "<u4").tobytes())
+    assert set(got.doc_id) == set(ids)
+    for _, seq in got.sort_values("offset").groupby("sequence_id"):
+        assert seq.offset.tolist() == [0, *np.cumsum(seq.length)[:-1]]
+        total = seq.length.sum()
+        assert total == 4096 or total & (total - 1) == 0 and total < 4096
+    assert got.sequence_id.nunique() <= -(-got.length.sum() // 4096) + 24
+
+
 def test_pipeline(spark, docs):
     """Each stage against its plain version, on what its predecessor kept."""
     frame = spark.read.parquet(f"{SF_SMALL}/documents.parquet")

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.llm import (
-    chat_format, exact_dedup, fingerprints, language_id, language_model, mixing, near_dedup, packing, substring_dedup,
-    url_filter,
+    chat_format, exact_dedup, fill_in_middle, fingerprints, language_id, language_model, mixing, near_dedup, packing,
+    substring_dedup, url_filter, vector_codes, vector_packing,
 )
 from reviewlake.llm.common import prepare
 from tests.llm import brute
@@ -343,3 +343,146 @@ def test_pipeline_stages(odd, empty, spark):
             if name == "near_dedup" and some:
                 assert {r.doc_id for r in docs.collect()} >= {5, 8, 9, 11} and docs.where("doc_id in (6, 7)").count() == 0
         assert (corpus_pipeline.packed(spark, docs, "").count() > 0) == some
+
+
+def test_fill_in_middle(odd, empty):
+    got = fill_in_middle.fill_in_middle(odd)
+    want = [(r[0], *brute.fill_in_middle(*r[:2])) for r in ROWS]
+    key = lambda r: tuple(str(x) for x in r)
+    back = fill_in_middle.restore(F.col("output"), F.col("form")).alias("back")
+    read = got.select("*", back).collect()
+    assert sorted((tuple(r)[:-1] for r in read), key=key) == sorted(want, key=key)
+    assert collections.Counter(r.back for r in read) == collections.Counter(r[1] or "" for r in ROWS)
+    assert fill_in_middle.fill_in_middle(empty).count() == 0
+
+
+def test_fill_in_middle_of_odd_texts(spark):
+    """Marks and halves of marks in texts, all forms, units of several bytes, control characters."""
+    rng = random.Random(0)
+    texts = ["<", "<S", "S>", "<P><S>", "a<S>b", "\x00\xff\u20ac\U0001f600", "\n\n", "<<SS>>", "é" * 50, "abc", "<p>x"]
+    texts += ["".join(rng.choice("ab<SPM> \né€\U0001f600\u0301") for _ in range(rng.randrange(60))) for _ in range(400)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    made = fill_in_middle.fill_in_middle(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r for r in made.select("*", fill_in_middle.restore(F.col("output"), F.col("form")).alias("back")).collect()}
+    for i, t in rows:
+        assert tuple(got[i])[1:] == (*brute.fill_in_middle(i, t), t)
+    assert {r.form for r in got.values()} == {"plain", "psm", "spm"}
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, code string, `__key` int"
+
+
+def test_vector_codes_of_odd_rows(spark):
+    prepare(spark)
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-.3, -.001, 0., .25, .5]) + rng.choice([0, 1e-3]) for _ in range(8)], i % 3 or None, "x", 0)
+            for i in range(300)]
+    rows += [(1000, None, 1, "x", 0), (1001, [], 1, "x", 0), (1002, [1.0] * 7 + [None], 1, "x", 0),
+             (1003, [float("nan")] * 8, 1, "x", 0), (1004, [float("-inf")] * 8, 1, "x", 0), (1005, [.5] * 5, 1, "x", 0),
+             (1006, [-2000.7] * 8, 2, "x", 0)]
+    want, final = brute.vector_codes([r[:2] for r in rows if r[0] != 1005])
+    codes, books = vector_codes.compress(spark.createDataFrame(rows, VECTORS))
+    got = {r.vec_id: r for r in codes.collect()}
+    assert {i: (r.code, r.error) for i, r in got.items()} == want
+    assert books.digest() == brute.sha(",".join(map(str, final)))
+    label = collections.Counter()
+    for r in got.values():
+        label[r.label] += r.error
+    assert all(r.label_error == label[r.label] for r in got.values())
+    assert codes.columns == ["vec_id", "label", "code", "error", "label_error"]
+
+
+def test_vector_codes_of_repeats_and_few_rows(spark):
+    same = [(7, [.1, .2, .3, .4], None, "x", 0)] * 500 + [(None, [9e30, 0., 0., 0.], 1, "x", 0)] * 2
+    codes, books = vector_codes.compress(spark.createDataFrame(same, VECTORS))
+    assert codes.count() == 502 and {r.error for r in codes.collect()} == {0}
+    limit = vector_codes.component_limit(4)
+    assert limit in books.books[0]                     # cut off, not overflown
+    none, books = vector_codes.compress(spark.createDataFrame([(1, None, 1, "x", 0)], VECTORS))
+    assert none.count() == 0 and books.digest() == brute.sha("")
+
+
+def test_cells_forget_without_effect():
+    rng = np.random.default_rng(0)
+    for width in (1, 3, 8):
+        x, book = rng.integers(-9, 9, (600, 3)), rng.integers(-9, 9, (30, 3))
+        dist = ((x[:, None] - book) ** 2).sum(-1)
+        for keep in (5, 10_000):
+            entry, best = vector_codes.Cells(book, width, keep).nearest(x)
+            assert (entry == dist.argmin(1)).all() and (best == dist.min(1)).all()
+
+
+def check_sequences(pieces, size, free, length, segments, max_loss):
+    """Every token once; sequences gapless, within limits, full or a power of two."""
+    cover, seqs = collections.defaultdict(list), collections.defaultdict(list)
+    for example, start, n, seq, offset in pieces:
+        cover[example].append((start, n))
+        seqs[seq].append((offset, n, max(n - max(free[example] - start, 0), 0)))
+    for i, n in enumerate(size):
+        at = 0
+        for start, k in sorted(cover[i]):
+            assert start == at and k > 0
+            at += k
+        assert at == n
+    for parts in seqs.values():
+        at = 0
+        for offset, n, _ in sorted(parts):
+            assert offset == at
+            at += n
+        assert at <= length and (at == length or at & (at - 1) == 0)
+        assert len(parts) <= segments and sum(p[2] for p in parts) <= max_loss
+    return len(seqs)
+
+
+def test_place_within_all_limits():
+    rng = np.random.default_rng(5)
+    for limits in ((4096, 128, 4096), (100, 3, 40), (64, 5, 64), (7, 2, 3), (1, 1, 1), (4096, 4, 1000)):
+        size = rng.integers(0, 300, 300)
+        free = np.minimum(rng.integers(0, 200, 300), size)
+        check_sequences(vector_packing.place(size, free, *limits).tolist(), size, free, *limits)
+    # one kind of example in most rows, and an example far longer than a sequence
+    size = np.array([50_000, *[17] * 2000, *rng.integers(1, 4000, 300)])
+    made = check_sequences(vector_packing.place(size, size * 0, 512, 32).tolist(), size, size * 0, 512, 32, 512)
+    assert made <= size.sum() / 512 + 40
+
+
+def test_vector_packing(odd, empty, spark):
+    """Ids of prompt and text by the tokenizer, whole and in order, from the pieces."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    ids = lambda t: tok.encode(t or "", add_special_tokens=False).ids
+    got = vector_packing.pack_examples(odd, prompt_col="lang", length=256, segments=4, max_loss=200)
+    assert got.columns == ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
+    pieces = [r.asDict() | {"ids": np.frombuffer(r.ids, "<u4").tolist()} for r in got.collect()]
+    want = collections.Counter((r[0], tuple(ids(r[2]) + ids(r[1]) + [2])) for r in ROWS)
+    assert sum(p["length"] for p in pieces) == sum(len(k[1]) * n for k, n in want.items())
+    whole = {w[0]: w[1] for w in want if w[0] not in (9, 10, None)}
+    for i, all_ids in whole.items():
+        mine = sorted((p["start"], p["ids"]) for p in pieces if p["doc_id"] == i)
+        assert tuple(x for _, part in mine for x in part) == all_ids
+    assert vector_packing.pack_examples(empty).count() == 0
+
+
+def test_word_ids_equal_the_tokenizers():
+    import public_tokenizers as P
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from reviewlake.llm.word_tokens import WordEncoder
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = [None, "", " ", "a b   c\x1cd", "<|endoftext|>x<|startoftext|> <| y |>", "A<|ENDOFTEXT|>.b", "İSTANBUL ΣΑΣ Σ",
+             "é ́x 'S don'T 's 'start", "中文字符 テスト", "\u200b a\u0085b\u00a0c", "ﬁ Å 12a!?1", "H\u0331 W\u030a T\u0308",
+             "a,b;c don't #'s ''s x',y 're “a” a–b …a.b.c 'tis", "ÉCOLE Œuvre ŉa ſa ẞ ß K", "가가", "x" * 3000, "1,234.5'6"]
+    rng = random.Random(1)
+    texts += ["".join(rng.choice("abS'tdl.,-#1 \nÉßé\u0301<|>") for _ in range(40)) for _ in range(500)]
+    for bound in (5, 1_000_000):
+        encoder = WordEncoder(max_words=bound)
+        for lo in range(0, len(texts), 50):
+            some = texts[lo:lo + 50]
+            got, size = encoder.encode(pa.array(some, pa.string()), 2)
+            at = 0
+            for t, n in zip(some, size.tolist()):
+                assert got[at:at + n].tolist() == tok.encode(t or "", add_special_tokens=False).ids + [2], t
+                at += n
+            assert at == len(got)
