@@ -73,7 +73,8 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, ids in each text); null is empty, ``end_id`` closes each text."""
-        text = pc.fill_null(texts.cast(pa.large_string()), "")
+        # a copy that starts at 0: the lower-case kernel misreads slices
+        text = pc.fill_null(pc.take(texts, pa.array(np.arange(len(texts)))).cast(pa.large_string()), "")
         cut = pc.replace_substring_regex(pc.ascii_lower(text), pattern=f"([a-z0-9])({_PUNCT})", replacement=r"\1 \2")
         cut = pc.replace_substring_regex(cut, pattern=f"({_PUNCT})([a-z0-9])", replacement=r"\1 \2")
         lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(text, _RAW), text, cut))
