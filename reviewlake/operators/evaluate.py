@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlake.schemas import SENTIMENTS
 
@@ -82,40 +83,50 @@ def confusion_metrics(pred: DataFrame, label_col: str = "label_text",
 
 
 def classification_metrics(pred: DataFrame, label_col: str = "label",
-                           pred_col: str = "prediction") -> DataFrame:
-    """One row: accuracy and MLlib-style weighted precision / recall / F1.
+                           pred_col: str = "prediction", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per ``by`` group: accuracy and MLlib-style weighted precision / recall / F1.
 
     Works for any number of classes: one aggregation to (label, prediction)
-    counts (tiny), then per-class sums. Classes are those seen as a label or
-    a prediction; weights are the true-label frequencies.
+    counts (tiny), each counted once for its label and once for its prediction,
+    then per-class sums. Classes are those seen as a label or a prediction;
+    weights are the true-label frequencies. Without ``by`` there is always one
+    row, zeros for no input; any number of groups costs one pass.
     """
-    pairs = pred.groupBy(F.col(label_col).alias("y"), F.col(pred_col).alias("p")).agg(
+    pairs = pred.groupBy(*by, F.col(label_col).alias("y"), F.col(pred_col).alias("p")).agg(
         F.count(F.lit(1)).alias("n"))
-    per_y = pairs.groupBy(F.col("y").alias("k")).agg(
-        F.sum("n").alias("actual"), F.sum(F.when(F.col("y") == F.col("p"), F.col("n"))).alias("tp"))
-    per_p = pairs.groupBy(F.col("p").alias("k")).agg(F.sum("n").alias("predicted"))
-    per_k = (per_y.join(per_p, "k", "full_outer")
-             .select("k", F.coalesce("actual", F.lit(0)).alias("actual"),
-                     F.coalesce("predicted", F.lit(0)).alias("predicted"),
-                     F.coalesce("tp", F.lit(0)).alias("tp")))
+    zero = F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("y").cast("string").alias("k"), F.col("n").alias("actual"), zero.alias("predicted"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(zero).alias("tp")),
+        F.struct(F.col("p").cast("string").alias("k"), zero.alias("actual"), F.col("n").alias("predicted"), zero.alias("tp")))
+    # label and prediction may be of different types (an int and a double): compare them as one
+    same = pairs.withColumns({"y": F.col("y").cast("double"), "p": F.col("p").cast("double")}) if _numeric(
+        pred, label_col, pred_col) else pairs
+    per_k = (same.select(*by, F.inline(sides)).groupBy(*by, "k")
+             .agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp")))
     precision = _div0(F.col("tp"), F.col("predicted"))
     recall = _div0(F.col("tp"), F.col("actual"))
     f1 = _div0(2 * precision * recall, precision + recall)
     total = F.sum("actual")
-    return per_k.agg(
+    return per_k.groupBy(*by).agg(
         _div0(F.sum("tp"), total).alias("accuracy"),
         _div0(F.sum(F.col("actual") * f1), total).alias("f1_score"),
         _div0(F.sum(F.col("actual") * precision), total).alias("weighted_precision"),
         _div0(F.sum(F.col("actual") * recall), total).alias("weighted_recall"))
 
 
+def _numeric(df: DataFrame, *cols: str) -> bool:
+    return all(isinstance(df.select(c).schema[0].dataType, T.NumericType) for c in cols)
+
+
 def roc_table(scored: DataFrame, label_col: str = "label", score_col: str = "score",
-              bins: int | None = None, with_origin: bool = False) -> DataFrame:
-    """(score, pos, neg, tp, fp, tpr, fpr) per distinct score, in no order.
+              bins: int | None = None, with_origin: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, score, pos, neg, tp, fp, tpr, fpr) per distinct score, in no order.
 
     ``tp``/``fp`` count rows with score >= this score. ``bins`` first rounds
     scores down to ``bins`` equal-width steps of [0, 1]; ``with_origin`` adds
-    the (0, 0) point (score null).
+    the (0, 0) point (score null). ``by`` names never-null columns whose groups
+    (models, thresholds, score kinds) each get their own curve in the same pass.
 
     The running sum goes by two levels of score ranges that depend on the
     score alone: a score's place in [0, 1] is cut at 16 and at 32 bits. Each
@@ -127,7 +138,7 @@ def roc_table(scored: DataFrame, label_col: str = "label", score_col: str = "sco
         s = F.least(F.floor(s * bins), F.lit(bins - 1)) / F.lit(float(bins))
     y = F.col(label_col).cast("double") == 1.0
     agg = (scored.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
-           .groupBy(s.alias("score"))
+           .groupBy(*by, s.alias("score"))
            .agg(F.count(F.when(y, 1)).alias("pos"), F.count(F.when(~y, 1)).alias("neg")))
     place = (F.col("score") / (1 + F.abs("score")) + 1) / 2        # grows with the score
     finite = F.abs("score") < float("inf")                         # NaN is larger than infinity
@@ -138,28 +149,29 @@ def roc_table(scored: DataFrame, label_col: str = "label", score_col: str = "sco
     def above(w) -> tuple:
         return tuple((F.sum(c).over(w) - F.col(c)) for c in ("__p", "__n"))
 
-    per_fine = leaf.groupBy("__c", "__f").agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
-    per_coarse = per_fine.groupBy("__c").agg(F.sum("__p").alias("__p"), F.sum("__n").alias("__n"))
+    per_fine = leaf.groupBy(*by, "__c", "__f").agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
+    per_coarse = per_fine.groupBy(*by, "__c").agg(F.sum("__p").alias("__p"), F.sum("__n").alias("__n"))
     frame = (Window.unboundedPreceding, 0)
-    p1, n1 = above(Window.orderBy(F.desc("__c")).rowsBetween(*frame))
-    p2, n2 = above(Window.partitionBy("__c").orderBy(F.desc("__f")).rowsBetween(*frame))
-    whole = Window.partitionBy()
-    coarse = per_coarse.select("__c", p1.alias("__p1"), n1.alias("__n1"), F.sum("__p").over(whole).alias("__P"),
+    p1, n1 = above(Window.partitionBy(*by).orderBy(F.desc("__c")).rowsBetween(*frame))
+    p2, n2 = above(Window.partitionBy(*by, "__c").orderBy(F.desc("__f")).rowsBetween(*frame))
+    whole = Window.partitionBy(*by)
+    coarse = per_coarse.select(*by, "__c", p1.alias("__p1"), n1.alias("__n1"), F.sum("__p").over(whole).alias("__P"),
                                F.sum("__n").over(whole).alias("__N"))
-    offsets = per_fine.select("__c", "__f", p2.alias("__p2"), n2.alias("__n2")).join(coarse, "__c").select(
-        "__f", (F.col("__p1") + F.col("__p2")).alias("__op"), (F.col("__n1") + F.col("__n2")).alias("__on"),
+    offsets = per_fine.select(*by, "__c", "__f", p2.alias("__p2"), n2.alias("__n2")).join(coarse, [*by, "__c"]).select(
+        *by, "__f", (F.col("__p1") + F.col("__p2")).alias("__op"), (F.col("__n1") + F.col("__n2")).alias("__on"),
         "__P", "__N")
-    inside = Window.partitionBy("__f").orderBy(F.desc("score")).rowsBetween(*frame)
-    pts = (leaf.select("__f", "score", "pos", "neg", F.sum("pos").over(inside).alias("tp"),
+    inside = Window.partitionBy(*by, "__f").orderBy(F.desc("score")).rowsBetween(*frame)
+    pts = (leaf.select(*by, "__f", "score", "pos", "neg", F.sum("pos").over(inside).alias("tp"),
                        F.sum("neg").over(inside).alias("fp"))
-           .join(offsets, "__f")
-           .select("score", "pos", "neg", (F.col("tp") + F.col("__op")).alias("tp"),
+           .join(offsets, [*by, "__f"])
+           .select(*by, "score", "pos", "neg", (F.col("tp") + F.col("__op")).alias("tp"),
                    (F.col("fp") + F.col("__on")).alias("fp"), "__P", "__N"))
     if with_origin:
-        # one row carrying the class totals (none for empty input)
+        # one row a group carrying the class totals (none for empty input)
         zero = F.lit(0).cast("long")
-        origin = (coarse.agg(F.max("__P").alias("__P"), F.max("__N").alias("__N")).where(F.col("__P").isNotNull())
-                  .select(F.lit(None).cast("double").alias("score"), zero.alias("pos"), zero.alias("neg"),
+        origin = (coarse.groupBy(*by).agg(F.max("__P").alias("__P"), F.max("__N").alias("__N"))
+                  .where(F.col("__P").isNotNull())
+                  .select(*by, F.lit(None).cast("double").alias("score"), zero.alias("pos"), zero.alias("neg"),
                           zero.alias("tp"), zero.alias("fp"), "__P", "__N"))
         pts = pts.unionByName(origin)
     return (pts.withColumn("tpr", F.try_divide(F.col("tp").cast("double"), F.col("__P").cast("double")))
@@ -168,20 +180,61 @@ def roc_table(scored: DataFrame, label_col: str = "label", score_col: str = "sco
 
 
 def roc_points(scored: DataFrame, label_col: str = "label", score_col: str = "score",
-               bins: int | None = None, with_origin: bool = True) -> DataFrame:
-    """``roc_table`` with its origin, by descending score: for output."""
-    return roc_table(scored, label_col, score_col, bins, with_origin).orderBy(F.desc_nulls_first("score"))
+               bins: int | None = None, with_origin: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """``roc_table`` with its origin, by group and descending score: for output."""
+    return roc_table(scored, label_col, score_col, bins, with_origin, by).orderBy(*by, F.desc_nulls_first("score"))
 
 
-def auc(scored: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
-    """One row ``area_under_roc``: trapezoid area = rank-sum form, ties counted half.
+def auc(scored: DataFrame, label_col: str = "label", score_col: str = "score", by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, area_under_roc): trapezoid area = rank-sum form, ties counted half.
 
-    Null when one class is absent.
+    One row, or one per ``by`` group. Null when one class is absent.
     """
-    pts = roc_table(scored, label_col, score_col)
+    pts = roc_table(scored, label_col, score_col, by=by)
     num = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
     den = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return pts.agg(F.try_divide(num, den).alias("area_under_roc"))
+    return pts.groupBy(*by).agg(F.try_divide(num, den).alias("area_under_roc"))
+
+
+def evaluate_groups(pred: DataFrame, by: tuple[str, ...] = ("model_name",), label_col: str = "label",
+                    pred_col: str = "prediction", score_col: str = "score") -> DataFrame:
+    """(*by, the five metrics): any number of models, thresholds or kinds in one pass each
+    over their stacked predictions; a group without both classes has a null AUC."""
+    m = classification_metrics(pred, label_col, pred_col, by)
+    return m.join(auc(pred, label_col, score_col, by), list(by), "left")
+
+
+def threshold_metrics(scored: DataFrame, thresholds: dict[str, float], label_col: str = "label",
+                      score_col: str = "score", name_col: str = "model_name") -> DataFrame:
+    """(name, the five metrics) of each named score threshold.
+
+    One aggregate counts labels against all thresholds at once; the AUC doesn't
+    depend on the threshold and is computed once. Rows without a score count as
+    below every threshold. Empty input: a row of zeros each, AUC null.
+    """
+    names = list(thresholds)
+    y = F.col(label_col).cast("double") == 1.0
+    over = [F.coalesce(F.col(score_col) >= F.lit(thresholds[n]), F.lit(False)) for n in names]
+    counts = scored.where(F.col(label_col).isNotNull()).agg(
+        F.count(F.when(y, 1)).cast("double").alias("P"), F.count(F.when(~y, 1)).cast("double").alias("N"),
+        *[F.count(F.when(y & o, 1)).cast("double").alias(f"tp{i}") for i, o in enumerate(over)],
+        *[F.count(F.when(~y & o, 1)).cast("double").alias(f"fp{i}") for i, o in enumerate(over)])
+    rows = counts.select("P", "N", F.inline(F.array(*[F.struct(
+        F.lit(n).alias(name_col), F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp")) for i, n in enumerate(names)])))
+    tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "P", "N"))
+    per_class = [(pos, tp, tp + fp), (neg, neg - fp, pos + neg - tp - fp)]     # actual, hit, predicted
+    total = pos + neg
+    precision = [_div0(hit, predicted) for _, hit, predicted in per_class]
+    recall = [_div0(hit, actual) for actual, hit, _ in per_class]
+    f1 = [_div0(2 * p * r, p + r) for p, r in zip(precision, recall)]
+
+    def weighted(values: list[Column]) -> Column:
+        return _div0(sum((a * v for (a, *_), v in zip(per_class, values)), F.lit(0.0)), total)
+    area = auc(scored, label_col, score_col)
+    return rows.select(
+        name_col, _div0(tp + neg - fp, total).alias("accuracy"), weighted(f1).alias("f1_score"),
+        weighted(precision).alias("weighted_precision"), weighted(recall).alias("weighted_recall"),
+        area.scalar().alias("area_under_roc"))
 
 
 def evaluate(pred: DataFrame, label_col: str = "label", pred_col: str = "prediction",

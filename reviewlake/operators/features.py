@@ -6,9 +6,10 @@
 * MLlib: ``text_pipeline`` builds the Tokenizer -> StopWordsRemover ->
   CountVectorizer/HashingTF -> IDF -> classifier pipeline.
 
-Skew: term frequency is counted per (doc, term) first, which spreads evenly;
-the per-term totals are then partially aggregated on the map side, so a term
-present in every document costs one row per map task before the shuffle.
+A document is one row, so its term counts are taken inside the row
+(``doc_terms``): no shuffle by (doc, term). Per-term totals are partially
+aggregated on the map side, so a term present in every document costs one row
+per map task before the only shuffle.
 """
 
 from __future__ import annotations
@@ -61,6 +62,30 @@ def terms(df: DataFrame, doc_col: str = "event_id", text_col: str = "review_text
             .where((t != "") & ~t.isin(stop)))
 
 
+def doc_terms(df: DataFrame, doc_col: str = "event_id", text_col: str = "review_text",
+              keep: tuple[str, ...] = (), stop_words: list[str] | None = None,
+              parity: bool = False) -> DataFrame:
+    """(doc, *keep, term, tf): occurrences of each non-stop-word term in each row's text.
+
+    Counted inside the row: the tokens are sorted, each run of equal ones is a
+    term and its length the count. One row per (document, term) comes out of
+    one explode; nothing is shuffled. ``parity=True`` keeps MLlib's empty
+    tokens. A null text and one of stop words only have no rows; rows that
+    repeat an id are counted each by itself.
+    """
+    stop = [w.lower() for w in (stop_words if stop_words is not None else STOP_WORDS_EN)]
+    tokens = tokens_expr(text_col, keep_empty=True) if parity else F.split(F.lower(text_col), r"\s")
+    words = df.where(F.col(text_col).isNotNull()).select(doc_col, *keep, F.sort_array(tokens).alias("__w"))
+    w, n = F.col("__w"), F.size("__w")
+    first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
+    runs = words.where(n > 0).select(doc_col, *keep, "__w", first.alias("__first"))
+    end = lambda k: F.coalesce(F.get("__first", k + 1), n)
+    cells = F.transform("__first", lambda i, k: F.struct(F.get(w, i).alias("term"), (end(k) - i).cast("long").alias("tf")))
+    term = F.col("term")
+    return (runs.select(doc_col, *keep, F.inline(cells))
+            .where(~term.isin(stop) & (F.lit(True) if parity else term != "")))
+
+
 def term_frequencies(terms_df: DataFrame, doc_col: str = "event_id",
                      keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc, *keep, term, tf): occurrences of each term in each document.
@@ -171,27 +196,54 @@ def text_pipeline(classifier, text_col: str = "review_text", vocab_size: int = 5
                     + [classifier])
 
 
-def numeric_features(df: DataFrame, train: DataFrame, app_col: str = "app_id",
-                     text_col: str = "review_text", class_col: str = "sentiment",
-                     votes_col: str = "review_votes", key: str = "event_id") -> DataFrame:
-    """(key, text length, word count, votes, app review count, app positive ratio).
+# the numeric features of a review (E1), in vector order
+NUMERIC_FEATURES = ["review_text_length", "review_text_word_count", "review_votes", "app_review_count", "app_positive_ratio"]
+
+
+def with_numeric(df: DataFrame, train: DataFrame, app_col: str = "app_id",
+                 text_col: str = "review_text", class_col: str = "sentiment",
+                 votes_col: str = "review_votes") -> DataFrame:
+    """``df`` plus text length, word count, app review count and app positive ratio.
 
     App statistics come from ``train`` only (computing them on all rows would
     leak test labels into the features); apps unseen in training get nulls.
     The per-app frame has one row per app and is joined by AQE's choice.
     """
-    apps = train.groupBy(app_col).agg(
+    apps = train.groupBy(F.col(app_col).alias("__app")).agg(
         F.count(F.lit(1)).alias("app_review_count"),
         F.avg(F.when(F.col(class_col) == "positive", 1.0).otherwise(0.0)).alias("app_positive_ratio"))
     words = F.size(tokens_expr(text_col))
-    return (df.select(key, app_col,
-                      F.length(text_col).cast("long").alias("review_text_length"),
-                      F.when(F.col(text_col).isNull(), None).otherwise(words).cast("long")
-                      .alias("review_text_word_count"),
-                      F.col(votes_col).alias("review_votes"))
-            .join(apps, app_col, "left")
-            .select(key, "review_text_length", "review_text_word_count", "review_votes",
-                    "app_review_count", "app_positive_ratio"))
+    rows = df.withColumns({
+        "review_text_length": F.length(text_col).cast("long"),
+        "review_text_word_count": F.when(F.col(text_col).isNull(), None).otherwise(words).cast("long"),
+        "review_votes": F.col(votes_col)})
+    return rows.join(apps, F.col(app_col) == F.col("__app"), "left").drop("__app")
+
+
+def numeric_features(df: DataFrame, train: DataFrame, app_col: str = "app_id",
+                     text_col: str = "review_text", class_col: str = "sentiment",
+                     votes_col: str = "review_votes", key: str = "event_id") -> DataFrame:
+    """(key, text length, word count, votes, app review count, app positive ratio): ``with_numeric``'s columns alone."""
+    narrow = list(dict.fromkeys([key, app_col, text_col, votes_col]))
+    return with_numeric(df.select(*narrow), train, app_col, text_col, class_col, votes_col).select(key, *NUMERIC_FEATURES)
+
+
+def mixed_stages(text_stages: list, numeric: list[str] = NUMERIC_FEATURES, out_col: str = "features") -> list:
+    """Text feature stages followed by scaled numeric columns, as one sparse-text-plus-numbers vector.
+
+    ``text_stages`` end in the text vector (``features``). Missing numbers take
+    the training mean; numbers are divided by their training deviation and not
+    centred, so that the text part stays sparse. Both are fitted with the
+    pipeline, on its training rows only.
+    """
+    from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+    text_stages[-1].setOutputCol("text_features")
+    filled = [f"{c}_filled" for c in numeric]
+    return [*text_stages,
+            Imputer(inputCols=numeric, outputCols=filled),
+            VectorAssembler(inputCols=filled, outputCol="numbers"),
+            StandardScaler(inputCol="numbers", outputCol="scaled_numbers", withMean=False, withStd=True),
+            VectorAssembler(inputCols=["text_features", "scaled_numbers"], outputCol=out_col)]
 
 
 def class_weights(df: DataFrame, label_col: str = "label_text") -> DataFrame:

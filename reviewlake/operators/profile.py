@@ -188,27 +188,85 @@ def exact_percentiles(df: DataFrame, value: Column, probs: tuple[float, ...],
     return h.groupBy(*g).agg(*aggs)
 
 
+def length_counts(df: DataFrame, class_col: str = "sentiment", text_col: str = "review_text") -> DataFrame:
+    """(class, length, n): the mergeable histogram that length reports come from.
+
+    One partial/final aggregation; its rows are bounded by the classes and the
+    longest text, not by the data. Null texts have a null length. Histograms of
+    parts of a table add up to the table's (``merge_length_counts``).
+    """
+    return df.groupBy(class_col, _length(df, text_col).alias("length")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_length_counts(counts: DataFrame, class_col: str = "sentiment") -> DataFrame:
+    """(class, length, n) of all parts stacked in ``counts``."""
+    return counts.groupBy(class_col, "length").agg(F.sum("n").alias("n"))
+
+
+def _percentile(p: float, value: str, cum: str, total: str) -> Column:
+    """Linear interpolation between the two values around place p * (total - 1)."""
+    pos = F.lit(float(p)) * (F.col(total) - 1)
+    at = lambda place: F.min(F.when(F.col(cum) > place, F.col(value))).cast("double")
+    return at(F.floor(pos)) + (at(F.ceil(pos)) - at(F.floor(pos))) * F.max(pos - F.floor(pos))
+
+
+def length_stats_of(counts: DataFrame, class_col: str = "sentiment") -> DataFrame:
+    """Per class: n, mean, sample deviation, median and P75 from (class, length, n).
+
+    One shuffle by class of the distinct lengths; windows give the running
+    count, the total and the mean, one aggregate the rest. A class of null
+    texts only has n = 0 and nulls.
+    """
+    whole = Window.partitionBy(class_col)
+    run = whole.orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
+    n = F.when(F.col("length").isNotNull(), F.col("n")).otherwise(0)
+    h = counts.withColumn("__k", n)
+    h = h.withColumns({"__cum": F.sum("__k").over(run), "__n": F.sum("__k").over(whole),
+                       "__mean": F.try_divide(F.sum(F.col("length").cast("double") * F.col("__k")).over(whole),
+                                              F.sum("__k").over(whole).cast("double"))})
+    off = F.col("length") - F.col("__mean")
+    squares = F.sum(F.col("__k") * off * off)
+    return (h.groupBy(class_col)
+            .agg(F.max("__n").alias("n"), F.max("__mean").alias("mean_length"),
+                 F.sqrt(F.try_divide(squares, F.max("__n") - 1)).alias("std_length"),
+                 _percentile(0.5, "length", "__cum", "__n").alias("median_length"),
+                 _percentile(0.75, "length", "__cum", "__n").alias("p75_length"))
+            .orderBy(class_col))
+
+
+def length_quantiles_of(counts: DataFrame, probs: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """One row of length quantiles over all classes from (class, length, n)."""
+    per_length = counts.where(F.col("length").isNotNull()).groupBy("length").agg(F.sum("n").alias("n"))
+    run = Window.orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
+    h = per_length.withColumns({"__cum": F.sum("n").over(run), "__n": F.sum("n").over(Window.partitionBy())})
+    return h.agg(*[_percentile(p, "length", "__cum", "__n").alias(f"p{round(p * 100)}") for p in probs])
+
+
+def length_summary_of(counts: DataFrame, class_col: str = "sentiment") -> DataFrame:
+    """(class, review_count, avg_review_text_length) from (class, length, n)."""
+    known = F.when(F.col("length").isNotNull(), F.col("n"))
+    return (counts.groupBy(class_col)
+            .agg(F.sum("n").alias("review_count"),
+                 F.try_divide(F.sum(F.col("length") * F.col("n")).cast("double"), F.sum(known).cast("double"))
+                 .alias("avg_review_text_length")).orderBy(class_col))
+
+
 def length_stats(df: DataFrame, class_col: str = "sentiment", text_col: str = "review_text",
                  exact: bool = True, accuracy: int = 100000) -> DataFrame:
-    """Per class: mean, sample std, median and P75 of text length.
+    """Per class: n, mean, sample std, median and P75 of text length, from one scan.
 
-    Exact percentiles interpolate linearly (as pandas does) and come from
-    ``exact_percentiles`` (distributed length histogram); ``exact=False``
-    uses the mergeable ``percentile_approx`` sketch instead.
+    Exact percentiles interpolate linearly (as pandas does) and come, like the
+    moments, from the distributed length histogram; ``exact=False`` uses the
+    mergeable ``percentile_approx`` sketch instead.
     """
-    ln = _length(df, text_col)
-    moments = df.groupBy(class_col).agg(F.count(ln).alias("n"), F.avg(ln).alias("mean_length"),
-                                        F.stddev_samp(ln).alias("std_length"))
     if exact:
-        q = exact_percentiles(df, ln, (0.5, 0.75), (class_col,), "q")
-    else:
-        q = (df.groupBy(class_col)
-             .agg(F.percentile_approx(ln, [0.5, 0.75], accuracy).cast("array<double>").alias("_q"))
-             .select(class_col, F.col("_q")[0].alias("q0"), F.col("_q")[1].alias("q1")))
-    # both sides have one row per class
-    return (moments.join(q, class_col, "left")
+        return length_stats_of(length_counts(df, class_col, text_col), class_col)
+    ln = _length(df, text_col)
+    return (df.groupBy(class_col)
+            .agg(F.count(ln).alias("n"), F.avg(ln).alias("mean_length"), F.stddev_samp(ln).alias("std_length"),
+                 F.percentile_approx(ln, [0.5, 0.75], accuracy).cast("array<double>").alias("_q"))
             .select(class_col, "n", "mean_length", "std_length",
-                    F.col("q0").alias("median_length"), F.col("q1").alias("p75_length"))
+                    F.col("_q")[0].alias("median_length"), F.col("_q")[1].alias("p75_length"))
             .orderBy(class_col))
 
 
@@ -217,12 +275,10 @@ def length_quantiles(df: DataFrame, text_col: str = "review_text",
                      accuracy: int = 100000) -> DataFrame:
     """One row of length quantiles over all rows (``p25``, ``p50``, ``p75``)."""
     ln = _length(df, text_col)
-    names = [f"p{round(p * 100)}" for p in probs]
     if exact:
-        q = exact_percentiles(df, ln, probs, (), "q")
-        return q.select([F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
+        return length_quantiles_of(df.groupBy(ln.alias("length")).agg(F.count(F.lit(1)).alias("n")), probs)
     row = df.agg(F.percentile_approx(ln, list(probs), accuracy).cast("array<double>").alias("_q"))
-    return row.select([F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return row.select([F.col("_q")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(probs)])
 
 
 def length_histogram(df: DataFrame, bins: int = 60, class_col: str = "sentiment",
@@ -316,23 +372,35 @@ def profile(df: DataFrame, app_col: str = "app_id", class_col: str = "sentiment"
     """(metric, value): the profiling job's scalar reports from ONE scan.
 
     Total rows, distinct apps and classes, null and blank counts of every
-    column, rows and mean text length per class: one aggregation (the two
-    distinct counts share Catalyst's Expand), instead of one action per report.
+    column, rows and mean text length per class. Rows are first summed up by
+    (app, class), partially in each task; only that small frame meets the two
+    distinct counts, so no row is expanded for them. Instead of the text itself
+    ``df`` may have ``review_text_length`` and ``review_text_blank``, computed
+    where the text is stored (``sources.reviews(..., text="flags")``).
     """
-    text = _length(df, text_col)
-    cls = F.col(class_col)
-    aggs = [F.count(F.lit(1)).cast("double").alias("total_rows"),
-            F.countDistinct(app_col).cast("double").alias("unique_apps"),
-            F.countDistinct(class_col).cast("double").alias("unique_sentiments")]
+    ln, flag = _length(df, text_col), f"{text_col}_blank"
+    counts: dict[str, Column] = {}
     for f in df.schema.fields:
-        aggs.append(F.count(F.when(F.col(f.name).isNull(), 1)).cast("double").alias(f"null_{f.name}"))
-        if f.dataType.simpleString() == "string":
-            aggs.append(F.count(F.when(strip_py(F.col(f.name)) == "", 1)).cast("double")
-                        .alias(f"blank_{f.name}"))
+        if f.name == flag:
+            counts[f"blank_{text_col}"] = F.col(flag)
+        elif f.name == LENGTH_COL:
+            counts[f"null_{text_col}"] = F.col(f.name).isNull()
+        else:
+            counts[f"null_{f.name}"] = F.col(f.name).isNull()
+            if f.dataType.simpleString() == "string":
+                counts[f"blank_{f.name}"] = strip_py(F.col(f.name)) == ""
+    names = list(counts)
+    part = df.groupBy(F.col(app_col).alias("__app"), F.col(class_col).alias("__class")).agg(
+        F.count(F.lit(1)).alias("__n"), F.count(ln).alias("__texts"), F.sum(ln).alias("__chars"),
+        *[F.count(F.when(counts[c], 1)).alias(c) for c in names])
+    aggs = [F.coalesce(F.sum("__n"), F.lit(0)).cast("double").alias("total_rows"),
+            F.countDistinct("__app").cast("double").alias("unique_apps"),
+            F.countDistinct("__class").cast("double").alias("unique_sentiments"),
+            *[F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in names]]
     for c in classes:
-        aggs.append(F.count(F.when(cls == c, 1)).cast("double").alias(f"rows_{c}"))
-        aggs.append(F.avg(F.when(cls == c, text)).alias(f"avg_length_{c}"))
-    wide = df.agg(*aggs)
-    names = wide.columns
-    args = ", ".join(f"'{n}', `{n}`" for n in names)
-    return wide.select(F.expr(f"stack({len(names)}, {args}) AS (`metric`, `value`)"))
+        mine = lambda x, c=c: F.sum(F.when(F.col("__class") == c, F.col(x)))
+        aggs.append(F.coalesce(mine("__n"), F.lit(0)).cast("double").alias(f"rows_{c}"))
+        aggs.append(F.try_divide(mine("__chars").cast("double"), mine("__texts").cast("double")).alias(f"avg_length_{c}"))
+    wide = part.agg(*aggs)
+    args = ", ".join(f"'{n}', `{n}`" for n in wide.columns)
+    return wide.select(F.expr(f"stack({len(wide.columns)}, {args}) AS (`metric`, `value`)"))

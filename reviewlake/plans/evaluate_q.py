@@ -191,13 +191,7 @@ def q_evaluate(spark, sf):
 
 def comparison(spark, sf):
     """Wide comparison of three score thresholds (the report-op input)."""
-    rows = []
-    for t, name in _NAMES.items():
-        p = _pred(spark, sf, t)
-        m = V.classification_metrics(p, "label", "prediction")
-        a = V.auc(p, "label", "score").scalar()
-        rows.append(m.select(F.lit(name).alias("model_name"), "*", a.alias("area_under_roc")))
-    return R.concat_results(rows)
+    return V.threshold_metrics(scored(spark, sf), {name: t for t, name in _NAMES.items()})
 
 
 @register("compare_thresholds", _w(f"SELECT * FROM ({_COMPARISON_SQL}) c", _ROC))

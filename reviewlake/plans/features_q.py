@@ -17,6 +17,35 @@ _STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS_EN)
 # Java's \s is [ \t\n\x0B\f\r]; written out for RE2.
 _SPLIT = "'[ \\t\\n\\v\\f\\r]'"
 
+
+
+def slots_sql(source: str, term: str, n: int) -> str:
+    """CTEs ending in ``slots`` (term, slot): Murmur3 (32 bits, seed 42) of a term's bytes, modulo ``n``, as MLlib hashes."""
+    m = "4294967295::UBIGINT"
+
+    def mul(x: str, c: int) -> str:
+        return f"(({x}) * {c}::UBIGINT) & {m}"
+
+    def rotl(x: str, r: int) -> str:
+        return f"((({x}) << {r}::UBIGINT) | (({x}) >> {32 - r}::UBIGINT)) & {m}"
+
+    def mixed(x: str) -> str:                          # of a list of 32-bit words
+        once = f"list_transform({x}, lambda k: {mul('k', 0xcc9e2d51)})"
+        return f"list_transform({once}, lambda k: {mul(rotl('k', 15), 0x1b873593)})"
+
+    step = f"({rotl('xor(a, k)', 13)}) * 5::UBIGINT + {0xe6546b64}::UBIGINT"
+    return f"""h0 AS (SELECT DISTINCT {term} AS term, hex(encode({term})) AS x, octet_length(encode({term})) AS n FROM {source}),
+h1 AS (SELECT term, n, x[8 * (n // 4) + 1:] AS t, list_transform(range(0, n // 4), lambda i:
+         ('0x' || x[8 * i + 7:8 * i + 8] || x[8 * i + 5:8 * i + 6] || x[8 * i + 3:8 * i + 4] || x[8 * i + 1:8 * i + 2])::UBIGINT) AS b FROM h0),
+h2 AS (SELECT term, n, [('0x0' || t[5:6] || t[3:4] || t[1:2])::UBIGINT] AS t,
+              list_reduce(list_prepend(42::UBIGINT, {mixed('b')}), lambda a, k: ({step}) & {m}) AS h FROM h1),
+h3 AS (SELECT term, xor(xor(h, ({mixed('t')})[1]), n::UBIGINT) AS h FROM h2),
+h4 AS (SELECT term, {mul('xor(h, h >> 16::UBIGINT)', 0x85ebca6b)} AS h FROM h3),
+h5 AS (SELECT term, {mul('xor(h, h >> 13::UBIGINT)', 0xc2b2ae35)} AS h FROM h4),
+h6 AS (SELECT term, xor(h, h >> 16::UBIGINT)::BIGINT AS h FROM h5),
+slots AS MATERIALIZED (SELECT term, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {n} + {n}) % {n} AS slot FROM h6)"""
+
+
 _CORPUS = f"""
 tok AS (SELECT event_id, LABEL AS label,
                list_filter(string_split_regex(lower(review_text), {_SPLIT}), lambda x: x <> '') AS words
@@ -56,7 +85,7 @@ def labelled(spark, sf):
 
 def tf_frame(spark, sf):
     """(event_id, term, tf) over all documents."""
-    return X.term_frequencies(X.terms(corpus(spark, sf)))
+    return X.doc_terms(corpus(spark, sf))
 
 
 def vocab_frame(spark, sf):
@@ -112,18 +141,16 @@ SELECT 1, term, ln((w1 + 1.0) / (t1 + 1.0 * V)) FROM full_w, tot""",
     "\n, w AS", ", w AS", 1))
 def q_nb_theta(spark, sf):
     docs = labelled(spark, sf)
-    tf = X.term_frequencies(X.terms(docs, keep=("label",)), keep=("label",))
+    tf = X.doc_terms(docs, keep=("label",))
     vocab = X.vocabulary(tf, vocab_size=VOCAB_SIZE, min_df=MIN_DF)
     return X.nb_theta(X.tfidf(tf, vocab, docs, keep=("label",)), vocab)
 
 
-@register("hashing_tf", _sql("""
-SELECT event_id, len(fw)::BIGINT AS terms, TRUE AS in_range FROM filt WHERE len(fw) > 0"""))
+@register("hashing_tf", _sql(f""", {slots_sql("tf", "term", 20000)}
+SELECT event_id, slot::INT AS "index", sum(tf)::DOUBLE AS tf FROM tf JOIN slots USING (term) GROUP BY ALL"""))
 def q_hashing_tf(spark, sf):
-    """Hashed counts of every document, 20,000 slots, checked by their totals (no Murmur3 in SQL)."""
-    cells = X.hashing_tf(X.remove_stopwords(X.tokenize(corpus(spark, sf))), num_features=20000)
-    return cells.groupBy("event_id").agg(F.sum("tf").cast("long").alias("terms"),
-                                         F.bool_and(F.col("index").between(0, 19999)).alias("in_range"))
+    """Hashed counts of every document, 20,000 slots; the hash is recomputed in SQL."""
+    return X.hashing_tf(X.remove_stopwords(X.tokenize(corpus(spark, sf))), num_features=20000)
 
 
 @register("term_lookup", _sql("""

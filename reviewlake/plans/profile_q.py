@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from reviewlake.operators import profile as P
 from reviewlake.operators.clean import model_frame
 from reviewlake.plans.registry import WS_SQL, register, with_views
+from reviewlake.streaming.pipeline import read_length_counts
 from reviewlake.sources.tables import activity, reviews, texts
 
 _REVIEW_COLS = ["event_id", "event_type", "app_id", "app_name", "review_text",
@@ -131,6 +132,18 @@ def q_length_stats(spark, sf):
     return P.length_stats(reviews(spark, sf, text="length"))
 
 
+@register("stored_length_stats", with_views("""
+SELECT sentiment, count(length(t)) AS n, avg(length(t)) AS mean_length, stddev_samp(length(t)) AS std_length,
+       quantile_cont(length(t), 0.5) AS median_length, quantile_cont(length(t), 0.75) AS p75_length
+FROM (SELECT sentiment, coalesce(trim(review_text, """ + WS_SQL + """), '') AS t FROM reviews) s GROUP BY sentiment""", "reviews"))
+def q_stored_length_stats(spark, sf):
+    """Silver ingested in several batches: the report adds up the histograms stored
+    beside each of them and reads no silver row."""
+    from reviewlake.plans.ingest_q import ingest_in_batches
+    counts = ingest_in_batches(spark, sf)
+    return P.length_stats_of(P.merge_length_counts(read_length_counts(spark, counts)))
+
+
 @register("length_quantiles", with_views("""
 SELECT quantile_cont(length(review_text), 0.25) AS p25,
        quantile_cont(length(review_text), 0.5) AS p50,
@@ -215,4 +228,4 @@ def _profile_sql() -> str:
 @register("profile", _profile_sql())
 def q_profile(spark, sf):
     """Every scalar profiling report in one scan of the review table."""
-    return P.profile(reviews(spark, sf))
+    return P.profile(reviews(spark, sf, text="flags"))

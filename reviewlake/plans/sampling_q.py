@@ -19,43 +19,62 @@ def _hash_rank(partition: str | None, key: str = "event_id") -> str:
     return f"row_number() OVER ({part}ORDER BY md5(CAST({key} AS VARCHAR)), {key})"
 
 
-@register("balanced_sample", with_views(f"""
-SELECT event_id, label_text FROM (
-  SELECT *, {_hash_rank('label_text')} AS rn FROM ({_MODEL_FRAME}) m) t
-WHERE rn <= 50""", "reviews"))
-def q_balanced_sample(spark, sf):
-    mf = C.model_frame(reviews(spark, sf))
-    return S.balanced_sample(mf, 50).select("event_id", "label_text")
+# The reference's sample sizes, and small ones that cut every group of the test tables.
+SIZES = {"": {"balanced": 25000, "union": 100000, "balance": 25000, "group": 75000, "n": 3000},
+         "_small": {"balanced": 50, "union": 40, "balance": 50, "group": 5, "n": 100}}
 
 
-@register("class_filter", with_views(
-    f"SELECT event_id, label_text FROM ({_MODEL_FRAME}) m WHERE label_text = 'negative'",
-    "reviews"))
-def q_class_filter(spark, sf):
-    return C.class_filter(C.model_frame(reviews(spark, sf)), "negative").select(
-        "event_id", "label_text")
-
-
-@register("union_classes", with_views(f"""
+def _register_samples(suffix: str, size: dict[str, int]) -> None:
+    """The sampling queries at one set of sizes."""
+    @register(f"balanced_sample{suffix}", with_views(f"""
 SELECT event_id, label_text FROM (
   SELECT *, {_hash_rank('label_text')} AS rn FROM ({_MODEL_FRAME}) m) t
-WHERE rn <= 40""", "reviews"))
-def q_union_classes(spark, sf):
-    mf = C.model_frame(reviews(spark, sf)).select("event_id", "label_text")
-    neg = S.sample_n(C.class_filter(mf, "negative"), 40)
-    pos = S.sample_n(C.class_filter(mf, "positive"), 40)
-    return union_classes(neg, pos)
+WHERE rn <= {size['balanced']}""", "reviews"))
+    def q_balanced_sample(spark, sf):
+        mf = C.model_frame(reviews(spark, sf))
+        return S.balanced_sample(mf, size["balanced"]).select("event_id", "label_text")
 
+    @register(f"union_classes{suffix}", with_views(f"""
+SELECT event_id, label_text FROM (
+  SELECT *, {_hash_rank('label_text')} AS rn FROM ({_MODEL_FRAME}) m) t
+WHERE rn <= {size['union']}""", "reviews"))
+    def q_union_classes(spark, sf):
+        mf = C.model_frame(reviews(spark, sf)).select("event_id", "label_text")
+        return union_classes(*[S.sample_n(C.class_filter(mf, c), size["union"]) for c in ("negative", "positive")])
 
-@register("class_balance_comparison", with_views(f"""
+    @register(f"class_balance_comparison{suffix}", with_views(f"""
 SELECT 'real' AS source, label_text, count(*) AS count FROM ({_MODEL_FRAME}) m GROUP BY label_text
 UNION ALL
 SELECT 'balanced', label_text, count(*) FROM (
   SELECT *, {_hash_rank('label_text')} AS rn FROM ({_MODEL_FRAME}) m) t
-WHERE rn <= 50 GROUP BY label_text""", "reviews"))
-def q_class_balance_comparison(spark, sf):
-    mf = C.model_frame(reviews(spark, sf))
-    return P.class_balance_comparison(mf, S.balanced_sample(mf, 50))
+WHERE rn <= {size['balance']} GROUP BY label_text""", "reviews"))
+    def q_class_balance_comparison(spark, sf):
+        mf = C.model_frame(reviews(spark, sf))
+        return P.class_balance_comparison(mf, S.balanced_sample(mf, size["balance"]))
+
+    @register(f"per_group_sample{suffix}", with_views(f"""
+SELECT event_id, app_id FROM (SELECT *, {_hash_rank('app_id')} AS rn FROM texts) t
+WHERE rn <= {size['group']}""", "texts"))
+    def q_per_group_sample(spark, sf):
+        return S.per_group_sample(texts(spark, sf), size["group"], "app_id").select("event_id", "app_id")
+
+    @register(f"sample_n{suffix}", with_views(f"""
+SELECT event_id FROM (SELECT *, {_hash_rank(None)} AS rn FROM texts) t
+WHERE rn <= {size['n']}""", "texts"))
+    def q_sample_n(spark, sf):
+        return S.sample_n(texts(spark, sf), size["n"]).select("event_id")
+
+
+for _suffix, _size in SIZES.items():
+    _register_samples(_suffix, _size)
+
+
+@register("class_filter", with_views(
+    f"SELECT event_id, label_text FROM ({_MODEL_FRAME}) m WHERE label_text = 'negative'",
+    "reviews"))
+def q_class_filter(spark, sf):
+    return C.class_filter(C.model_frame(reviews(spark, sf)), "negative").select(
+        "event_id", "label_text")
 
 
 @register("hash_split", with_views(f"""
@@ -65,20 +84,6 @@ def q_hash_split(spark, sf):
     return S.hash_split(texts(spark, sf), "event_id", 0.8).select("event_id", "split")
 
 
-@register("per_group_sample", with_views(f"""
-SELECT event_id, app_id FROM (SELECT *, {_hash_rank('app_id')} AS rn FROM texts) t
-WHERE rn <= 5""", "texts"))
-def q_per_group_sample(spark, sf):
-    return S.per_group_sample(texts(spark, sf), 5, "app_id").select("event_id", "app_id")
-
-
-@register("sample_n", with_views(f"""
-SELECT event_id FROM (SELECT *, {_hash_rank(None)} AS rn FROM texts) t
-WHERE rn <= 100""", "texts"))
-def q_sample_n(spark, sf):
-    return S.sample_n(texts(spark, sf), 100).select("event_id")
-
-
 @register("leakage_check", with_views(f"""
 SELECT event_id FROM texts te
 WHERE NOT ({_TRAIN})

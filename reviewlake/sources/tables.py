@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake.functions.exprs import strip_py
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -30,11 +32,14 @@ def reviews(spark: SparkSession, sf_dir: str, text: str = "text") -> DataFrame:
     computed on the documents side *before* the join: length-only reports
     then shuffle an int per row instead of the whole text (Catalyst prunes
     columns through a join but does not push expressions below it).
+    ``text="flags"`` adds ``review_text_blank`` in the same way.
     """
     d = table(spark, sf_dir, "documents")
-    if text == "length":
-        d = d.select("doc_id", "source", F.length("text").alias("review_text_length"))
-        text_cols = [F.col("d.review_text_length")]
+    if text in ("length", "flags"):
+        made = {"review_text_length": F.length("text"), "review_text_blank": strip_py("text") == ""}
+        names = list(made)[:1 if text == "length" else 2]
+        d = d.select("doc_id", "source", *[made[n].alias(n) for n in names])
+        text_cols = [F.col(f"d.{n}") for n in names]
     else:
         text_cols = [F.col("d.text").alias("review_text")]
     d = d.alias("d")
