@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 
 from reviewlake.operators import clean as C
 from reviewlake.plans.registry import WS_SQL, register, with_views
-from reviewlake.schemas import PANDAS_NULL_TOKENS
+from reviewlake.schemas import PANDAS_NULL_TOKENS, REVIEW_SCHEMA
 from reviewlake.session import scratch_dir
 from reviewlake.sinks.stream import event_records, publish_events
 from reviewlake.sinks.tables import read_silver, write_silver
 from reviewlake.sources.csv import scan_reviews_csv
 from reviewlake.sources.tables import activity, reviews, scan_columns, table
-from reviewlake.streaming.pipeline import stream_source, stream_to_bronze
+from reviewlake.streaming.pipeline import silver_stream, stream_source, stream_to_bronze, write_dedup
 
 _WS = WS_SQL
 _EVENT_COLS = ["event_id", "event_type", "app_id", "app_name", "review_text",
@@ -92,6 +92,20 @@ def q_bronze_to_silver(spark, sf):
     return C.bronze_to_silver(bronze).select(*_EVENT_COLS)
 
 
+def ingest_in_batches(spark, sf) -> str:
+    """reviews published in three batches, each streamed to bronze and silver as it
+    arrives by bytes; the folder of the batches' length histograms."""
+    out = scratch_dir(spark, "batches")
+    built = _built(spark, sf).where(F.col("reject_reason").isNull()).drop("reject_reason")
+    for part in range(3):
+        publish_events(built.where(F.pmod("event_id", F.lit(3)) == part), f"{out}/topic", batch_id=str(part))
+        src = stream_source(spark, f"{out}/topic", max_bytes_per_trigger=1 << 20)
+        stream_to_bronze(src, f"{out}/bronze", f"{out}/_b")
+        bronze = spark.readStream.schema(spark.read.parquet(f"{out}/bronze").schema).parquet(f"{out}/bronze")
+        silver_stream(bronze, f"{out}/silver", f"{out}/rejects", f"{out}/_s", counts_path=f"{out}/lengths")
+    return f"{out}/lengths"
+
+
 @register("clean_events", with_views(_BUILT_SQL, "reviews"))
 def q_clean_events(spark, sf):
     """Batch form: records -> bronze projection -> parse, normalise, validate."""
@@ -161,6 +175,30 @@ def q_dedup_events(spark, sf):
     return C.dedup_events(a, key="app_id", order=("event_time",))
 
 
+@register("dedup_stream", "SELECT event_id, ts AS event_time, user_id FROM events")
+def q_dedup_stream(spark, sf):
+    """Events arriving in time order, every file twice, in micro-batches bounded by bytes and
+    with a restart in between: the second run's state drops what the first has written."""
+    out = scratch_dir(spark, "dedup")
+    ev = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id")
+    t = F.unix_micros("event_time")
+    lo, hi = ev.agg(F.min(t), F.max(t)).first()
+    slot = F.floor((t - F.lit(lo or 0)) * 6 / F.lit((hi or 0) - (lo or 0) + 1))
+
+    def arrive(part: int) -> None:
+        ev.where(slot == part).write.mode("append").parquet(f"{out}/files")
+
+    def drain() -> None:
+        src = stream_source(spark, f"{out}/files", fmt="parquet", schema=ev.schema, max_bytes_per_trigger=1 << 20)
+        write_dedup(src, f"{out}/deduped", f"{out}/_ckpt", lateness="1 hour")
+
+    for parts in ((0, 0, 1, 1, 2, 2), (2, 3, 3, 4, 4, 5, 5)):
+        for part in parts:
+            arrive(part)
+        drain()
+    return spark.read.parquet(f"{out}/deduped")
+
+
 def _null_tok(c: str) -> str:
     toks = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_NULL_TOKENS)
     return f"CASE WHEN {c} IN ({toks}) THEN NULL ELSE {c} END"
@@ -181,11 +219,17 @@ def q_scan_reviews_csv(spark, sf):
     return scan_reviews_csv(spark, f"{out}/reviews_csv")
 
 
-@register("publish_events")
+@register("publish_events", with_views(f"""
+SELECT CAST(app_id AS VARCHAR) AS key, 'reviews' AS topic, event_id AS "offset", app_id, review_score, sentiment,
+       length(coalesce(trim(review_text, {_WS}), '')) AS text_chars
+FROM reviews""", "reviews"))
 def q_publish_events(spark, sf):
-    """Review events published as keyed JSON records and read back (rows-only)."""
+    """Review events published as keyed JSON records, the same batch twice; what the topic then holds."""
     out = scratch_dir(spark, "topic")
     built = _built(spark, sf).where(F.col("reject_reason").isNull()).drop("reject_reason")
-    publish_events(built, f"{out}/topic", fmt="json")
-    return spark.read.schema(event_records(built).schema).json(f"{out}/topic").select(
-        "key", "topic", "partition", "offset")
+    for _ in range(2):
+        publish_events(built, f"{out}/topic", fmt="json", batch_id="2024-01-01")
+    records = spark.read.schema(event_records(built).schema).json(f"{out}/topic")
+    value = F.from_json("value", REVIEW_SCHEMA)
+    return records.select("key", "topic", "offset", value["app_id"].alias("app_id"), value["review_score"].alias("review_score"),
+                          value["sentiment"].alias("sentiment"), F.length(value["review_text"]).alias("text_chars"))

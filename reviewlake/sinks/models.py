@@ -34,13 +34,18 @@ def model_params(model: PipelineModel) -> dict[str, str]:
     return out
 
 
+def write_runs(spark: SparkSession, runs_path: str, runs: list[tuple], mode: str = "overwrite") -> DataFrame:
+    """Write run records (name, params, metrics, artifact paths, start, end) as a table."""
+    rows = [(name, {k: str(v) for k, v in params.items()}, {k: float(v) for k, v in metrics.items()}, dict(artifacts),
+             start, end) for name, params, metrics, artifacts, start, end in runs]
+    df = spark.createDataFrame(rows, RUNS_SCHEMA)
+    df.write.mode(mode).parquet(runs_path)
+    return df
+
+
 def track_run(spark: SparkSession, runs_path: str, run_name: str, params: dict[str, str],
               metrics: dict[str, float], artifacts: dict[str, str],
               start_time: dt.datetime, end_time: dt.datetime | None = None) -> DataFrame:
     """Append one run record (name, params, metrics, artifact paths, times) to a table."""
     end_time = end_time or dt.datetime.now(dt.timezone.utc)
-    row = [(run_name, {k: str(v) for k, v in params.items()},
-            {k: float(v) for k, v in metrics.items()}, dict(artifacts), start_time, end_time)]
-    df = spark.createDataFrame(row, RUNS_SCHEMA)
-    df.write.mode("append").parquet(runs_path)
-    return df
+    return write_runs(spark, runs_path, [(run_name, params, metrics, artifacts, start_time, end_time)], "append")

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.schemas import REVIEW_SCHEMA
+from reviewlake.sinks.tables import _fs
+
+# a batch's folder; the letter keeps its id a string where it is read as a partition value
+_BATCH = "batch=b-"
 
 
 def event_records(events: DataFrame, topic: str = "reviews", partitions: int = 8,
@@ -27,14 +33,29 @@ def event_records(events: DataFrame, topic: str = "reviews", partitions: int = 8
     )
 
 
+def published_batches(spark: SparkSession, target: str) -> list[str]:
+    """Ids of the batches committed on a file topic."""
+    fs, p, _ = _fs(spark, target)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n.removeprefix(_BATCH) for n in names if n.startswith(_BATCH))
+
+
 def publish_events(events: DataFrame, target: str, fmt: str = "json", topic: str = "reviews",
-                   options: dict[str, str] | None = None) -> None:
-    """Append events to a topic.
+                   options: dict[str, str] | None = None, batch_id: str | None = None) -> bool:
+    """Append events to a topic; whether anything was written.
+
+    A file topic takes a batch once: its records are written below a hidden
+    folder and appear in a folder of its name by one rename, whole or
+    not at all. A batch id that is already there is left alone and False comes
+    back, so a job that is run again adds nothing, and a stream that reads the
+    topic never sees half a batch. Without ``batch_id`` each call is a batch of
+    its own. (The rename must be atomic, as on HDFS and POSIX folders.)
+    ``streaming.stream_source`` picks batches up incrementally.
 
     ``fmt="kafka"``: ``target`` is the bootstrap server list and the batch
-    Kafka sink writes (key, value) with producer retries from ``options``.
-    Otherwise each call appends one batch of record files under ``target``,
-    which ``streaming.stream_source`` picks up incrementally.
+    Kafka sink writes (key, value) with producer retries from ``options``: at
+    least once, since a batch sink has no transactions. That path needs the
+    connector and has not been run on this image.
     """
     records = event_records(events, topic)
     if fmt == "kafka":
@@ -44,5 +65,19 @@ def publish_events(events: DataFrame, target: str, fmt: str = "json", topic: str
         for k, v in (options or {}).items():
             w = w.option(k, v)
         w.save()
-        return
-    records.write.mode("append").format(fmt).save(target)
+        return True
+    spark, target = events.sparkSession, target.rstrip("/")
+    batch_id = uuid.uuid4().hex if batch_id is None else str(batch_id)
+    if batch_id in published_batches(spark, target):
+        return False
+    draft = f"{target}/_draft-{uuid.uuid4().hex}"
+    records.write.mode("errorifexists").format(fmt).save(draft)
+    fs, final, jvm = _fs(spark, f"{target}/{_BATCH}{batch_id}")
+    source = jvm.org.apache.hadoop.fs.Path(draft)
+    # a rename onto a folder that appeared meanwhile would move the draft into it
+    moved = not fs.exists(final) and fs.rename(source, final)
+    if not moved:
+        fs.delete(source, True)
+        if not fs.exists(final):
+            raise OSError(f"could not commit {final}")
+    return moved
