@@ -9,6 +9,10 @@ report is derived from that one table.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
@@ -19,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.operators import evaluate as V
-from reviewlake.operators.features import feature_stages
+from reviewlake.operators.features import doc_terms, feature_stages, mixed_stages, vocabulary, with_numeric
 
 # Classifier settings of the reference jobs.
 SEED = 42
@@ -40,9 +44,10 @@ MODEL_NAMES = {
 }
 
 
-def classifier(kind: str, weight_col: str | None = None):
+def classifier(kind: str, weight_col: str | None = None, **more):
     """A fresh estimator of one kind, reading the ``features``/``label`` columns.
 
+    ``more`` replaces single settings of the fixed ones.
     ``weight_col`` (e.g. from ``features.with_class_weights``) weights the
     loss per row instead of undersampling the majority class.
     """
@@ -52,24 +57,38 @@ def classifier(kind: str, weight_col: str | None = None):
         "nb": (NaiveBayes, NB_PARAMS),
     }[kind]
     extra = {"weightCol": weight_col} if weight_col else {}
-    return cls(featuresCol="features", labelCol="label", **params, **extra)
+    return cls(featuresCol="features", labelCol="label", **{**params, **extra, **more})
 
 
 def fit_features(train: DataFrame, hashing: bool = False, vocab_size: int = VOCAB_SIZE,
-                 min_df: int = MIN_DF) -> PipelineModel:
-    """Fit label index, tokenizer, stop words, counts (CountVectorizer or HashingTF), IDF."""
+                 min_df: int = MIN_DF, numeric: bool = False) -> PipelineModel:
+    """Fit label index, tokenizer, stop words, counts (vocabulary or HashingTF), IDF.
+
+    The vocabulary is ``features.vocabulary`` over MLlib's own tokens: what
+    ``CountVectorizer`` would fit, but with equal counts ordered by term, so
+    that feature indices don't change with the layout of the data. Its terms
+    (at most ``vocab_size``) pass through the driver. ``numeric=True`` appends
+    the scaled numeric columns (E1) of ``features.with_numeric``.
+    """
     from pyspark.ml import Pipeline
+    from pyspark.ml.feature import CountVectorizerModel
     stages = feature_stages(vocab_size=vocab_size, min_df=min_df,
                             hashing_features=HASHING_FEATURES if hashing else None)
+    if not hashing:
+        found = vocabulary(doc_terms(train, train.columns[0], parity=True), vocab_size, min_df)
+        terms = [r["term"] for r in found.orderBy("rank").collect()]
+        stages[3] = CountVectorizerModel.from_vocabulary(terms, inputCol="filtered_words", outputCol="tf_features")
+    if numeric:
+        stages = mixed_stages(stages)
     return Pipeline(stages=stages).fit(train)
 
 
 def fit_classifier(features: PipelineModel, train: DataFrame, kind: str,
                    train_features: DataFrame | None = None,
-                   weight_col: str | None = None) -> PipelineModel:
+                   weight_col: str | None = None, **more) -> PipelineModel:
     """Fit one classifier on shared features; return the full pipeline model."""
     feats = train_features if train_features is not None else features.transform(train)
-    clf = classifier(kind, weight_col).fit(feats)
+    clf = classifier(kind, weight_col, **more).fit(feats)
     return PipelineModel(stages=list(features.stages) + [clf])
 
 
@@ -102,6 +121,20 @@ def train_nb(train: DataFrame) -> PipelineModel:
     return _train(train, "nb", hashing=False)
 
 
+# Iterations until a fit has converged: L-BFGS stops earlier at this tolerance.
+CONVERGED = {"maxIter": 1000, "tol": 1e-10}
+
+
+def train_lr_numeric(train: DataFrame) -> PipelineModel:
+    """Logistic regression on vocabulary tf-idf and the five scaled numeric features (E1), fitted until it converges.
+
+    ``train`` has the review columns; score rows with ``with_numeric(rows,
+    train)`` so that app statistics come from the training rows alone.
+    """
+    rows = with_numeric(train, train)
+    return fit_classifier(fit_features(rows, numeric=True), rows, "lr", **CONVERGED)
+
+
 def index_to_label(model: PipelineModel, pred: DataFrame, in_col: str = "prediction",
                    out_col: str = "prediction_text") -> DataFrame:
     """Predicted index -> label text with the fitted label indexer's labels."""
@@ -153,48 +186,76 @@ def feature_importance(spark: SparkSession, model: PipelineModel, model_name: st
     """(model_name, feature, importance): top ``top`` features by model family.
 
     Trees: importance desc; logistic regression: |coefficient| desc, sign
-    kept; Naive Bayes: |theta_1 - theta_0|. Index -> term through the
-    vocabulary (broadcast join, vocabulary-sized); ``feature_i`` /
-    ``hash_feature_i`` when there is none; a ``not_available`` row otherwise.
+    kept; Naive Bayes: |theta_1 - theta_0|; ties (at nine digits) by feature
+    name. Index -> term through the vocabulary (broadcast join,
+    vocabulary-sized); ``feature_i`` / ``hash_feature_i`` when there is none; a
+    ``not_available`` row otherwise.
     """
     clf = model.stages[-1]
     prefix = "feature_"
     if hasattr(clf, "featureImportances"):
         vals = clf.featureImportances.toArray()
-        order = [F.desc("value"), F.asc("index")]
     elif hasattr(clf, "coefficients"):
         vals = clf.coefficients.toArray()
-        order = [F.desc(F.abs("value")), F.asc("index")]
         prefix = "hash_feature_"
     elif hasattr(clf, "theta") and clf.theta.numRows >= 2:
         th = clf.theta.toArray()
         vals = abs(th[1] - th[0])
-        order = [F.desc("value"), F.asc("index")]
     else:
         return spark.createDataFrame([(model_name, "not_available", 0.0)],
                                      "model_name STRING, feature STRING, importance DOUBLE")
-    topk = _vector_frame(spark, vals).orderBy(*order).limit(top)
+    weights = _vector_frame(spark, vals)
     vocab = get_vocabulary(spark, model)
     if vocab is not None:
-        topk = topk.join(F.broadcast(vocab), "index", "left")
+        weights = weights.join(F.broadcast(vocab), "index", "left")
     else:
-        topk = topk.withColumn("term", F.lit(None).cast("string"))
+        weights = weights.withColumn("term", F.lit(None).cast("string"))
     name = F.coalesce(F.col("term"), F.concat(F.lit(prefix), F.col("index").cast("string")))
-    return topk.select(F.lit(model_name).alias("model_name"), name.alias("feature"),
-                       F.col("value").alias("importance"))
+    return (weights.select(F.lit(model_name).alias("model_name"), name.alias("feature"), F.col("value").alias("importance"))
+            .orderBy(F.desc(F.round(F.abs("importance"), 9)), "feature").limit(top))
+
+
+@dataclass
+class Comparison:
+    """A comparison job's results below its folder, read when asked for."""
+    spark: SparkSession
+    out: str
+
+    def metrics(self) -> DataFrame:
+        """One row per model: model_name and the five metrics."""
+        return self.spark.read.parquet(f"{self.out}/comparison")
+
+    def predictions(self, kind: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.out}/{kind}/predictions")
+
+    def importance(self, kind: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.out}/{kind}/importance")
+
+    def model_path(self, kind: str) -> str:
+        return f"{self.out}/{kind}/model"
+
+    def model(self, kind: str) -> PipelineModel:
+        return PipelineModel.load(self.model_path(kind))
+
+    def runs(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.out}/runs")
 
 
 def compare_models(train: DataFrame, test: DataFrame, out: str,
                    kinds: tuple[str, ...] = ("lr", "dt", "rf", "gbt", "nb"),
-                   score_col: str = "probability", parallel: bool = True):
+                   score_col: str = "probability", parallel: bool = True, key: str | None = None) -> Comparison:
     """Fit every model on the same rows, score the same test rows, evaluate, keep all.
 
-    Returns ``(comparison, models, predictions)``: the comparison has one row
-    per model (model_name + the five metrics). Below the shared folder ``out``
-    each model leaves ``<kind>/predictions`` (every test row), ``<kind>/confusion``,
-    ``<kind>/importance`` and ``<kind>/model``, and its record goes to ``runs``.
-    Feature stages are fitted once per feature kind; a model's reports all
-    read its one written prediction table.
+    Below the shared folder ``out`` each model leaves ``<kind>/predictions``
+    (every test row), ``<kind>/confusion``, ``<kind>/importance`` and
+    ``<kind>/model``; ``comparison`` has one row per model and ``runs`` its
+    record. Feature stages are fitted once per feature kind; all models'
+    written predictions are evaluated together, in one pass.
+
+    Each model is a committed step (``sinks.manifest``). With ``key``, a
+    fingerprint of the inputs, a rerun after a lost driver reads the models
+    that were committed under that key and fits only the others; without it
+    everything runs anew.
 
     ``parallel=True`` submits the independent fits from driver threads, so
     their (small, overhead-bound) jobs share the executors instead of
@@ -203,9 +264,12 @@ def compare_models(train: DataFrame, test: DataFrame, out: str,
     import datetime as dt
     from concurrent.futures import ThreadPoolExecutor
 
-    from reviewlake.sinks.models import model_params, save_model, track_run
+    from reviewlake.sinks.manifest import commit, committed, step
+    from reviewlake.sinks.models import model_params, save_model, write_runs
 
-    spark = train.sparkSession
+    spark, out = train.sparkSession, out.rstrip("/")
+    key = key or uuid.uuid4().hex
+    done = Comparison(spark, out)
 
     def run(fn, items):
         items = list(items)
@@ -219,36 +283,43 @@ def compare_models(train: DataFrame, test: DataFrame, out: str,
         # iterative fits read this many times; the training rows are bounded by the sample
         return hashing, (fm, fm.transform(train).persist(StorageLevel.MEMORY_AND_DISK))
 
-    feats = dict(run(featurise, sorted({k == "lr" for k in kinds})))
-
-    def fit_and_score(kind: str):
-        start = dt.datetime.now(dt.timezone.utc)
-        fm, tf = feats[kind == "lr"]
-        model = fit_classifier(fm, train, kind, tf)
-        base = f"{out.rstrip('/')}/{kind}"
-        keep = [c for c in test.columns if c in ("event_id", "review_text", "label_text")]
-        scored = score(model, test, score_col)
-        raw = vector_to_array("rawPrediction")[1].alias("raw_score")
-        cols = [*keep, "label", "prediction", "prediction_text", "probability", raw, "score"]
-        (scored.select(*cols).withColumn("probability", vector_to_array("probability"))
-         .write.mode("overwrite").parquet(f"{base}/predictions"))
-        pred = spark.read.parquet(f"{base}/predictions")
-        m = V.classification_metrics(pred, "label", "prediction")
-        metrics = m.select("*", V.auc(pred, "label", "score").scalar().alias("area_under_roc")).first().asDict()
-        V.confusion_matrix(pred).write.mode("overwrite").parquet(f"{base}/confusion")
-        feature_importance(spark, model, MODEL_NAMES[kind]).write.mode("overwrite").parquet(f"{base}/importance")
-        save_model(model, f"{base}/model")
-        return kind, model, pred, metrics, start
-
-    models, preds, rows = {}, {}, []
-    for kind, model, pred, metrics, start in run(fit_and_score, kinds):
-        base = f"{out.rstrip('/')}/{kind}"
-        track_run(spark, f"{out.rstrip('/')}/runs", MODEL_NAMES[kind], model_params(model),
-                  {k: v for k, v in metrics.items() if v is not None},
-                  {a: f"{base}/{a}" for a in ("model", "predictions", "confusion", "importance")}, start)
-        rows.append((MODEL_NAMES[kind], *(metrics[c] for c in METRICS)))
-        models[kind], preds[kind] = model, pred
+    missing = [k for k in kinds if committed(spark, f"{out}/{k}", key) is None]
+    feats = dict(run(featurise, sorted({k == "lr" for k in missing})))
+
+    def fit_and_score(kind: str) -> dict:
+        def made() -> dict:
+            start = dt.datetime.now(dt.timezone.utc)
+            fm, tf = feats[kind == "lr"]
+            model = fit_classifier(fm, train, kind, tf)
+            base = f"{out}/{kind}"
+            keep = [c for c in test.columns if c in ("event_id", "review_text", "label_text")]
+            scored = score(model, test, score_col)
+            raw = vector_to_array("rawPrediction")[1].alias("raw_score")
+            cols = [*keep, "label", "prediction", "prediction_text", "probability", raw, "score"]
+            (scored.select(*cols).withColumn("probability", vector_to_array("probability"))
+             .write.mode("overwrite").parquet(f"{base}/predictions"))
+            V.confusion_matrix(done.predictions(kind)).write.mode("overwrite").parquet(f"{base}/confusion")
+            feature_importance(spark, model, MODEL_NAMES[kind]).write.mode("overwrite").parquet(f"{base}/importance")
+            save_model(model, f"{base}/model")
+            return {"params": model_params(model), "start": start.isoformat(),
+                    "end": dt.datetime.now(dt.timezone.utc).isoformat()}
+        return step(spark, f"{out}/{kind}", key, made)
+
+    records = dict(zip(kinds, run(fit_and_score, kinds)))
     for _, tf in feats.values():
         tf.unpersist()
-    schema = "model_name STRING, " + ", ".join(f"{c} DOUBLE" for c in METRICS)
-    return spark.createDataFrame(rows, schema), models, preds
+
+    def compared() -> dict:
+        stacked = reduce(DataFrame.unionByName, [
+            done.predictions(k).select("label", "prediction", "score", F.lit(MODEL_NAMES[k]).alias("model_name")) for k in kinds])
+        V.evaluate_groups(stacked).select("model_name", *METRICS).write.mode("overwrite").parquet(f"{out}/comparison")
+        metrics = {r["model_name"]: r.asDict() for r in done.metrics().collect()}     # one row a model
+        write_runs(spark, f"{out}/runs", [
+            (MODEL_NAMES[k], records[k]["params"], {m: metrics[MODEL_NAMES[k]][m] for m in METRICS if metrics[MODEL_NAMES[k]][m] is not None},
+             {a: f"{out}/{k}/{a}" for a in ("model", "predictions", "confusion", "importance")},
+             dt.datetime.fromisoformat(records[k]["start"]), dt.datetime.fromisoformat(records[k]["end"])) for k in kinds])
+        return {"models": list(kinds)}
+
+    if committed(spark, out, key) != {"models": list(kinds)}:
+        commit(spark, out, compared(), key)
+    return done

@@ -75,24 +75,24 @@ def pivot_counts(confusion: DataFrame, labels: list[str], label_col: str = "labe
 
 
 def top_features_n(importance: DataFrame, n: int = 20) -> DataFrame:
-    """Top ``n`` features by absolute importance, sign kept; ties by feature name."""
+    """Top ``n`` features by absolute importance, sign kept; ties (at nine digits) by feature name."""
     return (importance.withColumn("abs_importance", F.abs("importance"))
-            .orderBy(F.desc("abs_importance"), F.asc("feature")).limit(n))
+            .orderBy(F.desc(F.round("abs_importance", 9)), F.asc("feature")).limit(n))
 
 
 def signed_features(importance: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` most positive and ``n`` most negative features."""
     pos = (importance.where(F.col("importance") > 0)
-           .orderBy(F.desc("importance"), "feature").limit(n).withColumn("direction", F.lit("positive")))
+           .orderBy(F.desc(F.round("importance", 9)), "feature").limit(n).withColumn("direction", F.lit("positive")))
     neg = (importance.where(F.col("importance") < 0)
-           .orderBy(F.asc("importance"), "feature").limit(n).withColumn("direction", F.lit("negative")))
+           .orderBy(F.asc(F.round("importance", 9)), "feature").limit(n).withColumn("direction", F.lit("negative")))
     return pos.unionByName(neg)
 
 
 def top_features_per_model(importance: DataFrame, n: int = 5,
                            name_col: str = "model_name") -> DataFrame:
     """(model_name, top_features): the ``n`` strongest features joined with ', '."""
-    w = Window.partitionBy(name_col).orderBy(F.desc(F.abs("importance")), F.asc("feature"))
+    w = Window.partitionBy(name_col).orderBy(F.desc(F.round(F.abs("importance"), 9)), F.asc("feature"))
     top = importance.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
     return (top.groupBy(name_col)
             .agg(F.sort_array(F.collect_list(F.struct("__rn", "feature"))).alias("__f"))

@@ -21,8 +21,9 @@ def fitted(spark):
     s = S.hash_split(C.model_frame(reviews(spark, SF_MID)))
     train, test = S.balanced_sample(S.train_part(s), 20), S.test_part(s)
     out = tempfile.mkdtemp(prefix="reviewlake-test-")
-    comp, models, preds = M.compare_models(train, test, out, kinds=("dt", "nb"))
-    return train, test, out, comp, models, preds
+    done = M.compare_models(train, test, out, kinds=("dt", "nb"))
+    models, preds = ({k: f(k) for k in ("dt", "nb")} for f in (done.model, done.predictions))
+    return train, test, out, done.metrics(), models, preds
 
 
 def test_a_small_training_sample_scores_every_test_row(spark, fitted):

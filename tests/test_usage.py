@@ -20,7 +20,7 @@ def test_readme_pipeline(spark, tmpdir_fresh):
      .write.option("header", True).option("escape", '"').csv(f"{root}/reviews.csv"))
 
     events = C.build_event(C.seq_id(scan_reviews_csv(spark, f"{root}/reviews.csv")))
-    publish_events(events.where("reject_reason IS NULL").drop("reject_reason"), f"{root}/topic")
+    publish_events(events.where("reject_reason IS NULL").drop("reject_reason"), f"{root}/topic", batch_id="reviews.csv")
     stream_to_bronze(stream_source(spark, f"{root}/topic"), f"{root}/bronze", f"{root}/_ckpt")
     write_silver(C.tag_events(spark.read.parquet(f"{root}/bronze")), f"{root}/silver")
     silver = scan_table(spark, f"{root}/silver").where("status = 'valid'")
@@ -28,8 +28,8 @@ def test_readme_pipeline(spark, tmpdir_fresh):
     write_report(P.top_apps(silver, 20), f"{root}/reports/top_apps")
     split = S.hash_split(C.model_frame(silver))
     train = S.balanced_sample(S.train_part(split), 25000)
-    comparison, _, _ = M.compare_models(train, S.test_part(split), f"{root}/models", kinds=("nb", "lr"))
-    write_report(comparison, f"{root}/reports/model_comparison")
+    done = M.compare_models(train, S.test_part(split), f"{root}/models", kinds=("nb", "lr"))
+    write_report(done.metrics(), f"{root}/reports/model_comparison")
 
     n = reviews(spark, SF_SMALL).count()
     assert silver.count() == n
