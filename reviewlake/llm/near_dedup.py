@@ -216,7 +216,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def _pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """From (bucket, node): candidate pairs (a, b), and the members of large buckets."""
+    """From (bucket, node): candidate pairs (a, b), and (node, buckets) of the members of large buckets."""
     sizes = totals(members, "bucket", size=F.count(F.lit(1))).where("size > 1")
     shared = members.join(sizes, "bucket")
     lists = (shared.where(F.col("size") <= small).groupBy("bucket")
@@ -225,13 +225,14 @@ def _pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
     within = F.flatten(F.transform("nodes", lambda x, i: F.transform(
         F.slice("nodes", i + 2, F.lit(small)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
     close = lists.select(F.explode(within).alias("p")).select("p.a", "p.b")
-    large = shared.where(F.col("size") > small)
-    meets = totals(large, "node", meets=F.sum("size"))
-    ranked = large.join(meets, "node").select("bucket", F.struct((-F.col("meets")).alias("less"), "node").alias("rank"))
+    # a node with its large buckets, one for each sketch at most
+    large = _written(shared.where(F.col("size") > small).groupBy("node").agg(
+        F.sum("size").alias("meets"), F.sort_array(F.collect_list(F.struct("nth", "bucket"))).alias("buckets")), "large")
+    ranked = large.select(F.explode("buckets.bucket").alias("bucket"), F.struct((-F.col("meets")).alias("less"), "node").alias("rank"))
     hubs = totals(ranked, "bucket", best=F.min("rank")).select("bucket", F.col("best.node").alias("hub"))
-    star = (large.join(hubs, "bucket").where(F.col("node") != F.col("hub"))
+    star = (ranked.select("bucket", "rank.node").join(hubs, "bucket").where(F.col("node") != F.col("hub"))
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
-    return close.unionByName(star), large.select("bucket", "node", "nth")
+    return close.unionByName(star), large.select("node", "buckets")
 
 
 def _folded(odd: list[bytes], bits: int) -> np.ndarray:
@@ -285,28 +286,25 @@ def _nearest(nearest: int) -> Callable:
 
 
 def _open(large: DataFrame, labels: DataFrame) -> DataFrame:
-    """From (node, buckets): the members of buckets of several classes, with the bucket's largest class and sizes."""
-    named = large.join(labels, "node", "left").select(
-        F.explode("buckets").alias("bucket"), "node", F.coalesce("label", "node").alias("label"))
-    classes = totals(named, "bucket", "label", n=F.count(F.lit(1)))
+    """From (node, buckets): (node, label, open), the buckets of several classes with their largest class and sizes."""
+    named = large.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "buckets")
+    members = named.select(F.explode("buckets").alias("bucket"), "node", "label")
+    classes = totals(members, "bucket", "label", n=F.count(F.lit(1)))
     mixed = totals(classes, "bucket", most=F.max(F.struct("n", "label")), n=F.sum("n"), classes=F.count(F.lit(1))).where(
         "classes > 1").select("bucket", F.col("most.label").alias("most"), F.col("most.n").alias("most_n"), "n")
-    return _written(named.join(mixed, "bucket"), "open")
+    return _written(members.join(mixed, "bucket").groupBy("node", "label").agg(
+        F.collect_list(F.struct("bucket", "most", "most_n", "n")).alias("open")), "open")
 
 
-def _by_node(members: DataFrame) -> DataFrame:
-    """(node, its buckets), at most one for each sketch."""
-    return members.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
-
-
-def _across(named: DataFrame, odd: DataFrame, nearest: int, block: int) -> DataFrame:
+def _across(open_: DataFrame, odd: DataFrame, nearest: int, block: int) -> DataFrame:
     """(a, b, more): pairs of open buckets across classes, to be verified.
 
-    Nodes outside a bucket's largest class meet all of the bucket, dealt in blocks.
+    Nodes outside a bucket's largest class meet all of the bucket, dealt in
+    blocks. Nodes meet their parities once, with all their buckets in one list.
     """
-    named = named.withColumns({"rows": F.ceil((F.col("n") - F.col("most_n")) / block), "cols": F.ceil(F.col("n") / block)})
-    nodes = _written(named.select("node").distinct(), "nodes")
-    full = named.join(odd.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "node")
+    full = (open_.join(odd.join(open_.select("node"), "node", "left_semi").dropDuplicates(["node"]), "node")
+            .select("node", "label", "size", "odd", F.inline("open"))
+            .withColumns({"rows": F.ceil((F.col("n") - F.col("most_n")) / block), "cols": F.ceil(F.col("n") / block)}))
     deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     columns = ["bucket", "row", "col", "side", F.col("node.key").alias("key"), F.col("node.crc").alias("crc"),
@@ -368,17 +366,19 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     members = _written(reps.select("node", F.posexplode("sketches").alias("nth", "bucket")).select("bucket", "node", "nth"), "members")
     first, large = _pairs(members, small)
-    # a large bucket's nodes again, by two neighbouring sketches
-    large = _written(large, "large")
-    after = large.select("node", ((F.col("nth") + sketches - 1) % sketches).alias("nth"), F.col("bucket").alias("bucket2"))
-    finer = large.join(after, ["node", "nth"]).select(F.xxhash64("bucket", "bucket2").alias("bucket"), "node", "nth")
-    second, _ = _pairs(finer, small)
+    # a large bucket's nodes again, by two neighbouring sketches: found in the node's own list
+    after = lambda x: F.filter("buckets", lambda y: y["nth"] == (x["nth"] + 1) % sketches)
+    both = F.transform(F.filter("buckets", lambda x: F.size(after(x)) > 0), lambda x: F.struct(
+        F.xxhash64(x["bucket"], F.get(after(x), F.lit(0))["bucket"]).alias("bucket"), x["nth"].alias("nth")))
+    second, _ = _pairs(large.select("node", F.inline(both)).select("bucket", "node", "nth"), small)
     pairs = _written(first.unionByName(second).distinct(), "pairs")
 
-    # One text per node, dealt by its key. A hub is in very many pairs: its text, among those of
-    # the pairs' first nodes, is dealt anew by the node, so that the engine can split its pairs.
-    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        one = texts.groupBy("key", "crc").agg(F.first("text").alias("text"))
+    # Only the texts of these pairs move, one per node, dealt by its key. A hub is in very many
+    # pairs: its text, among those of the pairs' first nodes, is dealt anew by the node, so that
+    # the engine can split its pairs.
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = _written(pairs.select("a.key", "a.crc").union(pairs.select("b.key", "b.crc")).distinct(), "ends")
+        one = texts.join(ends, ["key", "crc"], "left_semi").groupBy("key", "crc").agg(F.first("text").alias("text"))
         text_b = one.toDF("bk", "bc", "text_b")
         text_a = one.join(pairs.select("a.key", "a.crc").distinct(), ["key", "crc"], "left_semi").select(
             F.struct("key", "crc").alias("a"), F.col("text").alias("text_a"))
@@ -386,22 +386,21 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         checked = named.join(text_b, ["bk", "bc"]).drop("bk", "bc").join(text_a, "a").mapInArrow(_verify(shingle), pairs.schema)
         return _written(checked, "links")
 
-    links = verified(pairs, texts)
+    links, checked = verified(pairs), pairs
     labels = components(links)
     # a bucket of one class stays so: each round sees what the last one left open
-    open_ = _open(_by_node(large), labels)
+    open_ = _open(large.select("node", F.col("buckets.bucket").alias("buckets")), labels)
     while not open_.isEmpty():
         across = _across(open_, odd, nearest, block)
-        pairs = across.select("a", "b")
-        # only the texts of these pairs move
-        ends = _written(pairs.select("a.key", "a.crc").union(pairs.select("b.key", "b.crc")).distinct(), "ends")
-        new = verified(pairs, texts.join(ends, ["key", "crc"], "left_semi"))
+        pairs = _written(across.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")
+        new = verified(pairs)
+        checked = checked.unionByName(pairs)
         if not new.isEmpty():
             links = links.unionByName(new)
             labels = components(links)
         if across.where("more").isEmpty():
             break
-        open_, nearest = _open(_by_node(open_), labels), 4 * nearest
+        open_, nearest = _open(open_.select("node", F.col("open.bucket").alias("buckets")), labels), 4 * nearest
 
     classes = same.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "d1", "d2", F.coalesce("label", "rep").alias("class"), "copies")
