@@ -18,39 +18,38 @@ from pyspark.sql import types as T
 
 from reviewlake.llm.words import BASE, U64, mix, numbers, string_slices
 
-# URLs labelled by hand (1: block).
-LABELLED = [
-    ("https://www.example.org/articles/history-of-rome", 0), ("https://docs.example.com/guide/install", 0),
-    ("https://news.example.net/2021/05/science-report", 0), ("http://blog.example.com/posts/gardening-tips", 0),
-    ("https://library.example.edu/catalog/book/1284", 0), ("https://en.example.org/wiki/Mathematics", 0),
-    ("https://forum.example.com/t/how-to-fix-a-bike/912", 0), ("https://university.example.edu/courses/physics", 0),
-    ("https://museum.example.org/en/collection", 0), ("https://recipes.example.com/soup/lentil", 0),
-    ("https://weather.example.net/de/berlin", 0), ("https://journal.example.org/papers/2019/17", 0),
-    ("https://shop.example.com/books/novels", 0), ("https://travel.example.net/fr/paris", 0),
-    ("https://health.example.org/advice/sleep", 0), ("https://code.example.dev/project/readme", 0),
-    ("https://m.example.com/es/noticias/25", 0), ("https://school.example.edu/lessons/reading", 0),
-    ("https://city.example.gov/services/parks", 0), ("https://radio.example.net/shows/jazz", 0),
-    ("https://archive.example.org/letters/1890", 0), ("https://www.example.com/about", 0),
-    ("https://maps.example.org/trails/north", 0), ("https://www.example.net/en/page/310", 0),
-    ("https://data.example.gov/census/tables", 0), ("https://teacher.example.edu/notes/algebra", 0),
-    ("https://films.example.org/reviews/drama", 0), ("https://www.example.org/de/artikel/77", 0),
-    ("https://farm.example.com/fr/legumes", 0), ("https://law.example.gov/acts/1999", 0),
-    ("http://free-casino-bonus.example.com/win", 1), ("http://best-poker-slots.example.net/jackpot", 1),
-    ("http://cheap-pills-online.example.com/buy-now", 1), ("http://xxx-videos.example.net/adult/hot", 1),
-    ("http://porn-tube.example.com/sex/live", 1), ("http://win-lottery-now.example.net/claim-prize", 1),
-    ("http://crack-download.example.com/keygen/free", 1), ("http://warez-torrent.example.net/full-movie-free", 1),
-    ("http://earn-money-fast.example.com/bitcoin-doubler", 1), ("http://replica-watches.example.net/cheap/sale", 1),
-    ("http://payday-loans.example.com/instant-cash", 1), ("http://hot-singles.example.net/dating/click", 1),
-    ("http://betting-odds.example.com/casino/signup-bonus", 1), ("http://viagra-cialis.example.net/order", 1),
-    ("http://free-gift-card.example.com/survey?winner=1", 1), ("http://login-verify-account.example.net/secure/update", 1),
-    ("http://seo-backlinks.example.com/buy/links", 1), ("http://miracle-diet.example.net/lose-weight-fast", 1),
-    ("http://adult-cams.example.com/xxx/live", 1), ("http://clickbait.example.net/you-wont-believe", 1),
-    ("http://hacked-cheats.example.com/aimbot/download", 1), ("http://slots.example.net/free-spins", 1),
-    ("http://escort-girls.example.com/sexy", 1), ("http://pirate-movies.example.net/watch-free-stream", 1),
-    ("http://cheap-followers.example.com/buy-likes", 1), ("http://crypto-giveaway.example.net/claim-now", 1),
-    ("http://casino-royal.example.com/poker/bonus", 1), ("http://nude-pics.example.net/porn", 1),
-    ("http://spam-mailer.example.com/bulk-email", 1), ("http://fake-designer.example.net/outlet-sale", 1),
+# Sites labelled by hand, as (name, path). Each is taken under every domain, so that
+# the table teaches names and paths and no domain leans to either side.
+DOMAINS = ("com", "net", "org", "info", "edu", "de")
+ALLOW_SITES = [
+    ("www", "/articles/history-of-rome"), ("docs", "/guide/install"), ("news", "/2021/05/science-report"),
+    ("blog", "/posts/gardening-tips"), ("library", "/catalog/book/1284"), ("en.wiki", "/wiki/Mathematics"),
+    ("forum", "/t/how-to-fix-a-bike/912"), ("university", "/courses/physics"), ("museum", "/en/collection"),
+    ("recipes", "/soup/lentil"), ("weather", "/de/berlin"), ("journal", "/papers/2019/17"), ("shop", "/books/novels"),
+    ("travel", "/fr/paris"), ("health", "/advice/sleep"), ("code", "/project/readme"), ("m", "/es/noticias/25"),
+    ("school", "/lessons/reading"), ("city", "/services/parks"), ("radio", "/shows/jazz"), ("archive", "/letters/1890"),
+    ("www", "/about"), ("maps", "/trails/north"), ("www", "/en/page/310"), ("data", "/census/tables"),
+    ("teacher", "/notes/algebra"), ("films", "/reviews/drama"), ("site7", "/de/artikel/77"), ("farm", "/fr/legumes"),
+    ("law", "/acts/1999"), ("site12", "/en/25"), ("site3", "/fr/140"), ("site40", "/es/8"), ("site25", "/de/1203"),
+    ("www", "/"), ("garden", "/plants/roses.html"), ("sports", "/results/2020/final"), ("music", "/albums/live"),
 ]
+BLOCK_SITES = [
+    ("free-casino-bonus", "/win"), ("best-poker-slots", "/jackpot"), ("cheap-pills-online", "/buy-now"),
+    ("xxx-videos", "/adult/hot"), ("porn-tube", "/sex/live"), ("win-lottery-now", "/claim-prize"),
+    ("crack-download", "/keygen/free"), ("warez-torrent", "/full-movie-free"), ("earn-money-fast", "/bitcoin-doubler"),
+    ("replica-watches", "/cheap/sale"), ("payday-loans", "/instant-cash"), ("hot-singles", "/dating/click"),
+    ("betting-odds", "/casino/signup-bonus"), ("viagra-cialis", "/order"), ("free-gift-card", "/winner/survey"),
+    ("login-verify-account", "/secure/update"), ("seo-backlinks", "/buy/links"), ("miracle-diet", "/lose-weight-fast"),
+    ("adult-cams", "/xxx/live"), ("clickbait", "/you-wont-believe"), ("hacked-cheats", "/aimbot/download"),
+    ("slots", "/free-spins"), ("escort-girls", "/sexy"), ("pirate-movies", "/watch-free-stream"),
+    ("cheap-followers", "/buy-likes"), ("crypto-giveaway", "/claim-now"), ("casino-royal", "/poker/bonus"),
+    ("nude-pics", "/porn"), ("spam-mailer", "/bulk-email"), ("fake-designer", "/outlet-sale"),
+    ("m", "/casino/free-spins"), ("www", "/porn/videos/xxx"), ("online-poker", "/bonus/signup"), ("sex-chat", "/adult/cams"),
+    ("cheap-viagra", "/pills/order"), ("free-slots", "/jackpot/win"), ("instant-loans", "/payday/cash"), ("torrent-crack", "/warez/keygen"),
+]
+#: (host, path, label) with 1: block.
+LABELLED = [(f"{name}.example.{d}", path, y) for y, sites in ((0, ALLOW_SITES), (1, BLOCK_SITES))
+            for name, path in sites for d in DOMAINS]
 #: (verdict, host, path) of the production rules.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -127,8 +126,8 @@ class UrlModel:
         z = np.bincount(row, self.w[at], minlength=len(host)) * scale + self.bias
         return 1 / (1 + np.exp(-z))
 
-    def fit(self, host: list[str], path: list[str], y: np.ndarray, steps: int = 300, rate: float = 2.0,
-            l2: float = 1e-3) -> UrlModel:
+    def fit(self, host: list[str], path: list[str], y: np.ndarray, steps: int = 600, rate: float = 4.0,
+            l2: float = 1e-4) -> UrlModel:
         feats = self.features(pa.array(host), pa.array(path))
         row, at, scale = feats
         for _ in range(steps):
@@ -139,12 +138,10 @@ class UrlModel:
         return self
 
 
-def train(labelled: list[tuple[str, int]] = LABELLED) -> UrlModel:
-    """Fit on a labelled URL table (a driver-side list, small by definition)."""
-    split = [u.partition("://")[2] for u, _ in labelled]
-    host = [u.split("/")[0].split("?")[0].split("#")[0] for u in split]
-    path = [u[len(h):].split("?")[0].split("#")[0] for u, h in zip(split, host)]
-    return UrlModel().fit([h.lower() for h in host], path, np.array([y for _, y in labelled], float))
+def train(labelled: list[tuple[str, str, int]] = LABELLED) -> UrlModel:
+    """Fit on a table of (host, path, label), a driver-side list, small by definition."""
+    host, path, y = zip(*labelled)
+    return UrlModel().fit([h.lower() for h in host], list(path), np.array(y, float))
 
 
 def _judge(model: UrlModel, names: list[str]) -> Callable:
