@@ -47,8 +47,8 @@ def _pieces(id_name: str, length: int, end_id: int, path: str | None) -> Callabl
                     crc.append(zlib.crc32(raw[4 * lo:4 * hi]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
-                 *[pa.array(x, pa.int64()) for x in (start, size, crc)]],
-                names=[id_name, "piece", "start", "length", "ids_crc32"])
+                 *[pa.array(x, pa.int64()) for x in (start, size, crc)], b.column(2).take(pa.array(row, pa.int64()))],
+                names=[id_name, "piece", "start", "length", "ids_crc32", "row"])
     return run
 
 
@@ -91,22 +91,23 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, len
 
     Null and empty texts are the end id alone. Rows are packed one by one:
     repeated rows and null ids are documents like others. The result has these
-    seven columns only, whatever else ``docs`` has.
+    seven columns only, whatever else ``docs`` has. Pieces are dealt by the
+    number of their document's row, so that rows that repeat all else spread too.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"))
+    rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"), F.monotonically_increasing_id())
     cols = [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()),
-            *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")]]
+            *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "row")]]
     path = shared_path(spark, "pieces")
     rows.mapInArrow(_pieces(id_col, length, end_id, tokenizer), T.StructType(cols)).write.parquet(path)
     pieces = spark.read.schema(T.StructType(cols)).parquet(path)
 
     more = [T.StructField("offset", T.LongType()), T.StructField("sequence_id", T.LongType())]
     full = pieces.where(F.col("length") == length).select(
-        *pieces.columns, F.lit(0).cast("long").alias("offset"), F.monotonically_increasing_id().alias("sequence_id"))
+        *pieces.drop("row").columns, F.lit(0).cast("long").alias("offset"), F.monotonically_increasing_id().alias("sequence_id"))
     part = pieces.where(F.col("length") < length)
     shards = max(1, -(-part.count() // shard_pieces))
-    dealt = part.withColumn("shard", F.pmod(F.xxhash64(*part.columns), F.lit(shards)).cast("int"))
-    placed = dealt.groupBy("shard").applyInPandas(_place_shard(length), T.StructType([*cols, *more]))
+    dealt = part.withColumn("shard", F.pmod(F.xxhash64("row", "piece"), F.lit(shards)).cast("int")).drop("row")
+    placed = dealt.groupBy("shard").applyInPandas(_place_shard(length), T.StructType([*cols[:-1], *more]))
     return full.unionByName(placed).select(
         id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

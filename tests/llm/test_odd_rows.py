@@ -40,7 +40,7 @@ def empty(odd):
     return odd.where("false")
 
 
-def test_exact_dedup(odd, empty):
+def test_exact_dedup(odd, empty, spark):
     got = exact_dedup.exact_dedup(odd, digest_all=True)
     groups = collections.defaultdict(list)
     for i, t, *_ in ROWS:
@@ -56,7 +56,12 @@ def test_exact_dedup(odd, empty):
     left = exact_dedup.drop_copies(odd)
     assert left.columns == odd.columns
     assert sorted(str(r[0]) for r in left.select("doc_id").collect()) == sorted(
-        ["1", "3", "4", "5", "7", "8", "9", "9", "10", "10", "None", "11"])
+        ["1", "3", "4", "5", "7", "8", "9", "10", "10", "None", "11"])
+    again = spark.createDataFrame(
+        [(None, "a  b", 1), (None, "a b", 2), (None, "a b", 3), (5, "x y", 4), (5, "x  y", 5), (5, "x y", 6), (6, "z", 7), (6, "z", 8)],
+        "doc_id long, text string, n int")
+    stay = exact_dedup.drop_copies(again).collect()
+    assert sorted((str(r.doc_id), brute.normalised(r.text)) for r in stay) == [("5", "x y"), ("6", "z"), ("None", "a b")]
 
 
 def test_substring_dedup(odd, empty):
@@ -183,6 +188,9 @@ def test_near_dedup(odd, empty):
     assert [by[i] for i in (5, 6, 7)] == [{(5, 3, True)}, {(5, 3, False)}, {(5, 3, False)}]
     assert by[9] == {(9, 3, True)} and (9, 3, False) in by[10]     # two words more at 40, twice
     assert near_dedup.near_classes(empty).count() == 0 and near_dedup.keep_one(odd).columns == odd.columns
+    again = [(None, "a  b"), (None, "a b"), (None, "a b"), (5, "x y"), (5, "x  y"), (5, "x y"), (6, "z"), (6, "z")]
+    stay = near_dedup.keep_one(odd.sparkSession.createDataFrame(again, "doc_id long, text string")).collect()
+    assert sorted(brute.normalised(r.text) for r in stay) == ["a b", "x y", "z"]
 
 
 def test_near_dedup_of_a_large_group(spark):
@@ -505,3 +513,21 @@ def test_word_ids_equal_the_tokenizers():
                 assert got[at:at + n].tolist() == tok.encode(t or "", add_special_tokens=False).ids + [2], t
                 at += n
             assert at == len(got)
+
+
+def test_identical_pieces_are_dealt_to_all_shards(spark):
+    """A third of the rows repeat in all columns: no shard holds much more than its share."""
+    rows = [(None, None)] * 400 + [(i, f"text {i}") for i in range(800)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), shard_pieces=100).toPandas()
+    empty = got[got.length == 1]
+    shard = (-1 - empty.sequence_id) // (1 << 32)
+    assert len(empty) == 400 and shard.nunique() == 12 and shard.value_counts().max() < 100
+
+
+def test_stages_without_labels_keep_lettered_documents(spark):
+    import corpus_pipeline
+    rows = [(1, "some words", None, "a", 10), (2, "123 !", None, "a", 5), (3, None, None, "b", 0), (4, "été", None, "b", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4]
+    assert {r.lang for r in kept.collect()} == {None}
