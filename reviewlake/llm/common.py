@@ -65,6 +65,20 @@ def totals(df: DataFrame, *keys: str, **aggs: Column) -> DataFrame:
     return grouped.select("k.*", *aggs)
 
 
+def one_each(df: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """``df`` with one row of each that repeats the key columns ``names``; of repeats any one stays.
+
+    ``keys`` has the same key columns, read cheaply. Rows are only gathered by
+    key where some repeat, and then those alone: partial aggregation leaves at
+    most one row a task of a key that very many rows repeat.
+    """
+    repeats = totals(keys, *names, n=F.count(F.lit(1))).where("n > 1").select(*names)
+    if repeats.isEmpty():
+        return df
+    one = df.join(repeats, list(names), "left_semi").dropDuplicates(list(names))
+    return df.join(repeats, list(names), "left_anti").unionByName(one)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the checkpoint folder that the cluster shares."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

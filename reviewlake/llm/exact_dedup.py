@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import WS, add_row_key, fresh, text_or_empty
+from reviewlake.llm.common import WS, add_row_key, fresh, one_each, shared_path, text_or_empty, totals
 
 BUCKET_BITS = 18
 
@@ -76,9 +76,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with, of each group of equal texts, the row of the smallest id."""
-    key, crc = fresh(docs, "key", "crc")
+    """``docs`` with one row of each group of equal texts: that of the smallest id.
+
+    Of rows of that id with texts that differ in white space one stays, and of
+    rows that repeat id and text any one. A group of null ids keeps one row too.
+    """
+    key, crc, best = fresh(docs, "key", "crc", "best")
     keyed = add_row_key(docs, id_col, text_col, key, crc)
     marks = exact_dedup(keyed.select(key, crc, id_col, text_col), id_col, text_col)
-    gone = marks.where(~F.col("kept")).select(key, crc)
-    return keyed.join(gone, [key, crc], "left_anti").select(*docs.columns)
+    path = shared_path(docs.sparkSession, "copies")
+    marks.where(F.col("group_size") > 1).select(key, crc, "kept", "text_sha256").write.parquet(path)
+    copies = docs.sparkSession.read.parquet(path)
+    row = F.struct(key, crc)
+    stays = totals(copies.where("kept"), "text_sha256", **{best: F.min(row)})
+    gone = copies.join(stays, "text_sha256").where(row != F.col(best)).select(key, crc)
+    left = keyed.join(gone, [key, crc], "left_anti")
+    return one_each(left, copies.select(key, crc), key, crc).select(*docs.columns)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import add_row_key, fresh, shared_path, text_or_empty, totals
+from reviewlake.llm.common import add_row_key, fresh, one_each, shared_path, text_or_empty, totals
 from reviewlake.llm.words import BASE, BASE2, U64, Words, _GAMMA, mix, numbers, string_slices, windows
 
 SHINGLE, SKETCHES, PER_SKETCH, SMALL = 5, 16, 3, 16
@@ -413,8 +413,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each class of near-duplicates."""
+    """``docs`` with one document of each class of near-duplicates, and one row of those that repeat id and text."""
     key, crc = fresh(docs, "key", "crc")
     keyed = add_row_key(docs, id_col, text_col, key, crc)
     gone = near_classes(keyed.select(key, crc, id_col, text_col), id_col, text_col).where(~F.col("kept")).select(key, crc)
-    return keyed.join(gone, [key, crc], "left_anti").select(*docs.columns)
+    left = keyed.join(gone, [key, crc], "left_anti")
+    return one_each(left, keyed.select(key, crc), key, crc).select(*docs.columns)
