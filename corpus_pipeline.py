@@ -26,17 +26,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language: those without a letter go.
 
     ``lang`` becomes the predicted language, by a network fitted on a bounded
-    sample of the documents' own labels.
+    sample of the documents' own labels. Where no text is labelled there is
+    nothing to learn: documents with a letter stay and keep their ``lang``.
     """
     prepare(spark)
     # the prediction must not replace columns of the table that have its names
     rows, back = set_aside(docs, "lang_pred", "score")
-    kept = language_id.identify(rows, language_id.train(docs)).where(F.col("lang_pred") != language_id.UNDETERMINED)
+    model = language_id.train(docs)
+    if model is None:
+        return docs.where(F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"\p{L}"))
+    kept = language_id.identify(rows, model).where(F.col("lang_pred") != language_id.UNDETERMINED)
     return kept.withColumn("lang", F.col("lang_pred")).select(*rows.columns).withColumnsRenamed(back)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, repeated rows and null ids included."""
     prepare(spark)
     return exact_dedup.drop_copies(docs)
 
