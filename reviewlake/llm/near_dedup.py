@@ -37,7 +37,7 @@ from reviewlake.llm.words import BASE, BASE2, U64, Words, _GAMMA, mix, numbers,
 
 SHINGLE, SKETCHES, PER_SKETCH, SMALL = 5, 16, 3, 16
 # Nodes of a block of a large bucket; the nearest that a first round takes of a block; bits of parities.
-BLOCK, NEAREST, LEAST_BITS, MOST_BITS = 512, 4, 64, 1 << 16
+BLOCK, NEAREST, LEAST_BITS, MOST_BITS = 512, 16, 64, 1 << 16
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -340,6 +340,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) with the classes that new links (a, b) connect made one.
+
+    Only the classes at the links' ends are a graph here; nodes that had no
+    class come in with their own.
+    """
+    known = labels.withColumnRenamed("label", "has")
+    ends = (links.join(known.withColumnRenamed("node", "a"), "a", "left").withColumn("x", F.coalesce("has", "a")).drop("has")
+            .join(known.withColumnRenamed("node", "b"), "b", "left").withColumn("y", F.coalesce("has", "b")).drop("has"))
+    classes = components(_written(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b").distinct(), "classes"))
+    renamed = classes.select(F.col("node").alias("label"), F.col("label").alias("now"))
+    moved = labels.join(renamed, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
+    fresh_ones = classes.join(labels.select("node"), "node", "left_anti").select("node", "label")
+    return _written(moved.unionByName(fresh_ones), "labels")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
                  sketches: int = SKETCHES, per_sketch: int = PER_SKETCH, small: int = SMALL,
                  nearest: int = NEAREST, block: int = BLOCK) -> DataFrame:
@@ -373,12 +389,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     second, _ = _pairs(large.select("node", F.inline(both)).select("bucket", "node", "nth"), small)
     pairs = _written(first.unionByName(second).distinct(), "pairs")
 
-    # Only the texts of these pairs move, one per node, dealt by its key. A hub is in very many
-    # pairs: its text, among those of the pairs' first nodes, is dealt anew by the node, so that
-    # the engine can split its pairs.
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = _written(pairs.select("a.key", "a.crc").union(pairs.select("b.key", "b.crc")).distinct(), "ends")
-        one = texts.join(ends, ["key", "crc"], "left_semi").groupBy("key", "crc").agg(F.first("text").alias("text"))
+    # One text per node, dealt by its key. A hub is in very many pairs: its text, among those of
+    # the pairs' first nodes, is dealt anew by the node, so that the engine can split its pairs.
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        one = texts.groupBy("key", "crc").agg(F.first("text").alias("text"))
         text_b = one.toDF("bk", "bc", "text_b")
         text_a = one.join(pairs.select("a.key", "a.crc").distinct(), ["key", "crc"], "left_semi").select(
             F.struct("key", "crc").alias("a"), F.col("text").alias("text_a"))
@@ -386,21 +400,22 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         checked = named.join(text_b, ["bk", "bc"]).drop("bk", "bc").join(text_a, "a").mapInArrow(_verify(shingle), pairs.schema)
         return _written(checked, "links")
 
-    links, checked = verified(pairs), pairs
-    labels = components(links)
+    checked = pairs
+    labels = components(verified(pairs, texts))
     # a bucket of one class stays so: each round sees what the last one left open
     open_ = _open(large.select("node", F.col("buckets.bucket").alias("buckets")), labels)
     while not open_.isEmpty():
         across = _across(open_, odd, nearest, block)
         pairs = _written(across.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")
-        new = verified(pairs)
+        # only the texts of these pairs move
+        ends = _written(pairs.select("a.key", "a.crc").union(pairs.select("b.key", "b.crc")).distinct(), "ends")
+        new = verified(pairs, texts.join(ends, ["key", "crc"], "left_semi"))
         checked = checked.unionByName(pairs)
         if not new.isEmpty():
-            links = links.unionByName(new)
-            labels = components(links)
+            labels = joined(labels, new)
         if across.where("more").isEmpty():
             break
-        open_, nearest = _open(open_.select("node", F.col("open.bucket").alias("buckets")), labels), 4 * nearest
+        open_, nearest = _open(open_.select("node", F.col("open.bucket").alias("buckets")), labels), 16 * nearest
 
     classes = same.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "d1", "d2", F.coalesce("label", "rep").alias("class"), "copies")
