@@ -30,6 +30,7 @@ from reviewlake.llm.word_tokens import ragged, word_encoder
 LENGTH, SEGMENTS, END_ID = 4096, 128, 2
 ROUND_TOKENS, ROUND_ROWS = 4_000_000, 65_536        # a round packs once it has as many
 _SLICE = 4 << 20                                    # bytes of text encoded at once; one text at least
+_OUT = 1 << 20                                      # ids handed back at once; one piece at least
 
 
 class _Pool:
@@ -159,19 +160,20 @@ def _run(names: list[str], length: int, segments: int, max_loss: int | None, end
             nonlocal first
             n = np.concatenate(size)
             at = place(n, np.concatenate(free), length, segments, max_loss)
-            begin = (np.cumsum(n) - n)[at[:, 0]] + at[:, 1]
-            # the ids of all pieces, one after the other, are the values of one binary array
-            ends = np.cumsum(at[:, 2])
-            flat = np.concatenate(ids)[ragged(begin, at[:, 2])].astype("<u4")
-            offsets = np.append(0, ends * 4).astype(np.int32)
-            value = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat.tobytes())])
-            whole = pa.concat_arrays(rows)
-            yield pa.RecordBatch.from_arrays(
-                [whole.take(pa.array(at[:, 0])), pa.array(at[:, 1]), pa.array(at[:, 2]), pa.array(n[at[:, 0]]),
-                 pa.array(at[:, 3] + first), pa.array(at[:, 4]), value], names=names)
-            first += int(at[:, 3].max()) + 1
+            flat, whole = np.concatenate(ids), pa.concat_arrays(rows)
             for x in (rows, ids, size, free):
                 x.clear()
+            start = np.cumsum(n) - n
+            group = (np.cumsum(at[:, 2]) - at[:, 2]) // _OUT
+            for some in np.split(at, np.flatnonzero(np.diff(group)) + 1):
+                # the ids of all pieces, one after the other, are the values of one binary array
+                values = flat[ragged(start[some[:, 0]] + some[:, 1], some[:, 2])].astype("<u4", copy=False)
+                offsets = np.append(0, np.cumsum(some[:, 2]) * 4).astype(np.int32)
+                value = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+                yield pa.RecordBatch.from_arrays(
+                    [whole.take(pa.array(some[:, 0])), pa.array(some[:, 1]), pa.array(some[:, 2]), pa.array(n[some[:, 0]]),
+                     pa.array(some[:, 3] + first), pa.array(some[:, 4]), value], names=names)
+            first += int(at[:, 3].max()) + 1
 
         for batch in batches:
             bytes_ = sum(np.nan_to_num(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False)) for c in (1, 2))

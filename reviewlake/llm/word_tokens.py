@@ -26,6 +26,7 @@ _RAW = "<\\||[\u0300-\u036f]"
 # lower-case letters only: one piece of the file's split, unchanged by its normalisation
 _ONE = re.compile("[a-zß-öø-ÿ]+")
 _JOINT = 4096            # words encoded in one call
+MAX_WORDS = 500_000      # words kept: each look-up hashes the whole table
 
 
 def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -36,7 +37,7 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class WordEncoder:
     """A tokenizer with a bounded table of words; results don't depend on the bound."""
 
-    def __init__(self, path: str | None = None, max_words: int = 1_000_000):
+    def __init__(self, path: str | None = None, max_words: int = MAX_WORDS):
         import public_tokenizers as P
         from tokenizers import Tokenizer, pre_tokenizers
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task has one core
@@ -56,20 +57,26 @@ class WordEncoder:
         self.words = pa.array([""], pa.large_string())     # what white space at a text's ends leaves
         self.size, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, new: pa.Array) -> None:
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Adds words that the table has not; returns their slots."""
         words = new.to_pylist()
-        joint = [w for w in words if _ONE.fullmatch(w)]
-        other = [w for w in words if not _ONE.fullmatch(w)]
+        one = np.fromiter((bool(_ONE.fullmatch(w)) for w in words), bool, len(words))
+        joint, other = new.filter(pa.array(one)), new.filter(pa.array(~one))
         ids, size = [self.ids], [self.size]
         for lo in range(0, len(joint), _JOINT):
-            some = joint[lo:lo + _JOINT]
+            some = joint[lo:lo + _JOINT].to_pylist()
             ids.append(np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32))
             size.append(np.diff(np.flatnonzero(self.closes[ids[-1]]), prepend=-1))
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
-        ids.append(np.fromiter(chain.from_iterable(made), np.uint32))
-        size.append(np.fromiter(map(len, made), np.int64, len(made)))
-        self.words = pa.concat_arrays([self.words, pa.array(joint + other, pa.large_string())])
+        for lo in range(0, len(other), _JOINT):
+            # an encoding takes far more memory than its ids
+            some = other[lo:lo + _JOINT].to_pylist()
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(made), np.uint32))
+            size.append(np.fromiter(map(len, made), np.int64, len(made)))
+        slots = len(self.words) + np.where(one, np.cumsum(one), len(joint) + np.cumsum(~one)) - 1
+        self.words = pa.concat_arrays([self.words, joint, other])
         self.ids, self.size = np.concatenate(ids), np.concatenate(size)
+        return slots
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, ids in each text); null is empty, ``end_id`` closes each text."""
@@ -84,9 +91,10 @@ class WordEncoder:
             if len(self.words) + slots.null_count > self.max_words:
                 self._clear()
                 slots = pc.index_in(found.dictionary, value_set=self.words)
-            self._learn(found.dictionary.filter(slots.is_null()))
-            slots = pc.index_in(found.dictionary, value_set=self.words)
-        slots = slots.to_numpy(zero_copy_only=False)[found.indices.to_numpy()]
+        at = slots.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if slots.null_count:
+            at[at < 0] = self._learn(found.dictionary.filter(slots.is_null()))
+        slots = at[found.indices.to_numpy()]
         size = self.size[slots]
         ids = self.ids[ragged((np.cumsum(self.size) - self.size)[slots], size)]
         count = np.diff(np.append(0, np.cumsum(size))[lists.offsets.to_numpy()])

@@ -515,6 +515,40 @@ def test_word_ids_equal_the_tokenizers():
             assert at == len(got)
 
 
+def test_packing_holds_few_encodings_and_hands_back_small_batches(monkeypatch):
+    """Neither a slice's new words nor a round's ids are held in one piece."""
+    import pyarrow as pa
+
+    from reviewlake.llm import word_tokens
+    calls = []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **more):
+            calls.append(sum(len(t.split(" ")) for t in texts))
+            return self.tokenizer.encode_batch_fast(texts, **more)
+    encoder = word_tokens.WordEncoder()
+    encoder.tokenizer, encoder.plain = Counted(encoder.tokenizer), Counted(encoder.plain)
+    monkeypatch.setattr(vector_packing, "word_encoder", lambda path: encoder)
+    monkeypatch.setattr(vector_packing, "TaskContext", type("Task", (), {"get": staticmethod(lambda: Task()), "partitionId": lambda self: 3}))
+    Task = vector_packing.TaskContext
+    texts = [" ".join(f"{'ab'[k % 2]}{i}x{k}é" for k in range(2000)) for i in range(100)] + ["the and of " * 2000] * 100 + ["", None]
+    rows = pa.record_batch([pa.array(range(len(texts))), pa.nulls(len(texts), pa.string()), pa.array(texts, pa.string())], ["id", "prompt", "text"])
+    names = ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
+    made = list(vector_packing._run(names, 4096, 128, None, 2, None)(iter([rows])))
+    assert max(calls) <= word_tokens._JOINT and sum(calls) > 10 * word_tokens._JOINT
+    sizes = [sum(b.column(2).to_pylist()) for b in made]
+    assert max(sizes) < (1 << 20) + 4096 and sum(sizes) > 1 << 20
+    got = {}
+    for r in pa.Table.from_batches(made).sort_by([("id", "ascending"), ("start", "ascending")]).to_pylist():
+        assert r["start"] == len(got.setdefault(r["id"], [])) and r["length"] * 4 == len(r["ids"])
+        got[r["id"]] += np.frombuffer(r["ids"], "<u4").tolist()
+    for i in (0, 99, 100, 200, 201):
+        assert got[i] == encoder.tokenizer.tokenizer.encode(texts[i] or "", add_special_tokens=False).ids + [2]
+
+
 def test_identical_pieces_are_dealt_to_all_shards(spark):
     """A third of the rows repeat in all columns: no shard holds much more than its share."""
     rows = [(None, None)] * 400 + [(i, f"text {i}") for i in range(800)]
