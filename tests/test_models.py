@@ -3,12 +3,16 @@
 import tempfile
 import uuid
 
+import duckdb
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from reviewlake.operators import clean as C
 from reviewlake.operators import evaluate as V
+from reviewlake.operators import features as X
+from reviewlake.operators import gradient as G
 from reviewlake.operators import models as M
 from reviewlake.operators import sampling as S
 from reviewlake.sinks.models import save_model
@@ -149,3 +153,64 @@ def test_training_rows_are_the_same_rows_however_they_lie(spark):
     kept = M.training_rows(many)
     assert kept.rdd.getNumPartitions() == 3 and kept.count() == 3 * M.ROWS_PER_TASK
     assert M.training_rows(many.limit(0)).count() == 0
+
+
+def test_a_whole_training_part_stays_as_it_lies(spark):
+    rows = lambda n, parts: spark.range(n).selectExpr("id AS event_id").repartition(parts)
+    tasks = lambda n, parts: (k := M.training_rows(rows(n, parts), whole=True)).rdd.getNumPartitions() * (k.distinct().count() == n)
+    assert tasks(12 * M.ROWS_PER_TASK, 9) == 9          # a sample's rows are dealt to 12
+    assert tasks(12 * M.ROWS_PER_TASK, 2) == M.FEW_TASKS
+    assert tasks(12 * M.ROWS_PER_TASK, 40) == 12 and tasks(60, 40) == M.FEW_TASKS
+    assert tasks(9 * M.MOST_ROWS_PER_TASK, 8) == 9
+    assert M.training_rows(rows(60, 1).limit(0), whole=True).count() == 0
+
+
+def test_lr_numeric_trains_on_the_whole_training_part(spark, monkeypatch):
+    """Classes far larger than the sample the other models are fitted on: every training row counts, as in SQL."""
+    import __spark_entry__ as E
+    from reviewlake.plans import models_q as Q
+    from tests.util import rows
+    monkeypatch.setattr(Q, "SAMPLE_PER_CLASS", 5)
+    at = tempfile.mkdtemp(prefix="reviewlake-test-")
+    docs = [(i, f"word{i % 7} other{i % 5} Again" + " more" * (i % 11), f"src{i % 4 or 1}") for i in range(300)] + [(300, None, "src2"), (301, "", "src9")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{at}/documents.parquet")
+    labels = [(d[0], int(d[0] % 3 > 0 or d[0] % 10 == 0), d[0] % 4) for d in docs]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{at}/{t}.parquet/*.parquet')")
+    got, want = E.queries()["train_lr_numeric"](spark, at).toPandas(), con.execute(E.oracle_sql()["train_lr_numeric"]).df()
+    assert rows(got) == rows(want) and got.at_minimum.all()
+    n = got.set_index("index").loc[-1]
+    assert n.weight_0 + n.weight_1 == con.execute("SELECT count(*) FROM documents WHERE text IS NOT NULL AND md5(CAST(doc_id AS VARCHAR)) < 'cccccccc'").fetchone()[0] > 200
+
+
+def test_settled_intercept_where_a_feature_hardly_differs(spark):
+    """A mean of 100,000 deviations: what L-BFGS leaves of the intercept's gradient counts as often in that slot."""
+    from pyspark.ml.linalg import Vectors
+    data = [(float((i * 7) % 13 > 4 + i % 3), Vectors.dense(1e5 + (i * 37) % 101 / 30, (i * 11) % 17 / 5)) for i in range(2000)]
+    feats = spark.createDataFrame(data, ["label", "features"]).cache()
+    fit = M.classifier("lr", **M.CONVERGED).fit(feats)
+
+    def worst(clf):
+        scored = clf.transform(feats).withColumn("probability", vector_to_array("probability")[1])
+        at = spark.createDataFrame([(i, float(v)) for i, v in enumerate(clf.coefficients.toArray())], "index int, value double")
+        return G.logistic_gradient(scored, at, clf.getRegParam()).agg(F.max(F.abs("gradient"))).first()[0]
+    settled = M.settle_intercept(fit, feats)
+    assert settled.coefficients == fit.coefficients and settled.getRegParam() == fit.getRegParam() and settled.uid == fit.uid
+    assert worst(settled) < 1e-6 < worst(fit)
+    one = M.classifier("lr").fit(feats.where("label = 1"))
+    assert M.settle_intercept(one, feats.where("label = 1")).intercept == one.intercept
+
+
+def test_app_numbers_are_broadcast_while_apps_are_few(spark, monkeypatch):
+    df = spark.createDataFrame([(i, i % 3, f"a b{i}", "positive" if i % 2 else "negative", 1) for i in range(30)] + [(30, None, "a", "positive", 1)],
+                               "event_id long, app_id int, review_text string, sentiment string, review_votes int")
+    plan = lambda d: d._jdf.queryExecution().sparkPlan().toString()
+    few = X.with_numeric(df, df)
+    assert "BroadcastHashJoin" in plan(few)
+    monkeypatch.setattr(X, "MAX_BROADCAST_GROUPS", 2)
+    many = X.with_numeric(df, df)
+    assert "BroadcastHashJoin" not in plan(many)
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) and few.count() == 31
+    assert few.where("app_id IS NULL").first().app_review_count is None
