@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.ml.feature import Tokenizer
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -220,3 +221,22 @@ def test_stream_restart_after_partial_run(spark, tmpdir_fresh):
                      f"{out}/bronze", f"{out}/ckpt")
     b = spark.read.parquet(f"{out}/bronze")
     assert b.count() == 12 and b.select("offset").distinct().count() == 12
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_rows_that_may_match_hold_every_match(spark, monkeypatch, kind):
+    from reviewlake.sources import tables as T
+    df = spark.range(-2000, 6000).selectExpr(f"cast(id as {kind}) AS k", "id AS n").unionByName(
+        spark.createDataFrame([(None, 9000), ("7", 9001)], "k string, n long").selectExpr(f"cast(k as {kind}) AS k", "n"))
+    ids = df.where("n % 10 = 0 OR n = 9000").select("k")
+    wide = T.may_match(df, ids.unionAll(ids), "k")
+    monkeypatch.setattr(T, "ROW_BITS", 1024)
+    monkeypatch.setattr(T, "MOST_BITS", 1024)
+    narrow = T.may_match(df, ids, "k")
+    for d in (wide, narrow):
+        assert d.columns == df.columns and d.join(ids, "k").exceptAll(df.join(ids, "k")).count() == 0
+        assert d.join(ids, "k").count() == df.join(ids, "k").count() >= 800
+    assert 800 <= wide.count() < 1600 < narrow.count() < 8002        # a bitmap too small lets more through
+    assert T.may_match(df, ids.limit(0), "k").count() == 0
+    other = ids.selectExpr("cast(k as double) AS k")
+    assert T.may_match(df, other, "k").count() == 8002
